@@ -56,8 +56,16 @@ def _validated(spark: SparkSession, sf_dir: str, profile: Profile = FULL) -> Dat
     return rules.validate(_landed(spark, sf_dir, profile), profile)
 
 
+def _flagged(
+    spark: SparkSession, sf_dir: str, rows: DataFrame, stored: DataFrame | None = None
+) -> DataFrame:
+    """Valid rows with flags. The number of records, which only costs the count of a scan,
+    bounds the number of valid rows and tells whether any key can be heavy."""
+    return repeats.mark_duplicates(rows, stored, row_count=landed_fields(spark, sf_dir).count())
+
+
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.mark_duplicates(routing.valid(_validated(spark, sf_dir)))
+    return _flagged(spark, sf_dir, routing.valid(_validated(spark, sf_dir)))
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,17 +105,19 @@ def scan_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.land(records, FULL)
 
 
+PAGE_ROWS = 1000
+
+
 @query
 def scan_json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of about 1000 records, each an array on a single line of its own file part."""
+    """Pages of at most 1000 consecutive records, one JSON array to a file."""
     _, folder = _workspace(spark)
-    page = F.floor(F.pmod(F.xxhash64("transaction_id", "account_id", "transaction_date"), F.lit(64)))
     records = source_records(spark, sf_dir)
+    page = F.floor(F.monotonically_increasing_id() / PAGE_ROWS)
     pages = (
         records.select(page.alias("page"), F.struct(*records.columns).alias("record"))
         .groupBy("page")
         .agg(F.to_json(F.collect_list("record")).alias("value"))
-        .repartition(64, "page")
         .select("value")
     )
     pages.write.option("maxRecordsPerFile", 1).text(f"{folder}/pages")
@@ -301,7 +311,7 @@ def existing_duplicate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mark_duplicates_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, rest = _two_parts(spark, sf_dir)
-    return repeats.mark_duplicates(rest, repeats.known_keys(first))
+    return _flagged(spark, sf_dir, rest, first)
 
 
 # Summary -------------------------------------------------------------------------------

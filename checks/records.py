@@ -62,12 +62,16 @@ DUCKDB_DIALECT = {
 def landed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records under their landing names, from one scan of ``events``."""
     events = use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
-    fields = {name: F.expr(text.format(**SPARK_DIALECT)) for name, text in FIELDS.items()}
-    suffixes = F.when(F.col("event_id") % 50 == 0, F.array(F.lit(""), F.lit("D"))).otherwise(
+    fields = [F.expr(text.format(**SPARK_DIALECT)).alias(name) for name, text in FIELDS.items()]
+    copies = F.when(F.col("event_id") % 50 == 0, F.array(F.lit(""), F.lit("D"))).otherwise(
         F.array(F.lit(""))
     )
-    copies = events.select(*[c.alias(name) for name, c in fields.items()], F.explode(suffixes).alias("suffix"))
-    return copies.withColumn("transaction_id", F.concat("transaction_id", "suffix")).drop("suffix")
+    # Fields first, copies second: later predicates then read the fields instead of
+    # computing them again.
+    built = events.select(*fields, copies.alias("copies"))
+    return built.select(*FIELDS, F.explode("copies").alias("suffix")).select(
+        F.concat("transaction_id", "suffix").alias("transaction_id"), *list(FIELDS)[1:]
+    )
 
 
 def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:

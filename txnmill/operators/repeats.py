@@ -8,13 +8,16 @@ one transaction into one task, so keys with very many copies ("heavy" keys) take
 second path: each input partition first ranks its own copies, and only the winners of
 the partitions meet under the key. Heavy keys are found by counting key hashes, which
 the map side combines. There are at most ``rows / heavy_rows`` of them, 8 bytes each,
-so that list is safe to broadcast however large the input is. A hash collision only
-sends an extra key down the slower path; it never changes a flag.
+so that list is safe to broadcast however large the input is.
+
+A 64-bit hash of the key leads wherever rows are sorted by key: comparing it settles
+nearly every comparison. The key columns follow, so a collision never changes a flag; it
+can only send a key down the slower path.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnmill.schema import NATURAL_KEY
@@ -22,6 +25,8 @@ from txnmill.schema import NATURAL_KEY
 # One task ranks this many rows of a key without trouble (some 200 MB).
 HEAVY_ROWS = 1_000_000
 
+HASHED_KEY = ["key_hash", *NATURAL_KEY]
+
 
 def natural_key_text(rows: DataFrame) -> DataFrame:
     """The key as one text, nulls as empty. For display: joins use the nine columns,
@@ -30,9 +35,13 @@ def natural_key_text(rows: DataFrame) -> DataFrame:
     return rows.withColumn("natural_key", F.concat_ws("||", *parts))
 
 
-def known_keys(bronze: DataFrame) -> DataFrame:
+def with_key_hash(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("key_hash", F.xxhash64(*NATURAL_KEY))
+
+
+def known_keys(bronze: DataFrame, columns: Sequence[str] = NATURAL_KEY) -> DataFrame:
     """Distinct natural keys of stored rows."""
-    return bronze.select(NATURAL_KEY).dropDuplicates(NATURAL_KEY)
+    return bronze.select(*columns).dropDuplicates(list(columns))
 
 
 def with_seen_before(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -44,38 +53,27 @@ def with_seen_before(rows: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
-def _key_hash() -> Column:
-    return F.xxhash64(*NATURAL_KEY)
-
-
-def heavy_key_hashes(rows: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    return (
-        rows.select(_key_hash().alias("key_hash"))
-        .groupBy("key_hash")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= heavy_rows)
-        .select("key_hash")
-    )
+def heavy_key_hashes(hashed: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    counts = hashed.groupBy("key_hash").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") >= heavy_rows).select("key_hash")
 
 
 def _flag(rows: DataFrame, keys: list[str], earlier: DataFrame | None) -> DataFrame:
-    """Window by ``keys``; a join with earlier keys is partitioned the same way, so
+    """Window by ``keys``; the join with earlier keys is partitioned the same way, so
     both cost one shuffle of the rows."""
     order = Window.partitionBy(*keys).orderBy("transaction_id")
     repeat = F.row_number().over(order) > 1
     if earlier is None:
         return rows.withColumn("is_duplicate", repeat)
     seen = with_seen_before(rows, earlier)
-    return seen.withColumn("is_duplicate", F.col("existing_duplicate") | repeat).drop(
-        "existing_duplicate"
-    )
+    return seen.withColumn("is_duplicate", F.col("existing_duplicate") | repeat)
 
 
 def _flag_heavy(rows: DataFrame, earlier: DataFrame | None) -> DataFrame:
     """Two rounds. Winners of round one share slice -1 and meet there; the others keep
     their input partition as slice, so they stay spread out. A partition id does not
     change when a task is run again, which keeps both rounds consistent."""
-    by_slice = Window.partitionBy(*NATURAL_KEY, "slice").orderBy("transaction_id")
+    by_slice = Window.partitionBy(*HASHED_KEY, "slice").orderBy("transaction_id")
     ranked = (
         rows.withColumn("slice", F.spark_partition_id())
         .withColumn("leads", F.row_number().over(by_slice) == 1)
@@ -83,16 +81,14 @@ def _flag_heavy(rows: DataFrame, earlier: DataFrame | None) -> DataFrame:
     )
     if earlier is not None:
         earlier = earlier.withColumn("slice", F.lit(-1))
-    return (
-        _flag(ranked, NATURAL_KEY + ["slice"], earlier)
-        .withColumn("is_duplicate", F.col("is_duplicate") | ~F.col("leads"))
-        .drop("slice", "leads")
+    return _flag(ranked, [*HASHED_KEY, "slice"], earlier).withColumn(
+        "is_duplicate", F.col("is_duplicate") | ~F.col("leads")
     )
 
 
 def mark_duplicates(
     rows: DataFrame,
-    earlier: DataFrame | None = None,
+    stored: DataFrame | None = None,
     row_count: int | None = None,
     heavy_rows: int = HEAVY_ROWS,
     cluster_by: Sequence[str] = (),
@@ -100,26 +96,26 @@ def mark_duplicates(
 ) -> DataFrame:
     """Add ``is_duplicate`` to valid rows.
 
-    ``earlier`` holds the distinct keys of former loads (see :func:`known_keys`).
-    A caller that knows the number of rows passes it: below ``heavy_rows`` no key can
-    be heavy and the search for heavy keys is left out.
+    ``stored`` holds the bronze rows of former loads. A caller that knows the number of
+    rows, or a bound of it, passes it: below ``heavy_rows`` no key can be heavy and the
+    search for heavy keys is left out.
 
     ``cluster_by`` names columns that follow from the key; the rows are then shuffled by
     these into ``partitions`` instead of by the whole key, so that one shuffle also lays
-    them out for writing. It is meant for loads without earlier keys.
+    them out for writing. It is meant for loads without stored rows.
     """
     columns = [*rows.columns, "is_duplicate"]
-    keys = [*cluster_by, *NATURAL_KEY]
+    hashed = with_key_hash(rows)
+    earlier = None if stored is None else known_keys(with_key_hash(stored), HASHED_KEY)
 
     def flag_usual(part: DataFrame) -> DataFrame:
         if cluster_by:
             part = part.repartition(partitions, *cluster_by)
-        return _flag(part, keys, earlier).select(columns)
+        return _flag(part, [*cluster_by, *HASHED_KEY], earlier).select(columns)
 
     if row_count is not None and row_count < heavy_rows:
-        return flag_usual(rows)
-    heavy = F.broadcast(heavy_key_hashes(rows, heavy_rows))
-    hashed = rows.withColumn("key_hash", _key_hash())
+        return flag_usual(hashed)
+    heavy = F.broadcast(heavy_key_hashes(hashed, heavy_rows))
     usual = flag_usual(hashed.join(heavy, "key_hash", "left_anti"))
     spread = _flag_heavy(hashed.join(heavy, "key_hash", "left_semi"), earlier)
     return usual.unionByName(spread.select(columns))

@@ -35,8 +35,9 @@ def with_day_slots(
     slotted = (
         rows.withColumn("event_date", day)
         .join(F.broadcast(days), "event_date")
-        .withColumn("slot", F.pmod(F.xxhash64(*repeats.NATURAL_KEY), "slots"))
-        .drop("slots")
+        .transform(repeats.with_key_hash)
+        .withColumn("slot", F.pmod("key_hash", "slots"))
+        .drop("slots", "key_hash")
     )
     return slotted, total
 

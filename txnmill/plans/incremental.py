@@ -111,12 +111,6 @@ def drop_known(
     return increment.new_rows(incoming, ids).select(incoming.columns)
 
 
-def known_keys_between(history: DataFrame, first_day, last_day) -> DataFrame:
-    """Keys of stored rows that can match a batch of these days. The date is part of the
-    key, so leaving out other days loses nothing and prunes their partitions."""
-    return repeats.known_keys(history.filter(F.col("event_date").between(first_day, last_day)))
-
-
 def run_batch(
     spark: SparkSession,
     source: Source,
@@ -163,11 +157,14 @@ def run_batch(
 
     rows = fresh.filter("is_valid").select(VALID_COLUMNS)
     stored = spark.table(tables.bronze).filter(earlier)
-    known = None
-    if found["valid"] and not stored.isEmpty():
-        known = known_keys_between(stored, found["first_day"], found["last_day"])
+    # The date is part of the key, so stored rows of other days cannot match: leaving them
+    # out loses nothing and prunes their partitions.
+    stored = stored.filter(F.col("event_date").between(found["first_day"], found["last_day"]))
     bronze = repeats.mark_duplicates(
-        rows, known, row_count=found["valid"], heavy_rows=heavy_rows
+        rows,
+        None if stored.isEmpty() else stored,
+        row_count=found["valid"],
+        heavy_rows=heavy_rows,
     ).withColumn("event_date", day)
     # Adaptive execution sizes the files: large days are split, small ones kept whole.
     replace_batch(bronze.hint("rebalance", "event_date"), tables.bronze, batch_id, ["event_date"])

@@ -29,7 +29,7 @@ COUNTRY_CODES = """
     PA PE PG PH PK PL PT PW PY QA RO RS RW SA SB SC SD SE SG SI SK SL SM SN SO SR SS ST SV SY SZ
     TD TG TH TJ TL TN TO TR TT TV TW TZ UA UG US UY UZ VA VC VE VN VU WS YE ZA ZM ZW
 """.split()
-LOWEST_ACCOUNT, HIGHEST_ACCOUNT = 1001, 1020
+LOWEST_ACCOUNT, HIGHEST_ACCOUNT = "ACC-1001", "ACC-1020"
 TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 # Patterns are anchored with \A and \z: in Java regexes `$` would also accept a trailing line break.
