@@ -1,0 +1,220 @@
+"""Full and incremental loads: replay, late rows, crashes, exits."""
+
+import pytest
+from pyspark.sql import functions as F
+from txnmill.plans import incremental
+from txnmill.plans.full_load import full_load
+from txnmill.plans.incremental import incremental_load, read_watermark
+from txnmill.plans.summary import rebuild_summary
+from txnmill.schema import BRONZE_COLUMNS, LANDING_COLUMNS, QUARANTINE_COLUMNS
+from txnmill.sinks.tables import append_if_not_empty, batches_of, export_csv, replace_batch
+from txnmill.sources.records import Source, since
+
+
+def at(day, hour=10):
+    return f"2024-02-{day:02}T{hour:02}:00:00Z"
+
+
+def txn(number, day, **more):
+    """Distinct natural keys unless told otherwise."""
+    return {"transaction_id": f"TXN-{number}", "transaction_date": at(day), "merchant_name": f"M{number}", **more}
+
+
+def load(spark, tables, frame, **options):
+    return incremental_load(spark, lambda bound: Source(since(frame, bound), "test"), tables, **options)
+
+
+def ids(spark, name, condition="true"):
+    return sorted(str(r[0]) for r in spark.table(name).filter(condition).select("transaction_id").collect())
+
+
+def content(spark, tables):
+    """Everything stored except clocks and batch names."""
+    return [
+        sorted(map(str, spark.table(name).select([c for c in columns if c != "ingestion_timestamp"]).collect()))
+        for name, columns in (
+            (tables.landing, LANDING_COLUMNS),
+            (tables.quarantine, QUARANTINE_COLUMNS),
+            (tables.bronze, BRONZE_COLUMNS),
+        )
+    ]
+
+
+def test_full_load_twice_and_summary_twice(spark, records, tables, schema):
+    frame = records(txn(1, 1), txn(2, 1), txn(3, 2), txn(4, 2, amount="-1"), txn(5, 1, merchant_name="M1"))
+    source = Source(frame, "test")
+    summaries = []
+    for _ in range(2):
+        counts = full_load(spark, source, tables, rows_per_file=2).first().asDict()
+        assert counts == dict(
+            landing_rows=5, quarantine_rows=1, bronze_rows=4, unique_rows=3, duplicate_rows=1
+        )
+        rebuild_summary(spark, tables.bronze, f"{schema}.summary")
+        summaries.append(sorted(map(str, spark.table(f"{schema}.summary").drop("updated_at").collect())))
+    assert ids(spark, tables.bronze, "is_duplicate") == ["TXN-5"]
+    assert summaries[0] == summaries[1] and len(summaries[0]) == 2
+    assert "updated_at" in spark.table(f"{schema}.summary").columns
+
+
+def test_full_load_with_heavy_keys_stores_the_same(spark, records, tables):
+    frame = records(*[txn(i, 1 + i % 2, merchant_name="M" if i % 3 else f"M{i}") for i in range(40)])
+    full_load(spark, Source(frame, "test"), tables)
+    plain = content(spark, tables)
+    full_load(spark, Source(frame, "test"), tables, heavy_rows=3, rows_per_file=5)
+    assert content(spark, tables) == plain
+
+
+def test_replay_of_three_runs(spark, records, tables):
+    first = [txn(i, i) for i in range(1, 10)] + [txn(50, 9, amount="0")]
+    run1 = load(spark, tables, records(*first))
+    assert (run1.read_rows, run1.new_rows, run1.watermark) == (10, 10, at(9))
+
+    # Run 2: the overlap is read again and nothing is new.
+    run2 = load(spark, tables, records(*first))
+    assert (run2.read_rows, run2.new_rows, run2.watermark) == (3, 0, at(9))
+    state = read_watermark(spark, tables).first()
+    assert (state["last_successful_watermark"], state["rows_processed"]) == (at(9), 0)
+
+    # Run 3: late rows within the lookback come in, older ones stay out.
+    late = [txn(60, 8), txn(61, 8, transaction_date="2024-02-08T09:59:59Z"), txn(62, 3)]
+    run3 = load(spark, tables, records(*first, *late))
+    assert (run3.new_rows, run3.watermark) == (1, at(9))
+    assert "TXN-60" in ids(spark, tables.bronze)
+    assert not {"TXN-61", "TXN-62"} & set(ids(spark, tables.landing))
+    assert spark.table(tables.watermark).count() == 3
+
+
+def test_rows_reach_bronze_although_landing_grows_meanwhile(spark, records, tables):
+    """The rows of a batch must not vanish or count double once they have landed."""
+    load(spark, tables, records(txn(1, 1), txn(2, 2)))
+    result = load(spark, tables, records(txn(2, 2), txn(3, 2), txn(4, 3, merchant_name="M2", transaction_date=at(2))))
+    assert result.new_rows == 2
+    assert ids(spark, tables.bronze) == ["TXN-1", "TXN-2", "TXN-3", "TXN-4"]
+    assert ids(spark, tables.bronze, "is_duplicate") == ["TXN-4"]
+
+
+def test_duplicates_across_runs_keep_the_first_stored(spark, records, tables):
+    load(spark, tables, records(txn(9, 1)))
+    load(spark, tables, records(txn(1, 1, merchant_name="M9"), txn(2, 1, merchant_name="M9")))
+    assert ids(spark, tables.bronze, "is_duplicate") == ["TXN-1", "TXN-2"]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 10**6])
+def test_known_ids_with_and_without_broadcast(spark, records, tables, broadcast_bytes):
+    load(spark, tables, records(txn(1, 1), txn(2, 1)))
+    again = records(txn(1, 1), {**txn(2, 1), "transaction_id": " txn-2 "}, txn(3, 1), txn(3, 1))
+    result = load(spark, tables, again, broadcast_bytes=broadcast_bytes)
+    assert result.new_rows == 2
+    assert ids(spark, tables.landing) == ["TXN-1", "TXN-2", "TXN-3", "TXN-3"]
+
+
+def test_null_ids_land_in_every_run_and_empty_ids_once(spark, records, tables):
+    frame = records(txn(1, 1), txn(2, 1, transaction_id=None), txn(3, 1, transaction_id=""))
+    load(spark, tables, frame)
+    result = load(spark, tables, frame)
+    assert result.new_rows == 1
+    assert ids(spark, tables.landing) == ["", "None", "None", "TXN-1"]
+    assert ids(spark, tables.quarantine) == ["", "None", "None"]
+
+
+@pytest.mark.parametrize("dies_at", ["bronze", "quarantine", "landing"])
+@pytest.mark.parametrize("same_id", [True, False])
+def test_a_run_that_died_can_be_run_again(spark, records, tables, schema, monkeypatch, dies_at, same_id):
+    first, second = [txn(1, 1), txn(2, 1, amount="x")], [txn(3, 1), txn(4, 2, status="?"), txn(5, 1, merchant_name="M1")]
+    load(spark, tables, records(*first), batch_id="a")
+
+    def dying(df, name, batch_id, partition_by=()):
+        if name == getattr(tables, dies_at):
+            raise RuntimeError("lost the driver")
+        replace_batch(df, name, batch_id, partition_by)
+
+    monkeypatch.setattr(incremental, "replace_batch", dying)
+    with pytest.raises(RuntimeError):
+        load(spark, tables, records(*first, *second), batch_id="b")
+    monkeypatch.undo()
+    load(spark, tables, records(*first, *second), batch_id="b" if same_id else "c")
+
+    spark.sql(f"CREATE DATABASE {schema}_plain")
+    plain = type(tables).in_schema(f"{schema}_plain")
+    load(spark, plain, records(*first), batch_id="a")
+    load(spark, plain, records(*first, *second), batch_id="b")
+    assert content(spark, tables) == content(spark, plain)
+
+
+def test_running_a_landed_batch_again_changes_nothing(spark, records, tables):
+    load(spark, tables, records(txn(1, 1)), batch_id="a")
+    frame = records(txn(1, 1), txn(2, 2), txn(3, 2, merchant_name="M2"))
+    load(spark, tables, frame, batch_id="b")
+    before = content(spark, tables)
+    load(spark, tables, frame, batch_id="b")
+    assert content(spark, tables) == before
+
+
+def test_a_smaller_rerun_leaves_nothing_behind(spark, records, tables):
+    load(spark, tables, records(txn(1, 1), txn(2, 2, amount="x")), batch_id="a")
+    load(spark, tables, records(txn(1, 1)), batch_id="a")
+    assert ids(spark, tables.landing) == ids(spark, tables.bronze) == ["TXN-1"]
+    assert ids(spark, tables.quarantine) == []
+
+
+def test_watermark_does_not_go_back_unless_asked(spark, records, tables):
+    load(spark, tables, records(txn(1, 10)))
+    late = records(txn(2, 10, transaction_date=at(10, 9)))
+    assert load(spark, tables, late).watermark == at(10)
+    later = records(txn(3, 10, transaction_date=at(10, 8)))
+    assert load(spark, tables, later, monotonic=False).watermark == at(10, 8)
+
+
+def test_exits_without_rows(spark, records, tables):
+    nothing = records(txn(1, 1)).limit(0)
+    assert load(spark, tables, nothing).new_rows == 0
+    assert read_watermark(spark, tables).isEmpty()
+    # Only quarantined rows: they land, but there is no event time to remember.
+    assert load(spark, tables, records(txn(1, 1, amount="x"))).watermark is None
+    assert read_watermark(spark, tables).isEmpty()
+    load(spark, tables, records(txn(2, 1)))
+    assert load(spark, tables, nothing).watermark == at(1)
+    state = read_watermark(spark, tables).first()
+    assert (state["last_successful_watermark"], state["rows_processed"], state["lookback_days"]) == (at(1), 0, 1)
+
+
+def test_lookback_is_a_parameter(spark, records, tables):
+    load(spark, tables, records(txn(1, 10)))
+    frame = records(txn(2, 8), txn(3, 6))
+    assert load(spark, tables, frame, lookback_days=3).new_rows == 1
+
+
+def test_bronze_is_pruned_by_day_and_batch(spark, records, tables):
+    load(spark, tables, records(txn(1, 1), txn(2, 2)), batch_id="a")
+    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {tables.bronze}").collect()]
+    assert sorted(parts) == ["batch_id=a/event_date=2024-02-01", "batch_id=a/event_date=2024-02-02"]
+    assert batches_of(spark, tables.landing) == {"a"}
+
+
+def test_batch_ids_are_checked(spark, records, tables):
+    with pytest.raises(ValueError):
+        load(spark, tables, records(txn(1, 1)), batch_id="x'; drop")
+
+
+def test_append_if_not_empty(spark, schema):
+    name = f"{schema}.appended"
+    assert not append_if_not_empty(spark.range(0), name)
+    assert not spark.catalog.tableExists(name)
+    assert append_if_not_empty(spark.range(2), name) and append_if_not_empty(spark.range(1), name)
+    assert not append_if_not_empty(spark.range(0), name)
+    assert spark.table(name).count() == 3
+
+
+def test_csv_export_keeps_blanks_and_quotes(spark, tmp_path):
+    rows = [("   ", ' a "b", c ', None)]
+    export_csv(spark.createDataFrame(rows, "x string, y string, z string"), str(tmp_path / "out"))
+    back = spark.read.csv(str(tmp_path / "out"), header=True, escape='"').collect()
+    assert [tuple(r) for r in back] == rows
+
+
+def test_session_zone_is_utc_for_loads(spark, records, tables):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    load(spark, tables, records(txn(1, 1)))
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    stored = spark.table(tables.bronze).select(F.date_format("transaction_ts", "yyyy-MM-dd HH"), "event_date").first()
+    assert (stored[0], str(stored[1])) == ("2024-02-01 10", "2024-02-01")

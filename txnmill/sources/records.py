@@ -43,7 +43,8 @@ def read_json_pages(spark: SparkSession, path: str, json_lines: bool = False) ->
     if json_lines:
         return spark.read.schema(RECORD_SCHEMA).option("mode", "FAILFAST").json(path)
     page = F.col("value")
-    checked = F.when(F.ltrim(page).startswith("["), page).otherwise(
+    first = F.substring(F.ltrim(page, F.lit(" \t\r\n")), 1, 1)
+    checked = F.when(first == "[", page).otherwise(
         F.raise_error(F.concat(F.lit("page is not a JSON array: "), F.substring(page, 1, 80)))
     )
     records = F.from_json(checked, _array_of_records(), {"mode": "FAILFAST"})
