@@ -18,6 +18,9 @@ def run_stream(spark, tables, folder, **options):
     stream = ingest.read_csv_stream(spark, f"{folder}/files/*")
     query = ingest.start_ingest(stream, tables, f"{folder}/checkpoint", name="s", label="test", **options)
     query.awaitTermination()
+    # The stream writes in a session of its own; this one may still list replaced files.
+    for name in (tables.landing, tables.quarantine, tables.bronze):
+        spark.catalog.refreshTable(name)
 
 
 def test_stream_equals_batches(spark, records, tables, schema, tmp_path):

@@ -28,7 +28,13 @@ from txnmill.schema import (
     schema_of,
 )
 from txnmill.session import use_utc
-from txnmill.sinks.tables import batches_of, clear_batch, create_batch_table, replace_batch
+from txnmill.sinks.tables import (
+    batches_of,
+    clear_batch,
+    create_batch_table,
+    replace_batch,
+    replace_batch_reading_table,
+)
 from txnmill.sources.records import Source
 from txnmill.sources.tables import table_exists
 
@@ -84,7 +90,10 @@ def write_watermark(
 
 
 def discard_unlanded(spark: SparkSession, tables: Tables) -> None:
-    """Remove what runs stored that died before they landed. Compares partition lists."""
+    """Remove what runs stored that died before they landed. Compares partition lists.
+    Tables are refreshed first: a run in another session may have replaced files."""
+    for name in (tables.landing, tables.bronze, tables.quarantine):
+        spark.catalog.refreshTable(name)
     landed = batches_of(spark, tables.landing)
     for name, partition_by in ((tables.bronze, ["event_date"]), (tables.quarantine, [])):
         for batch_id in batches_of(spark, name) - landed:
@@ -160,14 +169,16 @@ def run_batch(
     # The date is part of the key, so stored rows of other days cannot match: leaving them
     # out loses nothing and prunes their partitions.
     stored = stored.filter(F.col("event_date").between(found["first_day"], found["last_day"]))
+    alone = found["valid"] == 0 or stored.isEmpty()
     bronze = repeats.mark_duplicates(
         rows,
-        None if stored.isEmpty() else stored,
+        None if alone else stored,
         row_count=found["valid"],
         heavy_rows=heavy_rows,
     ).withColumn("event_date", day)
     # Adaptive execution sizes the files: large days are split, small ones kept whole.
-    replace_batch(bronze.hint("rebalance", "event_date"), tables.bronze, batch_id, ["event_date"])
+    write_bronze = replace_batch if alone else replace_batch_reading_table
+    write_bronze(bronze.hint("rebalance", "event_date"), tables.bronze, batch_id, ["event_date"])
     replace_batch(
         fresh.filter("not is_valid").select(QUARANTINE_COLUMNS), tables.quarantine, batch_id
     )

@@ -12,8 +12,6 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from txnmill.sources.tables import table_exists
-
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -47,19 +45,13 @@ def create_batch_table(
     table_format: str = "parquet",
 ) -> None:
     """Empty table with ``batch_id`` and then ``partition_by`` as partition columns."""
-    if not table_exists(spark, name):
-        columns = T.StructType(
-            schema.fields + [T.StructField("batch_id", T.StringType(), True)]
-            if "batch_id" not in schema.names
-            else schema.fields
-        )
-        write_table(
-            spark.createDataFrame([], columns),
-            name,
-            mode="ignore",
-            partition_by=["batch_id", *partition_by],
-            table_format=table_format,
-        )
+    columns = [f"{field.name} {field.dataType.simpleString()}" for field in schema]
+    if "batch_id" not in schema.names:
+        columns.append("batch_id string")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING {table_format} "
+        f"PARTITIONED BY ({', '.join(['batch_id', *partition_by])})"
+    )
 
 
 @contextmanager
@@ -78,32 +70,39 @@ def _checked(batch_id: str) -> str:
     return batch_id
 
 
+def _put(df: DataFrame, name: str, batch_id: str, partition_by: Sequence[str], verb: str) -> None:
+    spark = df.sparkSession
+    stored = [field for field in spark.table(name).columns if field != "batch_id"]
+    spec = ", ".join([f"batch_id = '{_checked(batch_id)}'", *partition_by])
+    with _static_overwrite(spark):
+        spark.sql(
+            f"INSERT {verb} TABLE {name} PARTITION ({spec}) SELECT * FROM {{df}}",
+            df=df.select(stored),
+        )
+
+
 def clear_batch(
     spark: SparkSession, name: str, batch_id: str, partition_by: Sequence[str] = ()
 ) -> None:
     """Remove whatever the table holds of this batch, by overwriting it with nothing."""
-    spec = ", ".join([f"batch_id = '{_checked(batch_id)}'", *partition_by])
-    fields = [field for field in spark.table(name).schema if field.name != "batch_id"]
-    nothing = spark.createDataFrame([], T.StructType(fields))
-    with _static_overwrite(spark):
-        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT * FROM {{df}}", df=nothing)
+    nothing = spark.createDataFrame([], spark.table(name).schema)
+    _put(nothing, name, batch_id, partition_by, "OVERWRITE")
 
 
 def replace_batch(
     df: DataFrame, name: str, batch_id: str, partition_by: Sequence[str] = ()
 ) -> None:
-    """Make ``df`` the whole content of this batch in the table.
+    """Make ``df``, which must not read this table, the whole content of the batch."""
+    _put(df, name, batch_id, partition_by, "OVERWRITE")
 
-    Cleared first and then appended to, because ``df`` may read the table's other batches
-    and an overwrite must not read its target.
-    """
-    spark = df.sparkSession
-    clear_batch(spark, name, batch_id, partition_by)
-    stored = [field for field in spark.table(name).columns if field != "batch_id"]
-    spec = ", ".join([f"batch_id = '{batch_id}'", *partition_by])
-    spark.sql(
-        f"INSERT INTO TABLE {name} PARTITION ({spec}) SELECT * FROM {{df}}", df=df.select(stored)
-    )
+
+def replace_batch_reading_table(
+    df: DataFrame, name: str, batch_id: str, partition_by: Sequence[str] = ()
+) -> None:
+    """The same for ``df`` that reads other batches of the table. An overwrite must not read
+    its target, so the batch is cleared first and then appended to."""
+    clear_batch(df.sparkSession, name, batch_id, partition_by)
+    _put(df, name, batch_id, partition_by, "INTO")
 
 
 def batches_of(spark: SparkSession, name: str) -> set[str]:

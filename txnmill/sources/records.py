@@ -38,7 +38,7 @@ def read_json_pages(spark: SparkSession, path: str, json_lines: bool = False) ->
     """Downloaded result pages: one JSON array of records per file, or one record per line.
 
     A page that is no array, or no JSON at all, fails the query rather than landing
-    as rows of nulls. Numbers keep the text they were written with.
+    as rows of nulls. Numbers become their shortest decimal text.
     """
     if json_lines:
         return spark.read.schema(RECORD_SCHEMA).option("mode", "FAILFAST").json(path)
