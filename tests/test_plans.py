@@ -27,21 +27,34 @@ def stored_base(spark, schema):
     return summary.summary_base(spark.table(name))
 
 
-def test_summary_reads_its_input_once_with_pushed_filters(spark, schema):
-    days = summary.daily_summary(stored_base(spark, schema))
-    assert plan_of(days).count("FileScan") == 1
-    plan = plan_of(days, "formatted")
-    assert "EqualTo(status,completed)" in plan and "EqualTo(is_duplicate,false)" in plan
-    assert "country_code" not in plan and "source_system" not in plan
-    assert "Join" not in plan
+def scans_of(plan):
+    return [
+        set(re.findall(r"(\w+):", schema))
+        for schema in re.findall(r"ReadSchema: struct<(.*)>", plan)
+    ]
 
 
-def test_every_aggregate_combines_before_its_shuffle(spark, schema):
+def test_summary_reads_only_the_columns_of_each_side(spark, schema):
+    plan = plan_of(summary.daily_summary(stored_base(spark, schema)), "formatted")
+    day = {"account_id", "transaction_ts", "status", "is_duplicate"}
+    amounts, merchants = sorted(scans_of(plan), key=len, reverse=True)
+    assert merchants == day | {"merchant_name"}
+    assert amounts == day | {"amount", "transaction_type", "merchant_category", "currency"}
+    assert plan.count("EqualTo(status,completed)") == 2
+    assert plan.count("Not(EqualTo(is_duplicate,true))") == 2
+
+
+def test_summary_shuffles_merchants_without_amounts(spark, schema):
     plan = plan_of(summary.daily_summary(stored_base(spark, schema)))
-    steps = re.findall(r"(HashAggregate|ObjectHashAggregate|SortAggregate|Exchange|Window)", plan)
-    assert steps.count("Exchange") == 4
-    # Three aggregates, each with a partial step below its exchange.
-    assert sum(step.endswith("Aggregate") for step in steps) == 6
+    by_merchant = [line for line in plan.splitlines() if "Exchange" in line and "merchant_name" in line]
+    assert len(by_merchant) == 1
+    # Every shuffle but those of a join lies between the two halves of an aggregate.
+    steps = re.findall(r"(HashAggregate|ObjectHashAggregate|SortAggregate|Exchange hash|Scan)", plan)
+    assert steps.count("Exchange hash") == 5 and "SortAggregate" not in steps
+    # Next to each scan stands a hash aggregate.
+    for i, step in enumerate(steps):
+        if step == "Scan":
+            assert steps[i - 1] == "HashAggregate"
 
 
 def test_top_category_limits_groups_before_the_shuffle(spark, schema):

@@ -77,38 +77,37 @@ def top_category(ranked: DataFrame) -> DataFrame:
 
 
 def join_summary(metrics: DataFrame, top: DataFrame) -> DataFrame:
+    """Summary from its named parts; :func:`daily_summary` gives the same rows for less."""
     return metrics.join(top, ACCOUNT_DAY, "left").select(SUMMARY_COLUMNS)
 
 
 def daily_summary(base: DataFrame) -> DataFrame:
-    """The whole summary from one scan of the base.
-
-    Four steps, each combined on the map side and smaller than the one before:
-
-    1. one row per account, day, merchant, category and currency;
-    2. among the rows of a merchant's day, mark one, so that summing the marks counts
-       merchants (the window only sees the category/currency combinations of a merchant);
-    3. fold to account, day and category;
-    4. fold the categories of a day, picking the top one on the way.
-
-    The joined form (:func:`join_summary`) gives the same rows from two scans.
+    """The whole summary, with nothing but merchant names in a large shuffle.
+
+    Merchant names are free text, so there may be nearly as many (account, day, merchant)
+    groups as rows. They are counted on their own, which shuffles only these three
+    columns. Amounts never meet the merchant: they are combined on the map side to account,
+    day, category and currency, of which there are few, and folded from there. The two
+    scans share only the columns that name and filter the day.
+
+    Sets of currencies, which spoil hash aggregation of many groups, start on the few rows
+    that are left. Both sides of the join have one row per account and day; it is null-safe,
+    so that no filter is derived for one side only and a base with shuffles of its own is
+    computed once for both.
     """
-    merchant_day = ACCOUNT_DAY + ["merchant_name"]
-    combinations = base.groupBy(merchant_day + ["merchant_category", "currency"]).agg(
+    merchants = base.groupBy(ACCOUNT_DAY).agg(
+        F.countDistinct("merchant_name").alias("distinct_merchants")
+    )
+    sums = ["debit", "credit", "spend", "n"]
+    amounts = base.groupBy(CATEGORY_DAY + ["currency"]).agg(
         F.sum(_amount_of("debit")).alias("debit"),
         F.sum(_amount_of("credit")).alias("credit"),
         F.sum("amount").alias("spend"),
         F.count("*").alias("n"),
     )
-    one_per_merchant = Window.partitionBy(*merchant_day).orderBy("merchant_category", "currency")
-    first_named = (F.row_number().over(one_per_merchant) == 1) & F.col("merchant_name").isNotNull()
-    categories = (
-        combinations.withColumn("merchants", first_named.cast("long"))
-        .groupBy(CATEGORY_DAY)
-        .agg(
-            *[F.sum(name).alias(name) for name in ("debit", "credit", "spend", "n", "merchants")],
-            F.collect_set("currency").alias("currencies"),
-        )
+    categories = amounts.groupBy(CATEGORY_DAY).agg(
+        *[F.sum(name).alias(name) for name in sums],
+        F.collect_set("currency").alias("currencies"),
     )
     # Largest spend first (days without any amount last), then the category name.
     rank = F.struct(F.col("spend").isNull(), -F.col("spend"), F.col("merchant_category"))
@@ -118,13 +117,14 @@ def daily_summary(base: DataFrame) -> DataFrame:
         _as_money(credit).alias("total_credit_amount"),
         _as_money(credit - debit).alias("net_amount"),
         F.sum("n").alias("transaction_count"),
-        F.sum("merchants").alias("distinct_merchants"),
         F.min_by("merchant_category", rank).alias("top_category"),
         _currency_text(F.array_distinct(F.flatten(F.collect_list("currencies")))).alias(
             "currencies"
         ),
     )
-    return days.select(SUMMARY_COLUMNS)
+    same_day = [days[name].eqNullSafe(merchants[name]) for name in ACCOUNT_DAY]
+    columns = [days[name] for name in ACCOUNT_DAY] + SUMMARY_COLUMNS[len(ACCOUNT_DAY) :]
+    return days.join(merchants, same_day, "left").select(columns)
 
 
 def stamped(summary: DataFrame) -> DataFrame:
