@@ -11,9 +11,19 @@ WHITE_SPACE = (
 )
 
 
+def _is_plain(character: Column) -> Column:
+    """Starts with a printable ASCII character other than the blank."""
+    return (character >= "!") & (character < "\x7f")
+
+
 def strip(column: Column) -> Column:
-    """Remove white space of any kind from both ends (plain ``trim`` only knows blanks)."""
-    return F.btrim(column, F.lit(WHITE_SPACE))
+    """Remove white space of any kind from both ends (plain ``trim`` only knows blanks).
+
+    Nearly all values start and end with a plain character and are passed on as they are:
+    comparing the two ends costs a fraction of a search for 29 kinds of white space.
+    """
+    clean = _is_plain(column) & _is_plain(F.substring(column, -1, 1))
+    return F.when(clean, column).otherwise(F.btrim(column, F.lit(WHITE_SPACE)))
 
 
 def missing(column: Column) -> Column:
