@@ -41,6 +41,13 @@ def test_csv_fields_are_found_by_name(spark, tmp_path):
     assert row["status"] is None and row["account_id"] is None
 
 
+def test_files_with_different_headers_fail_loudly(spark, tmp_path):
+    write(tmp_path / "a.csv", "amount,status\n1.00,completed\n")
+    write(tmp_path / "b.csv", "status,amount\ncompleted,1.00\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
 def test_numbers_of_pages_become_their_shortest_text(spark, tmp_path):
     pages = tmp_path / "pages"
     pages.mkdir()

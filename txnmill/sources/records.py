@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from txnmill.functions.times import parse_iso_lenient
 from txnmill.schema import RECORD_FIELDS, RECORD_SCHEMA
 
-CSV_OPTIONS = {"header": True, "encoding": "UTF-8", "escape": '"'}
+# With enforceSchema off, a file whose header differs from the others fails the query
+# instead of landing its values in the wrong fields.
+CSV_OPTIONS = {"header": True, "encoding": "UTF-8", "escape": '"', "enforceSchema": False}
 
 CSV_LABEL = "csv_files"
 PAGES_LABEL = "json_pages"

@@ -19,7 +19,7 @@ from txnmill.sources.records import CSV_LABEL, CSV_OPTIONS, PAGES_LABEL, Source
 def read_csv_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Streams have a fixed schema: a file whose header differs from it fails the query."""
     reader = spark.readStream.schema(RECORD_SCHEMA).options(**CSV_OPTIONS)
-    reader = reader.option("multiLine", True).option("enforceSchema", False)
+    reader = reader.option("multiLine", True)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.csv(path)
