@@ -56,12 +56,16 @@ def _validated(spark: SparkSession, sf_dir: str, profile: Profile = FULL) -> Dat
     return rules.validate(_landed(spark, sf_dir, profile), profile)
 
 
+def _row_bound(spark: SparkSession, sf_dir: str) -> int:
+    """Number of records, for the cost of counting a scan. It bounds every selection of
+    them and so tells whether any key can be heavy."""
+    return landed_fields(spark, sf_dir).count()
+
+
 def _flagged(
     spark: SparkSession, sf_dir: str, rows: DataFrame, stored: DataFrame | None = None
 ) -> DataFrame:
-    """Valid rows with flags. The number of records, which only costs the count of a scan,
-    bounds the number of valid rows and tells whether any key can be heavy."""
-    return repeats.mark_duplicates(rows, stored, row_count=landed_fields(spark, sf_dir).count())
+    return repeats.mark_duplicates(rows, stored, row_count=_row_bound(spark, sf_dir))
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,13 +303,14 @@ def _two_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def new_rows_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = _landed(spark, sf_dir, INCREMENTAL)
     known = increment.known_ids(landed.filter(_is_first_part()))
-    return increment.new_rows(landed, known)
+    return increment.new_rows(landed, known, _row_bound(spark, sf_dir))
 
 
 @query
 def existing_duplicate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, rest = _two_parts(spark, sf_dir)
-    return repeats.with_seen_before(rest, repeats.known_keys(first))
+    known = repeats.known_keys(first)
+    return repeats.with_seen_before(rest, known, _row_bound(spark, sf_dir))
 
 
 @query

@@ -23,14 +23,12 @@ def test_jobs(spark, records, schema, tmp_path, monkeypatch, capsys):
     assert "TXN-3" in out and "TXN-4" in out and "FOUND" not in out
     assert spark.table(summary).count() == 2
 
-    other = f"{schema}_inc"
-    spark.sql(f"CREATE DATABASE {other}")
     for _ in range(2):
-        run(monkeypatch, "incremental", "--schema", other, "--csv", tmp_path / "csv")
+        run(monkeypatch, "incremental", "--schema", schema, "--csv", tmp_path / "csv")
     out = capsys.readouterr().out
     assert "new_rows=4" in out and "new_rows=0" in out and at(2) in out
 
     third = f"{schema}_stream"
     spark.sql(f"CREATE DATABASE {third}")
     run(monkeypatch, "stream", "--schema", third, "--csv", tmp_path / "csv", "--checkpoint", tmp_path / "cp")
-    assert spark.table(f"{third}.bronze_transactions").count() == 3
+    assert spark.table(f"{third}.bronze_transactions_incremental").count() == 3

@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
-from txnmill.operators import landing, repeats, routing, rules
+from txnmill.operators import increment, landing, repeats, routing, rules, skew
 from txnmill.profiles import FULL
 from txnmill.schema import NATURAL_KEY
 
@@ -74,9 +74,9 @@ def test_shuffle_by_day_and_slot_gives_the_same_flags(rows, heavy_rows):
 
 
 def test_heavy_keys_are_bounded_and_found(rows):
-    hashed = repeats.with_key_hash(rows)
-    assert repeats.heavy_key_hashes(hashed, 150).count() == 1
-    assert repeats.heavy_key_hashes(hashed, 10**6).count() == 0
+    hashed = skew.with_key_hash(rows, NATURAL_KEY)
+    assert skew.heavy_key_hashes(hashed, 150).count() == 1
+    assert skew.heavy_key_hashes(hashed, 10**6).count() == 0
 
 
 def test_separator_in_a_name_does_not_merge_keys(spark, records):
@@ -97,6 +97,27 @@ def test_ids_are_ordered_as_text(records):
     assert marked == {"TXN-10": False, "TXN-9": True}
 
 
+@pytest.mark.parametrize("heavy_rows", [5, 150, 10**6])
+def test_new_rows_match_brute_force(spark, heavy_rows):
+    values = ["", None, "a", "b", "c"] * 40 + [f"x{i}" for i in range(100)]
+    frame = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "transaction_id string, n int")
+    known = {"", "b", "x1", "x2", "other"}
+    ids = spark.createDataFrame([(v,) for v in known], "transaction_id string")
+    new = increment.new_rows(frame.repartition(5), ids, heavy_rows=heavy_rows)
+    expected = sorted(i for i, v in enumerate(values) if v is None or v not in known)
+    assert sorted(row["n"] for row in new.collect()) == expected
+
+
+@pytest.mark.parametrize("heavy_rows", [20, 10**6])
+def test_seen_before_matches_brute_force(rows, heavy_rows):
+    keys = repeats.known_keys(rows.filter("amount in (3, 10.5)"))
+    known = {tuple(row) for row in keys.collect()}
+    seen = repeats.with_seen_before(rows, keys, heavy_rows=heavy_rows).collect()
+    assert len(seen) == rows.count()
+    for row in seen:
+        assert row["existing_duplicate"] == (tuple(row[name] for name in NATURAL_KEY) in known)
+
+
 def test_seen_before_never_multiplies_rows(rows):
     keys = repeats.known_keys(rows)
     seen = repeats.with_seen_before(rows, keys)

@@ -36,7 +36,7 @@ def _full(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _incremental(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables = Tables.in_schema(args.schema)
+    tables = Tables.in_schema(args.schema, "_incremental")
     result = incremental_load(
         spark,
         lambda bound: read_source(spark, args.pages, args.csv, bound),
@@ -50,9 +50,9 @@ def _incremental(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     records = read_csv_stream(spark, args.csv)
-    start_ingest(
-        records, Tables.in_schema(args.schema), args.checkpoint, args.name, table_format=args.format
-    ).awaitTermination()
+    tables = Tables.in_schema(args.schema, "_incremental")
+    query = start_ingest(records, tables, args.checkpoint, args.name, table_format=args.format)
+    query.awaitTermination()
 
 
 def _summary(spark: SparkSession, args: argparse.Namespace) -> None:

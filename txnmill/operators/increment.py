@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnmill.functions.times import days_before, format_iso, parse_iso
+from txnmill.operators.skew import HEAVY_ROWS, join_keys
 
 
 def known_ids(landing: DataFrame) -> DataFrame:
@@ -15,9 +16,15 @@ def known_ids(landing: DataFrame) -> DataFrame:
     )
 
 
-def new_rows(landing: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose id has not landed before. A null id equals nothing, so it is always new."""
-    return landing.join(ids, "transaction_id", "left_anti")
+def new_rows(
+    landing: DataFrame,
+    ids: DataFrame,
+    row_count: int | None = None,
+    heavy_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Rows whose id is not among the distinct ``ids``. A null id equals nothing, so it is
+    always new. One id, such as an empty one, may stand in very many rows."""
+    return join_keys(landing, ids, ["transaction_id"], "left_anti", row_count, heavy_rows)
 
 
 def with_effective_bound(state: DataFrame) -> DataFrame:

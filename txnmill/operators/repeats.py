@@ -4,15 +4,12 @@ Per key the row with the smallest id is the original and every other row is a
 duplicate; a key that an earlier load already stored makes all its rows duplicates.
 
 The plain plan is one shuffle by key and a ``row_number``. It would put all copies of
-one transaction into one task, so keys with very many copies ("heavy" keys) take a
-second path: each input partition first ranks its own copies, and only the winners of
-the partitions meet under the key. Heavy keys are found by counting key hashes, which
-the map side combines. There are at most ``rows / heavy_rows`` of them, 8 bytes each,
-so that list is safe to broadcast however large the input is.
+one transaction into one task, so keys with very many copies take a second path: each
+input partition first ranks its own copies, and only the winners of the partitions meet
+under the key.
 
 A 64-bit hash of the key leads wherever rows are sorted by key: comparing it settles
-nearly every comparison. The key columns follow, so a collision never changes a flag; it
-can only send a key down the slower path.
+nearly every comparison. The key columns follow, so a collision never changes a flag.
 """
 
 from collections.abc import Sequence
@@ -20,11 +17,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnmill.operators.skew import HEAVY_ROWS, heavy_key_hashes, join_keys, with_key_hash
 from txnmill.schema import NATURAL_KEY
 
-# One task ranks this many rows of a key without trouble (some 200 MB).
-HEAVY_ROWS = 1_000_000
-
 HASHED_KEY = ["key_hash", *NATURAL_KEY]
 
 
@@ -35,37 +30,34 @@ def natural_key_text(rows: DataFrame) -> DataFrame:
     return rows.withColumn("natural_key", F.concat_ws("||", *parts))
 
 
-def with_key_hash(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("key_hash", F.xxhash64(*NATURAL_KEY))
-
-
 def known_keys(bronze: DataFrame, columns: Sequence[str] = NATURAL_KEY) -> DataFrame:
     """Distinct natural keys of stored rows."""
     return bronze.select(*columns).dropDuplicates(list(columns))
 
 
-def with_seen_before(rows: DataFrame, keys: DataFrame) -> DataFrame:
+def with_seen_before(
+    rows: DataFrame,
+    keys: DataFrame,
+    row_count: int | None = None,
+    heavy_rows: int = HEAVY_ROWS,
+) -> DataFrame:
     """Flag rows whose key is among the distinct ``keys``. Valid rows have no null in
     the key (each column has a "missing" rule), so plain equality is enough."""
     marked = keys.withColumn("existing_duplicate", F.lit(True))
-    return rows.join(marked, keys.columns, "left").withColumn(
+    joined = join_keys(rows, marked, keys.columns, "left", row_count, heavy_rows)
+    return joined.withColumn(
         "existing_duplicate", F.coalesce("existing_duplicate", F.lit(False))
     )
 
 
-def heavy_key_hashes(hashed: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    counts = hashed.groupBy("key_hash").agg(F.count("*").alias("n"))
-    return counts.filter(F.col("n") >= heavy_rows).select("key_hash")
-
-
 def _flag(rows: DataFrame, keys: list[str], earlier: DataFrame | None) -> DataFrame:
     """Window by ``keys``; the join with earlier keys is partitioned the same way, so
-    both cost one shuffle of the rows."""
+    both cost one shuffle of the rows. Heavy keys were dealt with before."""
     order = Window.partitionBy(*keys).orderBy("transaction_id")
     repeat = F.row_number().over(order) > 1
     if earlier is None:
         return rows.withColumn("is_duplicate", repeat)
-    seen = with_seen_before(rows, earlier)
+    seen = with_seen_before(rows, earlier, row_count=0)
     return seen.withColumn("is_duplicate", F.col("existing_duplicate") | repeat)
 
 
@@ -105,8 +97,10 @@ def mark_duplicates(
     them out for writing. It is meant for loads without stored rows.
     """
     columns = [*rows.columns, "is_duplicate"]
-    hashed = with_key_hash(rows)
-    earlier = None if stored is None else known_keys(with_key_hash(stored), HASHED_KEY)
+    hashed = with_key_hash(rows, NATURAL_KEY)
+    earlier = None
+    if stored is not None:
+        earlier = known_keys(with_key_hash(stored, NATURAL_KEY), HASHED_KEY)
 
     def flag_usual(part: DataFrame) -> DataFrame:
         if cluster_by:

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from txnmill.functions.times import utc_now
 from txnmill.operators import landing, quality, repeats, routing, rules
+from txnmill.operators.skew import HEAVY_ROWS, with_key_hash
 from txnmill.plans.tables import Tables, stage
 from txnmill.profiles import FULL
-from txnmill.schema import BRONZE_COLUMNS, QUARANTINE_COLUMNS, VALID_COLUMNS
+from txnmill.schema import BRONZE_COLUMNS, NATURAL_KEY, QUARANTINE_COLUMNS, VALID_COLUMNS
 from txnmill.session import use_utc
 from txnmill.sinks.tables import write_table
 from txnmill.sources.records import Source
@@ -35,7 +36,7 @@ def with_day_slots(
     slotted = (
         rows.withColumn("event_date", day)
         .join(F.broadcast(days), "event_date")
-        .transform(repeats.with_key_hash)
+        .transform(with_key_hash, NATURAL_KEY)
         .withColumn("slot", F.pmod("key_hash", "slots"))
         .drop("slots", "key_hash")
     )
@@ -48,7 +49,7 @@ def full_load(
     tables: Tables,
     loaded_at: str | None = None,
     table_format: str = "parquet",
-    heavy_rows: int = repeats.HEAVY_ROWS,
+    heavy_rows: int = HEAVY_ROWS,
     rows_per_file: int = ROWS_PER_FILE,
 ) -> DataFrame:
     """Land, validate, route, flag duplicates; returns the run's counts (one row)."""

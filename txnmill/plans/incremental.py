@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from txnmill.functions.times import utc_now
 from txnmill.operators import increment, landing, repeats, routing, rules
+from txnmill.operators.skew import HEAVY_ROWS
 from txnmill.plans.tables import Tables, stage
 from txnmill.profiles import INCREMENTAL
 from txnmill.schema import (
     BRONZE_COLUMNS,
     LANDING_COLUMNS,
-    NATURAL_KEY,
     QUARANTINE_COLUMNS,
     VALID_COLUMNS,
     WATERMARK_SCHEMA,
@@ -101,14 +101,18 @@ def discard_unlanded(spark: SparkSession, tables: Tables) -> None:
 
 
 def drop_known(
-    incoming: DataFrame, history: DataFrame, id_bytes: int, broadcast_bytes: int = BROADCAST_ID_BYTES
+    incoming: DataFrame,
+    history: DataFrame,
+    row_count: int,
+    id_bytes: int,
+    broadcast_bytes: int = BROADCAST_ID_BYTES,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Incoming rows whose id has not landed.
 
     Landing only grows while a batch is usually small. If the batch's ids are known to fit,
     they are broadcast to cut the history to matching ids where it is scanned, so the
-    history is not shuffled at all. Otherwise both sides meet in a shuffle by id, in which
-    adaptive execution splits ids with very many incoming rows.
+    history is not shuffled at all. Otherwise both sides meet in a shuffle by id.
     """
     ids = increment.known_ids(history)
     if id_bytes <= broadcast_bytes:
@@ -117,7 +121,7 @@ def drop_known(
             F.broadcast(wanted), "transaction_id", "left_semi"
         )
         ids = increment.known_ids(matching)
-    return increment.new_rows(incoming, ids).select(incoming.columns)
+    return increment.new_rows(incoming, ids, row_count, heavy_rows).select(incoming.columns)
 
 
 def run_batch(
@@ -129,7 +133,7 @@ def run_batch(
     monotonic: bool = True,
     loaded_at: str | None = None,
     table_format: str = "parquet",
-    heavy_rows: int = repeats.HEAVY_ROWS,
+    heavy_rows: int = HEAVY_ROWS,
     broadcast_bytes: int = BROADCAST_ID_BYTES,
 ) -> BatchResult:
     """Store the new rows of one batch. Without new rows nothing is written."""
@@ -152,7 +156,9 @@ def run_batch(
     if read["n"] == 0 or history.isEmpty():
         fresh = incoming
     else:
-        new = drop_known(incoming, history, read["id_bytes"], broadcast_bytes)
+        new = drop_known(
+            incoming, history, read["n"], read["id_bytes"], broadcast_bytes, heavy_rows
+        )
         fresh = stage(new, tables, "fresh")
     day = F.to_date("transaction_ts")
     found = fresh.agg(

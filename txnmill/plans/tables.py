@@ -15,12 +15,14 @@ class Tables:
     watermark: str
 
     @classmethod
-    def in_schema(cls, schema: str) -> "Tables":
+    def in_schema(cls, schema: str, suffix: str = "") -> "Tables":
+        """Full and incremental loads lay their tables out differently, so a schema that
+        takes both needs a suffix for one of them."""
         return cls(
-            landing=f"{schema}.landing_transactions",
-            quarantine=f"{schema}.quarantine_transactions",
-            bronze=f"{schema}.bronze_transactions",
-            watermark=f"{schema}.load_watermark",
+            landing=f"{schema}.landing_transactions{suffix}",
+            quarantine=f"{schema}.quarantine_transactions{suffix}",
+            bronze=f"{schema}.bronze_transactions{suffix}",
+            watermark=f"{schema}.load_watermark{suffix}",
         )
 
 
