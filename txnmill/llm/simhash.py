@@ -228,7 +228,7 @@ def bit_planes(fps: np.ndarray) -> np.ndarray:
     bits = np.unpackbits(fps, axis=1).T
     pad = -bits.shape[1] % 64
     bits = np.pad(bits, ((0, 0), (0, pad)))
-    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    return np.ascontiguousarray(np.packbits(bits, axis=1, bitorder="little")).view(np.uint64)
 
 
 def distances(queries: np.ndarray, planes: np.ndarray, members: int, radius: int) -> np.ndarray:
@@ -281,7 +281,8 @@ def _above(counters: np.ndarray, radius: int) -> np.ndarray:
 
 
 def _bits(words: np.ndarray, members: int) -> np.ndarray:
-    return np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")[:, :members]
+    raw = np.ascontiguousarray(words).view(np.uint8)
+    return np.unpackbits(raw, axis=1, bitorder="little")[:, :members]
 
 
 def _forest(fps: np.ndarray, left: np.ndarray | None, radius: int) -> np.ndarray:
