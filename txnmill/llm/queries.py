@@ -1,12 +1,64 @@
 """One query per corpus operator over its whole table, and SQL where SQL can express it."""
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnmill.llm.common import table
+from txnmill.llm.mixing import mixture
+from txnmill.llm.packing import pack
 from txnmill.llm.simhash import simhash_groups
+from txnmill.llm.span_hashes import fingerprints
+from txnmill.llm.token_counts import token_counts
+from txnmill.llm.token_files import read_token_files, write_token_files
+from txnmill.llm.topk import top_k
+from txnmill.llm.toxicity import score, train
+from txnmill.session import shared_dir
+
+
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all vectors for every query, a row whose id 50 divides."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document, sources weighing 1, 2, 3 in turn."""
+    mix = mixture(table(spark, sf_dir, "documents"), weights=(1, 2, 3), cap=3)
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "passes")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, read back from the token-id files."""
+    path = f"{shared_dir(spark)}/llm-token-files-{uuid.uuid4().hex}"
+    model = public_tokenizers.path("byte_bpe_50k.json")
+    write_token_files(table(spark, sf_dir, "documents"), path, model, end_id=0)
+    return read_token_files(path, spark)
+
+
+def op5_span_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, by a model of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bin and place of every piece of every document, packed to four lengths in words."""
+    return pack(table(spark, sf_dir, "documents")).drop("row_no")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the piece model."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts(table(spark, sf_dir, "documents"), model, limit=4096)
 
 
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +68,29 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": op1_top_k,
+    "op2_source_mix": op2_source_mix,
+    "op4_token_files": op4_token_files,
+    "op5_span_fingerprints": op5_span_fingerprints,
+    "op6_toxicity": op6_toxicity,
+    "op7_best_fit": op7_best_fit,
+    "op8_token_counts": op8_token_counts,
     "op9_simhash_groups": op9_simhash_groups,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_TOP_K = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_top_k": _TOP_K}
