@@ -7,9 +7,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnmill.llm.chat import formatted
 from txnmill.llm.common import table
 from txnmill.llm.mixing import mixture
 from txnmill.llm.packing import pack
+from txnmill.llm.sharding import kd_shards
 from txnmill.llm.simhash import simhash_groups
 from txnmill.llm.span_hashes import fingerprints
 from txnmill.llm.token_counts import token_counts
@@ -31,6 +33,11 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "passes")
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal logged conversations, rendered; a row per 1024 turns."""
+    return formatted(table(spark, sf_dir, "conversations"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum, read back from the token-id files."""
     path = f"{shared_dir(spark)}/llm-token-files-{uuid.uuid4().hex}"
@@ -67,15 +74,30 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, shards of near equal bytes."""
+    return kd_shards(table(spark, sf_dir, "documents"), shards=16).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_source_mix": op2_source_mix,
+    "op3_chat_format": op3_chat_format,
     "op4_token_files": op4_token_files,
     "op5_span_fingerprints": op5_span_fingerprints,
     "op6_toxicity": op6_toxicity,
     "op7_best_fit": op7_best_fit,
     "op8_token_counts": op8_token_counts,
     "op9_simhash_groups": op9_simhash_groups,
+    "op10_kd_shards": op10_kd_shards,
 }
 
 _TOP_K = """
@@ -93,4 +115,24 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_top_k": _TOP_K}
+_CHAT = """
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+p AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS FIRST, text NULLS FIRST) AS place
+  FROM t
+), c AS (
+  SELECT conv_id, count(*) AS n_turns, list({'role': role, 'text': text} ORDER BY place) AS turns
+  FROM p GROUP BY conv_id
+), u AS (
+  SELECT turns, n_turns, min(conv_id) AS conv_id, count(*) AS copies FROM c GROUP BY turns, n_turns
+), x AS (
+  SELECT DISTINCT turns[1:k] AS head FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM u)
+), m AS (SELECT u.* FROM u ANTI JOIN x ON u.turns = x.head)
+SELECT m.conv_id, (place - 1) // 1024 AS part, n_turns, copies,
+       string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10),
+                  '' ORDER BY place) AS text
+FROM m JOIN p ON m.conv_id = p.conv_id GROUP BY ALL
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_top_k": _TOP_K, "op3_chat_format": _CHAT}
