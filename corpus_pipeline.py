@@ -1,17 +1,52 @@
-"""Corpus pipeline: each stage is written as Parquet and read again before the next one."""
+"""Corpus pipeline: toxicity, near-duplicates, source mix, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
+read again as the next stage's documents. All but the last keep the columns of documents.
+"""
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from txnmill.llm.common import table
+from txnmill.llm.mixing import mixed_documents
+from txnmill.llm.near_duplicates import one_of_each
+from txnmill.llm.packing import pack
+from txnmill.llm.toxicity import train, without_rejected
 from txnmill.session import shared_dir
 
-STAGES: list = []
-ORACLE_SQL = None  # fingerprints, seeded selection and packing have no SQL form
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model of the labelled ones does not reject."""
+    return without_rejected(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similarity 0.8 in five-word shingles."""
+    return one_of_each(docs, shingle_words=5, similarity=0.8)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at 1, 2, 3 parts in turn, none more than three times."""
+    return mixed_documents(docs, weights=(1, 2, 3), cap=3)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bin and place of every piece; ``row_no`` numbers the documents of the mix."""
+    return pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("source_mix", source_mix),
+    ("packing", packing),
+]
+ORACLE_SQL = None  # fingerprints, fitted weights, seeded selection and packing have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/llm-pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:

@@ -111,10 +111,12 @@ def mixture(
     seed: int = 17,
     shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
-    """One row per document: doc_id, row_hash, size, source_size, target, passes, spans, taken.
+    """One row per document: doc_id, row_hash, copy, copies, size, source_size, target, passes,
+    spans, taken.
 
     The mix takes the whole text ``passes`` times and the words of ``spans`` (from, to) once
-    more; ``taken`` is the number of words in all. ``row_hash`` tells rows with one id apart.
+    more; ``taken`` is the number of words in all. ``row_hash`` tells rows with one id apart,
+    ``copy`` of ``copies`` those that are fully equal.
     """
     sized = (
         docs.select(
@@ -126,7 +128,6 @@ def mixture(
         .groupBy("doc_id", "source", "size", "row_hash")
         .agg(F.count("*").alias("copies"))
         .withColumn("copy", F.explode(F.expr("sequence(1, copies)")))
-        .drop("copies")
     )
     sized = staged(sized, "sized")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -153,7 +154,7 @@ def _taken(sized, sources, words, block, chunk, cap, seed, shard_words) -> DataF
     quotas = staged(quotas, "quotas")
     draw = F.xxhash64(F.lit(seed), "doc_id", "row_hash", "copy")
     placed = sized.join(quotas, sized["source"].eqNullSafe(quotas["source"])).select(
-        "doc_id", "row_hash", "copy", "size", "source_no", "source_size", "target", "quota",
+        "doc_id", "row_hash", "copy", "copies", "size", "source_no", "source_size", "target", "quota",
         F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "row_hash", "copy"), "shards").alias("shard"),
         draw.alias("draw"),
     )
@@ -177,6 +178,7 @@ def _taken(sized, sources, words, block, chunk, cap, seed, shard_words) -> DataF
     whole = F.when(F.col("size") > 0, F.coalesce("passes", F.lit(0))).otherwise(0).cast("long")
     return joined.select(
         *(F.col(f"k.{c}").alias(c) for c in key),
+        "copies",
         "size",
         "source_size",
         "target",
@@ -244,11 +246,13 @@ def mixed_documents(
     of the spans if there are any, cut out of the text with the white space between them."""
     workers_see_package(docs.sparkSession)
     taken = mixture(docs, text_col=text_col, **options).filter("taken > 0")
-    taken = staged(taken.select("row_hash", "copy", "passes", "spans"), "taken")
+    taken = staged(taken.select("row_hash", "copies", "passes", "spans"), "taken")
     whole = docs.select(row_hash(docs).alias("row_hash"), F.struct(*docs.columns).alias("doc"))
-    whole = whole.join(taken.select("row_hash").distinct(), "row_hash", "left_semi")
-    whole = whole.dropDuplicates(["row_hash"])  # fully equal rows; ``taken`` has one for each
-    rows = whole.join(taken, "row_hash").select("doc.*", "passes", "spans")
+    single, several = taken.filter("copies = 1"), taken.filter("copies > 1")
+    hashes = several.select("row_hash").distinct()
+    once = whole.join(hashes, "row_hash", "left_semi").dropDuplicates(["row_hash"])
+    rows = whole.join(single, "row_hash").union(once.join(several, "row_hash"))
+    rows = rows.select("doc.*", "passes", "spans")
     names, schema = list(docs.columns), T.StructType(docs.schema.fields)
     text_at = names.index(text_col)
     chars_at = names.index(chars_col) if chars_col in names else None

@@ -1,0 +1,131 @@
+"""Near-duplicate documents: SimHash finds the pairs, their shingles decide.
+
+Documents of one word sequence are one node. Nodes get a 128-bit SimHash of five-word shingles
+and anchor keys, are compared bit-sliced inside blocks of equal keys (``simhash``), and every link
+found is checked by the Jaccard similarity of the two shingle sets. At a similarity of 0.8 some 20
+bits of 128 differ, with a deviation of 4; the radius of 32 leaves out fewer than one such pair in
+a thousand and what else comes within it is sorted out by the check. Chains of checked
+links are groups, of which the row with the smallest id stays.
+
+Defined cases: texts without words are one group. Case and white space do not count. Fully equal rows
+are one group with all their copies, of which one row stays. A null id counts as larger than any other.
+All columns are passed through.
+"""
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from txnmill.llm.common import staged, workers_see_package
+from txnmill.llm.components import components
+from txnmill.llm.mixing import row_hash
+from txnmill.llm.simhash import (
+    BANDS,
+    anchor_keys,
+    fingerprint,
+    link_forest,
+    shared_keys,
+    shingle_hashes,
+)
+
+BITS, RADIUS, NAME = 128, 32, 16
+
+
+def _marked(rows: DataFrame, shingle_words: int) -> DataFrame:
+    """(doc_id, row_hash, name, node): ``node`` is fingerprint, name and anchor keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, nodes = [], []
+            for text in batch.column(2):
+                raw = text.as_py() or b""
+                hashes = shingle_hashes(raw, shingle_words)
+                name = xxhash.xxh3_128_digest(b" ".join(raw.lower().split()))
+                names.append(name)
+                nodes.append(fingerprint(hashes, BITS) + name + anchor_keys(hashes).tobytes())
+            columns = [*batch.columns[:2], pa.array(names, pa.binary()), pa.array(nodes, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_hash", "name", "node"])
+
+    return rows.mapInArrow(run, "doc_id long, row_hash long, name binary, node binary")
+
+
+def _keyed(nodes: DataFrame) -> DataFrame:
+    """(key, band, name), a row per band."""
+    first = BITS // 8 + NAME
+    keys = F.array(
+        *(F.xxhash64(F.lit(i), F.substring("node", first + 4 * i + 1, 4)) for i in range(BANDS))
+    )
+    return nodes.select(F.posexplode(keys).alias("band", "key"), "name")
+
+
+def _links(nodes: DataFrame, radius: int) -> DataFrame:
+    """(a, b): names of nodes that a block has linked."""
+    keyed = _keyed(nodes)
+    sizes = shared_keys(keyed)
+    meeting = staged(keyed.join(sizes, "key").select("key", "band", "name"), "meeting")
+    full = meeting.join(nodes.select("name", F.col("node").alias("fp")), "name").drop("name")
+    links = link_forest(full, sizes, radius, BITS, BANDS)
+    names = [F.substring(c, BITS // 8 + 1, NAME).alias(c) for c in ("a", "b")]
+    return staged(links.select(*names), "links")
+
+
+def _checked(links: DataFrame, texts: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """Links whose shingle sets are as similar as asked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for left, right in zip(batch.column(2), batch.column(3), strict=True):
+                a, b = (np.unique(shingle_hashes(x.as_py(), shingle_words)) for x in (left, right))
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(both >= similarity * (len(a) + len(b) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = texts.select(F.col("name").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("name").alias("b"), F.col("text").alias("text_b"))
+    pairs = links.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    return pairs.mapInArrow(run, "a binary, b binary")
+
+
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 5,
+    similarity: float = 0.8,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates, one of each group."""
+    workers_see_package(docs.sparkSession)
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        row_hash(docs).alias("row_hash"),
+        F.col(text_col).cast("binary").alias("text"),
+    )
+    marked = staged(_marked(rows, shingle_words), "marked")
+    # the smallest id first, null last
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_hash")).alias("first")
+    nodes = staged(marked.groupBy("name").agg(first, F.any_value("node").alias("node")), "nodes")
+    links = _links(nodes.select("name", "node"), radius)
+
+    linked = links.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    wanted = staged(
+        nodes.join(linked, "name").select("name", F.col("first.row_hash").alias("row_hash")), "wanted"
+    )
+    texts = rows.select("row_hash", "text").join(wanted, "row_hash").dropDuplicates(["name"])
+    groups = components(_checked(links, staged(texts.select("name", "text"), "texts"), shingle_words, similarity))
+
+    rooted = nodes.join(groups.withColumnRenamed("node", "member"), F.col("name") == F.col("member"), "left")
+    kept = rooted.groupBy(F.coalesce("root", "name").alias("root")).agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.row_hash").alias("row_hash"))
+    copies = marked.groupBy("row_hash").agg(F.count("*").alias("copies"))
+    kept = staged(kept.join(copies, "row_hash"), "kept-rows")
+
+    whole = docs.select(row_hash(docs).alias("row_hash"), F.struct(*docs.columns).alias("doc"))
+    single = whole.join(kept.filter("copies = 1").select("row_hash"), "row_hash")
+    several = whole.join(kept.filter("copies > 1").select("row_hash"), "row_hash")
+    return single.union(several.dropDuplicates(["row_hash"])).select("doc.*")

@@ -12,8 +12,8 @@ Blocks come from keys; two fingerprints are compared if they share one.
   chunks. ``radius`` differing bits spoil at most ``radius`` chunks, so two fingerprints within
   the radius share a pair. Nothing is lost.
 * ``anchor_keys`` takes bands of smallest shingle hashes. Documents of similarity 0.8 share
-  one of 16 bands of three with probability 0.99999; wide radii need it, because chunks get
-  too short there.
+  one of 12 bands of three with probability 0.9998; wide radii need it, because chunks get
+  too short there. A pair that shares several bands is compared in the first of them only.
 
 A block of any size is worked on whole: one above ``block_rows`` is cut into sub-blocks by
 hash, and each pair of sub-blocks is a group of its own. A group returns a minimum spanning
@@ -39,7 +39,7 @@ from txnmill.llm.components import components
 
 SEED = 42
 BLOCK_ROWS = 2048
-BANDS, BAND_ROWS = 16, 3
+BANDS, BAND_ROWS = 12, 3
 PLANES_PER_LOOK = 8  # planes added between two looks at whether a block may be abandoned
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -82,15 +82,12 @@ def fingerprint(hashes: np.ndarray, bits: int) -> bytes:
     return out
 
 
-def anchor_keys(hashes: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) -> list[int]:
-    """One key per band, of the smallest hashes under ``rows`` reorderings each."""
+def anchor_keys(hashes: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) -> np.ndarray:
+    """One 32-bit key per band, of the smallest hashes under ``rows`` reorderings each."""
     if not len(hashes):
-        return [0]
-    keys = []
-    for band in range(bands):
-        least = [int(remix(hashes, 1000 + band * rows + i).min()) for i in range(rows)]
-        keys.append(xxhash.xxh64_intdigest(repr((band, least))) - 2**63)
-    return keys
+        return np.zeros(bands, np.uint32)
+    least = [[int(remix(hashes, 1000 + band * rows + i).min()) for i in range(rows)] for band in range(bands)]
+    return np.array([xxhash.xxh32_intdigest(repr(x)) for x in least], np.uint32)
 
 
 def fingerprints(
@@ -99,29 +96,19 @@ def fingerprints(
     text_col: str = "text",
     shingle_words: int = 3,
     bits: int = 64,
-    anchors: bool = False,
 ) -> DataFrame:
-    """(doc_id, fp binary[, keys array<long>]), one row per document; whole texts, no shuffle."""
+    """(doc_id, fp binary), one row per document; whole texts, no shuffle."""
     workers_see_package(docs.sparkSession)
-    schema = "doc_id long, fp binary" + (", keys array<long>" if anchors else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, keys = [], []
-            for text in batch.column(1):
-                hashes = shingle_hashes(text.as_py(), shingle_words)
-                fps.append(fingerprint(hashes, bits))
-                if anchors:
-                    keys.append(anchor_keys(hashes))
-            columns = [batch.column(0), pa.array(fps, pa.binary())]
-            if anchors:
-                columns.append(pa.array(keys, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "keys"][: len(columns)])
+            fps = [fingerprint(shingle_hashes(t.as_py(), shingle_words), bits) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], names=["doc_id", "fp"])
 
     narrow = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")
     )
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(run, "doc_id long, fp binary")
 
 
 # Blocks
@@ -149,20 +136,24 @@ def _with_chunk_keys(nodes: DataFrame, bits: int, radius: int) -> DataFrame:
     return nodes.select(F.explode(F.array(*pairs)).alias("key"), "fp")
 
 
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """(key, members) of keys that several rows have; counted before the shuffle."""
+    counts = keyed.groupBy("key").agg(F.count("*").alias("members"))
+    return staged(counts.filter("members > 1"), "sizes")
+
+
 def link_forest(
-    keyed: DataFrame, radius: int, bits: int, block_rows: int = BLOCK_ROWS
+    keyed: DataFrame, sizes: DataFrame, radius: int, bits: int, bands: int = 0, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Links (a, b: binary fingerprints) within ``radius``, a spanning forest of every block.
+    """Links (a, b: as ``fp`` in ``keyed``) within ``radius``, a spanning forest of every block.
 
-    ``keyed`` has (key long, fp binary). Keys that only one fingerprint has are left out by a
-    count that is combined before the shuffle. A key with more than ``block_rows`` members is
-    split: members are dealt to sub-blocks by hash and every pair of sub-blocks is a group.
+    ``keyed`` has (key long, fp binary), each pair once; ``sizes`` is its ``shared_keys``. A key with
+    more than ``block_rows`` members is split: members are dealt to sub-blocks by hash and every pair
+    of sub-blocks is a group. With ``bands`` a ``fp`` is the fingerprint, a name and its anchor
+    keys, and ``keyed`` has the ``band`` of the key.
     """
     spark = keyed.sparkSession
     workers_see_package(spark)
-    keyed = staged(keyed.distinct(), "keyed")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    sizes = staged(sizes, "sizes")
     parts = F.ceil(F.col("members") / block_rows).cast("int")
     dealt = (
         keyed.join(sizes, "key")
@@ -174,6 +165,7 @@ def link_forest(
             F.least("own", "other").alias("low"),
             F.greatest("own", "other").alias("high"),
             (F.col("own") <= F.col("other")).alias("left"),
+            (F.col("band") if bands else F.lit(0)).cast("int").alias("band"),
             "fp",
         )
     )
@@ -181,10 +173,11 @@ def link_forest(
     grouped = dealt.repartition(4 * shuffle_partitions(spark), *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for low, high, left, fps in _groups(batches, bits):
-            pairs = _forest(fps, left if low != high else None, radius)
+        for low, high, left, band, rows in _groups(batches):
+            keys = rows[:, -4 * bands :].copy().view(np.uint32)[:, :band] if bands else None
+            pairs = _forest(rows[:, : bits // 8].copy(), left if low != high else None, radius, keys)
             if len(pairs):
-                a, b = (np.ascontiguousarray(fps[pairs[:, i]]) for i in (0, 1))
+                a, b = (np.ascontiguousarray(rows[pairs[:, i]]) for i in (0, 1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x.tobytes() for x in side], pa.binary()) for side in (a, b)],
                     names=["a", "b"],
@@ -193,21 +186,22 @@ def link_forest(
     return grouped.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _groups(batches, bits: int):
+def _groups(batches):
     """Runs of equal (key, low, high) over the batches of a sorted partition; a run is bounded by
     two sub-blocks, so it fits in memory."""
     last, parts = None, []
 
     def out():
         left = np.concatenate([p[0] for p in parts])
-        return last[1], last[2], left, np.concatenate([p[1] for p in parts])
+        return last[1], last[2], left, last[3], np.concatenate([p[1] for p in parts])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        ids = np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(3)], axis=1)
-        left = np.asarray(batch.column(3).cast(pa.int8())).astype(bool)
-        raw = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, bits // 8)
+        key, low, high, left, band, fps = batch.columns
+        ids = np.stack([np.asarray(c).astype(np.int64) for c in (key, low, high, band)], axis=1)
+        left = np.asarray(left.cast(pa.int8())).astype(bool)
+        raw = np.frombuffer(b"".join(fps.to_pylist()), np.uint8).reshape(len(ids), -1)
         starts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1), len(ids)]
         for a, b in zip(starts, starts[1:], strict=False):
             now = tuple(int(x) for x in ids[a])
@@ -285,10 +279,15 @@ def _bits(words: np.ndarray, members: int) -> np.ndarray:
     return np.unpackbits(raw, axis=1, bitorder="little")[:, :members]
 
 
-def _forest(fps: np.ndarray, left: np.ndarray | None, radius: int) -> np.ndarray:
-    """Minimum spanning forest of the links among ``fps``, or between its left and right rows."""
+def _forest(
+    fps: np.ndarray, left: np.ndarray | None, radius: int, seen: np.ndarray | None = None
+) -> np.ndarray:
+    """Minimum spanning forest of the links among ``fps``, or between its left and right rows.
+
+    Pairs that agree in a column of ``seen`` were compared elsewhere and are left out.
+    """
     if left is None and len(fps) <= 4:
-        return _few(fps, radius)
+        return _few(fps, radius, seen)
     rows, columns = (None, None) if left is None else (np.flatnonzero(left), np.flatnonzero(~left))
     own, other = (fps, fps) if left is None else (fps[rows], fps[columns])
     if not len(own) or not len(other):
@@ -298,6 +297,10 @@ def _forest(fps: np.ndarray, left: np.ndarray | None, radius: int) -> np.ndarray
     grid = np.concatenate(
         [distances(own[i : i + step], planes, len(other), radius) for i in range(0, len(own), step)]
     )
+    if seen is not None:
+        a, b = (seen, seen) if left is None else (seen[rows], seen[columns])
+        for band in range(seen.shape[1]):
+            grid[a[:, band, None] == b[None, :, band]] = radius + 1
     if left is None:
         np.fill_diagonal(grid, radius + 1)
     linked = np.flatnonzero((grid <= radius).any(axis=1))
@@ -306,11 +309,14 @@ def _forest(fps: np.ndarray, left: np.ndarray | None, radius: int) -> np.ndarray
     return _prim(grid, rows, columns, len(fps), radius)
 
 
-def _few(fps: np.ndarray, radius: int) -> np.ndarray:
-    """All links of a handful of rows, found by the same planes one pair at a time."""
-    pairs = np.array(list(combinations(range(len(fps)), 2)))
+def _few(fps: np.ndarray, radius: int, seen: np.ndarray | None) -> np.ndarray:
+    """All links of a handful of rows, for which planes of 64 would be all but empty."""
+    pairs = np.array(list(combinations(range(len(fps)), 2)), np.int64).reshape(-1, 2)
     apart = np.unpackbits(fps[pairs[:, 0]] ^ fps[pairs[:, 1]], axis=1).sum(axis=1)
-    return pairs[apart <= radius]
+    near = apart <= radius
+    if seen is not None:
+        near &= ~(seen[pairs[:, 0]] == seen[pairs[:, 1]]).any(axis=1)
+    return pairs[near]
 
 
 def _prim(grid, rows, columns, nodes: int, radius: int) -> np.ndarray:
@@ -357,7 +363,8 @@ def simhash_groups(
     marked = staged(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     nodes = staged(nodes, "nodes")
-    links = link_forest(_with_chunk_keys(nodes.select("fp"), 64, radius), radius, 64)
+    keyed = _with_chunk_keys(nodes.select("fp"), 64, radius)
+    links = link_forest(keyed, shared_keys(keyed), radius, 64)
     return marked.join(least_ids(nodes, components(links)), "fp", "left").select(
         "doc_id", "fp", "component_id"
     )
