@@ -11,10 +11,10 @@ rows of a Parquet table in the order of its ``part`` and ``seq``: Spark's commit
 lost tasks, and any file system that Spark knows will do. ``part_start`` is the number of ids
 before the segment in its part. The ids before a part are summed from the parts' sizes.
 
-Texts are encoded by the tokenizers library. Byte-level models start a new token wherever white
-space follows something else, so texts are cut there and each distinct run is encoded once for a
-while; runs are joined to longer texts for the library, and told apart by the bytes of their
-tokens. Other models get whole texts.
+Texts are encoded by the tokenizers library. For byte-level models a space with the letters behind
+it is always split off before merging, whatever stands around it. So texts are cut around these
+words, the library merges each distinct word once for a while, and encodes what lies between in the
+same way. Other models get whole texts.
 
 Defined cases: null and empty texts have the end id alone. A null id comes first; rows with equal
 ids follow in order of the text's hash. An empty table gives empty files. Other columns are ignored.
@@ -26,7 +26,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +39,12 @@ from txnmill.llm import elias_fano
 from txnmill.llm.common import shuffle_partitions, workers_see_package
 
 SEGMENT_IDS = 1_000_000
-RUNS_AT_ONCE = 200_000
-CACHED_RUNS = 400_000
-JOINED_RUNS = 500
+RUNS_AT_ONCE = 300_000
+CACHED_RUNS = 500_000
 _HEAD = struct.Struct("<4sB3xQ")
 SEGMENT_SCHEMA = "part int, seq int, part_start long, n_ids long, doc_ids array<long>, payload binary"
-# A run ends where white space of every definition follows something that is none in any.
-_RUN = re.compile(r"\s*\S+(?:[^\S \t\n\r]\s*\S+)*(?:[^\S \t\n\r]\s*$)?|\s+")
+# Words of letters that are letters in every version of Unicode, not followed by more of a word.
+_WORDS = re.compile("( [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)(?!\\w)")
 
 
 class Encoder:
@@ -59,16 +57,14 @@ class Encoder:
         with open(tokenizer_file, encoding="utf-8") as f:
             spec = json.load(f)
         self.by_runs = self._cuts_at_space(spec)
-        ids = self.library.get_vocab(with_added_tokens=True)
-        self.most = max(ids.values(), default=0)
-        if self.by_runs:
-            # a byte-level token has one character per byte; added tokens are plain text
-            self.bytes_of = np.zeros(self.most + 1, np.int64)
-            for token, i in ids.items():
-                self.bytes_of[i] = len(token)
-            for token in spec["added_tokens"]:
-                self.bytes_of[token["id"]] = len(token["content"].encode())
-        self._forget()
+        self.most = max(self.library.get_vocab(with_added_tokens=True).values(), default=0)
+        self.model = self.library.model
+        self.to_bytes = _byte_letters()
+        self.known: dict[str, int] = {}
+        self.flat = np.empty(0, np.uint32)
+        self.starts = np.empty(0, np.int64)
+        self.lengths = np.empty(0, np.int64)
+        self.uses = np.empty(0, np.int64)
 
     @staticmethod
     def _cuts_at_space(spec: dict) -> bool:
@@ -85,12 +81,6 @@ class Encoder:
             and plain
         )
 
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.empty(0, np.uint32)
-        self.starts = np.empty(0, np.int64)
-        self.lengths = np.empty(0, np.int64)
-
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text in turn."""
         if not self.by_runs:
@@ -98,76 +88,79 @@ class Encoder:
                 yield np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
             return
         runs: list[str] = []
-        owners: list[tuple[int, bool]] = []  # runs of a text, and whether it ends with them
-        open_part: list[np.ndarray] = []
+        counts: list[int] = []
         for text in texts:
-            found = (m.group() for m in _RUN.finditer(text))
-            while True:
-                part = list(islice(found, RUNS_AT_ONCE - len(runs)))
-                runs += part
-                ended = len(runs) < RUNS_AT_ONCE
-                owners.append((len(part), ended))
-                if ended:
-                    break
-                yield from self._flush(runs, owners, open_part)
-                runs, owners = [], []
-        yield from self._flush(runs, owners, open_part)
-
-    def _flush(self, runs, owners, open_part) -> Iterator[np.ndarray]:
+            n = len(runs)
+            runs += filter(None, _WORDS.split(text))
+            counts.append(len(runs) - n)
+            if len(runs) >= RUNS_AT_ONCE:
+                yield from self._flush(runs, counts)
+                runs, counts = [], []
+        yield from self._flush(runs, counts)
+
+    def _flush(self, runs: list[str], counts: list[int]) -> Iterator[np.ndarray]:
         ids, sizes = self._ids(runs)
-        ends = np.cumsum(sizes)
-        at = run = 0
-        for n, ended in owners:
-            run += n
-            end = int(ends[run - 1]) if run else 0
-            open_part.append(ids[at:end])
-            at = end
-            if ended:
-                yield np.concatenate(open_part)
-                open_part.clear()
+        run_ends = np.concatenate([[0], np.cumsum(sizes)])
+        ends = run_ends[np.cumsum([0, *counts])].tolist()
+        for a, b in zip(ends, ends[1:], strict=False):
+            yield ids[a:b]
 
     def _ids(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the runs in a row, and the number of each run's."""
-        fresh = list(dict.fromkeys(r for r in runs if r not in self.known))
+        fresh = list(set(runs) - self.known.keys())
         if len(self.known) + len(fresh) > CACHED_RUNS:
             self._forget()
-            fresh = list(dict.fromkeys(runs))
-        if fresh:
-            self._learn(fresh)
+            fresh = list(set(runs) - self.known.keys())
+        self._learn(fresh)
         which = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        self.uses += np.bincount(which, minlength=len(self.uses))
         sizes = self.lengths[which]
         before = np.cumsum(sizes) - sizes
         at = np.arange(int(sizes.sum())) + np.repeat(self.starts[which] - before, sizes)
         return self.flat[at], sizes
 
+    def _forget(self) -> None:
+        """Drop the least used runs, at least half of them."""
+        limit = max(1, int(np.median(self.uses))) if len(self.uses) else 0
+        keep = np.flatnonzero(self.uses > limit)
+        place = np.full(len(self.uses), -1)
+        place[keep] = np.arange(len(keep))
+        self.known = {run: int(place[i]) for run, i in self.known.items() if place[i] >= 0}
+        sizes = self.lengths[keep]
+        before = np.cumsum(sizes) - sizes
+        at = np.arange(int(sizes.sum())) + np.repeat(self.starts[keep] - before, sizes)
+        self.flat, self.starts, self.lengths = self.flat[at], before, sizes
+        self.uses = self.uses[keep] // 2
+
     def _learn(self, fresh: list[str]) -> None:
-        joinable = [r for r in fresh if r[0] in " \t\n\r" and not r[-1].isspace()]
-        single = [r for r in fresh if not (r[0] in " \t\n\r" and not r[-1].isspace())]
-        groups = [joinable[i : i + JOINED_RUNS] for i in range(0, len(joinable), JOINED_RUNS)]
-        groups += [[r] for r in single]
-        texts = ["".join(g) for g in groups]
-        flat, sizes = [], []
-        for group, coded in zip(
-            groups, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True
-        ):
-            ids = np.array(coded.ids, np.uint32)
-            flat.append(ids)
-            if len(group) == 1:
-                sizes.append(np.array([len(ids)]))
-                continue
-            token_ends = np.cumsum(self.bytes_of[ids])
-            run_ends = np.cumsum([len(r.encode()) for r in group])
-            cut = np.searchsorted(token_ends, run_ends)
-            if not (token_ends[cut] == run_ends).all():
-                raise ValueError("a token reaches across white space; the model is not byte-level")
-            sizes.append(np.diff(cut + 1, prepend=0))
-        lengths = np.concatenate(sizes)
-        starts = len(self.flat) + np.cumsum(lengths) - lengths
+        found = []
+        merge, letters = self.model.tokenize, self.to_bytes
+        rest = []
+        for run in fresh:
+            if run[0] == " " and _WORDS.fullmatch(run):
+                found.append([t.id for t in merge(run.encode().decode("latin-1").translate(letters))])
+            else:
+                rest.append(len(found))
+                found.append(run)
+        coded = self.library.encode_batch_fast([found[i] for i in rest], add_special_tokens=False)
+        for i, one in zip(rest, coded, strict=True):
+            found[i] = one.ids
+        lengths = np.array([len(f) for f in found], np.int64)
+        flat = np.array([i for f in found for i in f], np.uint32)
         n = len(self.lengths)
-        self.known.update(zip((r for g in groups for r in g), range(n, n + len(lengths)), strict=True))
-        self.flat = np.concatenate([self.flat, *flat])
-        self.starts = np.concatenate([self.starts, starts])
+        self.known.update(zip(fresh, range(n, n + len(fresh)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.flat = np.concatenate([self.flat, flat])
         self.lengths = np.concatenate([self.lengths, lengths])
+        self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that byte-level models have for each byte: printable ones stand for
+    themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 @lru_cache(maxsize=4)
