@@ -1,15 +1,26 @@
 """DuckDB counterparts of the registered queries, put together from named steps."""
 
 from checks.records import duckdb_records
-from txnmill.profiles import (
-    COUNTRY_CODES,
-    CURRENCIES,
-    MERCHANT_CATEGORIES,
-    STATUSES,
-    TRANSACTION_TYPES,
-)
 from txnmill.schema import LANDING_FIELDS, NATURAL_KEY
 
+# What the rules accept, written out here so that a wrong list under test shows.
+CURRENCIES = "USD EUR GBP CHF JPY AUD CAD".split()
+TRANSACTION_TYPES = "debit credit".split()
+MERCHANT_CATEGORIES = """
+    e-commerce travel food_and_beverage groceries electronics retail entertainment health
+    transportation home_and_garden payroll transfer
+""".split()
+STATUSES = "completed pending failed reversed".split()
+COUNTRY_CODES = """
+    AD AE AF AG AI AL AM AO AR AT AU AZ BA BB BD BE BF BG BH BI BJ BN BO BR BS BT BW BY BZ CA
+    CD CF CG CH CI CL CM CN CO CR CU CV CY CZ DE DJ DK DM DO DZ EC EE EG ER ES ET FI FJ FM FR
+    GA GB GD GE GH GM GN GQ GR GT GW GY HK HN HR HT HU ID IE IL IN IQ IR IS IT JM JO JP KE KG
+    KH KI KM KN KP KR KW KZ LA LB LC LI LK LR LS LT LU LV LY MA MC MD ME MG MH MK ML MM MN MR
+    MT MU MV MW MX MY MZ NA NE NG NI NL NO NP NR NZ OM PA PE PG PH PK PL PT PW PY QA RO RS RW
+    SA SB SC SD SE SG SI SK SL SM SN SO SR SS ST SV SY SZ TD TG TH TJ TL TN TO TR TT TV TW TZ
+    UA UG US UY UZ VA VC VE VN VU WS YE ZA ZM ZW
+""".split()
+
 ISO = "%Y-%m-%dT%H:%M:%SZ"
 DATE_PATTERN = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])T([01]\d|2[0-3]):[0-5]\d:[0-5]\dZ$"
 FIELDS = ", ".join(LANDING_FIELDS)
@@ -150,29 +161,31 @@ STEPS = {
     "base": """SELECT account_id, CAST(transaction_ts AS DATE) AS transaction_date, amount,
         transaction_type, merchant_name, merchant_category, currency
         FROM bronze WHERE status = 'completed' AND NOT is_duplicate""",
-    "metrics": """SELECT account_id, transaction_date,
-        CAST(SUM(CASE WHEN transaction_type = 'debit' THEN amount ELSE 0 END) AS DECIMAL(18,2))
-            AS total_debit_amount,
-        CAST(SUM(CASE WHEN transaction_type = 'credit' THEN amount ELSE 0 END) AS DECIMAL(18,2))
-            AS total_credit_amount,
-        CAST(SUM(CASE WHEN transaction_type = 'credit' THEN amount
-            WHEN transaction_type = 'debit' THEN -amount ELSE 0 END) AS DECIMAL(18,2))
-            AS net_amount,
-        COUNT(*) AS transaction_count,
-        COUNT(DISTINCT merchant_name) AS distinct_merchants,
-        STRING_AGG(DISTINCT currency, ',' ORDER BY currency) AS currencies
-        FROM base GROUP BY account_id, transaction_date""",
-    "spend": """SELECT account_id, transaction_date, merchant_category,
-        SUM(amount) AS category_amount
-        FROM base GROUP BY account_id, transaction_date, merchant_category""",
-    "ranked": """SELECT account_id, transaction_date, merchant_category, row_number() OVER (
-        PARTITION BY account_id, transaction_date
-        ORDER BY category_amount DESC, merchant_category) AS rn FROM spend""",
-    "top": """SELECT account_id, transaction_date, merchant_category AS top_category
-        FROM ranked WHERE rn = 1""",
-    "summary": """SELECT account_id, transaction_date, total_debit_amount, total_credit_amount,
-        net_amount, transaction_count, distinct_merchants, top_category, currencies
-        FROM metrics LEFT JOIN top USING (account_id, transaction_date)""",
+    # One grain of account, day, category and direction feeds every money figure; the top category
+    # is the arg_max over it. Merchants and currencies are looked up in the rows themselves.
+    "grain": """SELECT account_id AS a, transaction_date AS d, merchant_category AS c,
+        SUM(amount) AS spend, SUM(amount) FILTER (transaction_type = 'debit') AS out_sum,
+        SUM(amount) FILTER (transaction_type = 'credit') AS in_sum, COUNT(*) AS n
+        FROM base GROUP BY ALL""",
+    "summary": """SELECT a AS account_id, d AS transaction_date,
+        CAST(COALESCE(SUM(out_sum), 0) AS DECIMAL(18,2)) AS total_debit_amount,
+        CAST(COALESCE(SUM(in_sum), 0) AS DECIMAL(18,2)) AS total_credit_amount,
+        CAST(COALESCE(SUM(in_sum), 0) - COALESCE(SUM(out_sum), 0) AS DECIMAL(18,2)) AS net_amount,
+        CAST(SUM(n) AS BIGINT) AS transaction_count,
+        (SELECT COUNT(DISTINCT merchant_name) FROM base WHERE account_id = a AND transaction_date = d)
+            AS distinct_merchants,
+        arg_min(c, (-spend, c)) AS top_category,
+        (SELECT array_to_string(list_sort(list_distinct(list(currency))), ',') FROM base
+            WHERE account_id = a AND transaction_date = d) AS currencies
+        FROM grain GROUP BY a, d""",
+    "faulty": """SELECT account_id, transaction_date, total_debit_amount, total_credit_amount,
+        CAST(net_amount + (day(transaction_date) % 5 = 0)::INT AS DECIMAL(18,2)) AS net_amount,
+        CASE WHEN day(transaction_date) % 11 = 0 THEN 0 ELSE transaction_count END AS transaction_count,
+        distinct_merchants, CASE WHEN day(transaction_date) % 7 <> 0 THEN top_category END AS top_category,
+        currencies FROM summary, range(1 + (day(transaction_date) % 13 = 0)::INT)""",
+    "large_amounts": """SELECT * REPLACE (CASE
+        WHEN regexp_full_match(amount_raw, '\\d+\\.\\d\\d') AND amount_raw LIKE '%7'
+        THEN '1234567' || lpad(amount_raw, 10, '0') ELSE amount_raw END AS amount_raw) FROM raw""",
     # Two loads: landed rows, valid rows and flags of each.
     "part1": f"SELECT * FROM validated_incremental WHERE {FIRST_PART}",
     "rest": f"SELECT * FROM validated_incremental WHERE ({FIRST_PART}) IS NOT TRUE",
@@ -232,7 +245,8 @@ FINALS = {
     "scan_csv": f"SELECT NULLIF(transaction_id, '') AS transaction_id, {', '.join(LANDING_FIELDS[1:])} FROM raw",
     "scan_since": f"""SELECT {FIELDS} FROM raw
         WHERE try_strptime(transaction_date, '{ISO}') >= TIMESTAMP '2024-01-15 00:00:00'""",
-    "scan_json_pages": f"SELECT {FIELDS} FROM raw",
+    "scan_json_pages": f"SELECT {FIELDS} FROM large_amounts",
+    "scan_json_lines": f"SELECT {FIELDS} FROM large_amounts",
     "source_fallback": f"""SELECT NULLIF(transaction_id, '') AS transaction_id,
         {', '.join(LANDING_FIELDS[1:])}, 'csv_files' AS source_system FROM raw""",
     "landing_full": f"SELECT {FIELDS}, 'json_pages' AS source_system FROM raw",
@@ -275,12 +289,13 @@ FINALS = {
         landing_rows = quarantine_rows + bronze_rows AS reconciled FROM ({COUNTS}) AS c""",
     "summary_base": "SELECT * FROM base",
     "daily_metrics": """SELECT account_id, transaction_date, total_debit_amount,
-        total_credit_amount, net_amount, transaction_count, distinct_merchants FROM metrics""",
-    "daily_currencies": "SELECT account_id, transaction_date, currencies FROM metrics",
-    "category_spend": """SELECT account_id, transaction_date, merchant_category,
-        CAST(category_amount AS DECIMAL(28,2)) AS category_amount FROM spend""",
-    "ranked_categories": "SELECT * FROM ranked",
-    "top_category": "SELECT * FROM top",
+        total_credit_amount, net_amount, transaction_count, distinct_merchants FROM summary""",
+    "daily_currencies": "SELECT account_id, transaction_date, currencies FROM summary",
+    "category_spend": """SELECT a AS account_id, d AS transaction_date, c AS merchant_category,
+        CAST(spend AS DECIMAL(28,2)) AS category_amount FROM grain""",
+    "ranked_categories": """SELECT a AS account_id, d AS transaction_date, c AS merchant_category,
+        row_number() OVER (PARTITION BY a, d ORDER BY spend DESC, c) AS rn FROM grain""",
+    "top_category": "SELECT account_id, transaction_date, top_category FROM summary",
     "daily_account_summary": "SELECT * FROM summary",
     "daily_summary_join": "SELECT * FROM summary",
     "max_event_time": "SELECT max(transaction_ts) AS max_ts FROM bronze",
@@ -292,10 +307,17 @@ FINALS = {
     "existing_natural_keys": f"SELECT DISTINCT {KEY} FROM bronze",
     "new_rows_anti_join": f"""SELECT {FIELDS} FROM cleaned WHERE transaction_id IS NULL
         OR transaction_id NOT IN (SELECT transaction_id FROM part1)""",
+    "new_rows_heavy": f"""SELECT {FIELDS} FROM cleaned WHERE transaction_id IS NULL
+        OR transaction_id NOT IN (SELECT transaction_id FROM part1)""",
+    "known_ids_uncleaned": f"""SELECT broadcast_bytes, {FIELDS} FROM cleaned,
+        (VALUES (0::BIGINT), (1048576::BIGINT)) AS v(broadcast_bytes) WHERE transaction_id NOT IN (
+            SELECT upper(trim(transaction_id)) FROM raw WHERE {FIRST_PART})""",
     "existing_duplicate_flag": f"""SELECT {VALID_FIELDS}, EXISTS (SELECT 1 FROM valid1 AS e
         WHERE {" AND ".join(f"e.{name} = b.{name}" for name in NATURAL_KEY)}) AS existing_duplicate
         FROM valid_rest AS b""",
     "mark_duplicates_incremental": "SELECT * FROM flagged_rest",
+    "mark_duplicates_heavy": "SELECT * FROM bronze",
+    "mark_duplicates_incremental_heavy": "SELECT * FROM flagged_rest",
     "effective_watermark": f"SELECT strftime(max_ts - INTERVAL 1 DAY, '{ISO}') AS effective_watermark FROM mark1",
     "next_watermark": f"""SELECT strftime(greatest(max(transaction_ts), (SELECT max_ts FROM mark1)), '{ISO}')
         AS last_successful_watermark FROM flagged2""",
@@ -303,12 +325,20 @@ FINALS = {
         (SELECT COUNT(*) FROM part1) AS rows_processed, 1 AS lookback_days FROM mark1""",
     "incremental_two_runs": f"""SELECT 1 AS run, * FROM flagged1
         UNION ALL SELECT 2 AS run, * FROM flagged2""",
+    "incremental_retry": f"""SELECT 1 AS run, * FROM flagged1
+        UNION ALL SELECT 2 AS run, * FROM flagged2""",
     "incremental_quarantine": f"""SELECT 1 AS run, {FIELDS}, error_reason FROM part1 WHERE NOT is_valid
         UNION ALL SELECT 2 AS run, {FIELDS}, error_reason FROM new2 WHERE NOT is_valid""",
     "stream_ingest": """SELECT 1 AS batch, * FROM flagged1
         UNION ALL SELECT 2 AS batch, * FROM flagged_stream""",
-    "late_rows": f"""SELECT {FIELDS} FROM raw WHERE try_strptime(transaction_date, '{ISO}') <
-        (SELECT max(transaction_ts) FROM bronze) - INTERVAL 1 DAY""",
+    "late_rows": f"""SELECT {FIELDS}, CASE WHEN try_strptime(transaction_date, '{ISO}') IS NULL
+            THEN 'date cannot be read' ELSE 'before the lookback' END AS left_out_because
+        FROM (SELECT * REPLACE (CASE
+            WHEN transaction_date LIKE '%7Z' THEN replace(transaction_date, '-0', '-')
+            WHEN transaction_date LIKE '%9Z' THEN 'on ' || transaction_date
+            ELSE transaction_date END AS transaction_date) FROM raw) AS d
+        WHERE NOT COALESCE(try_strptime(transaction_date, '{ISO}') >=
+            (SELECT max(transaction_ts) FROM bronze) - INTERVAL 1 DAY, false)""",
     "sink_full_load": "SELECT * FROM bronze",
     "sink_append": f"SELECT {VALID_FIELDS} FROM valid1 UNION ALL SELECT {VALID_FIELDS} FROM valid_rest",
     "sink_summary": "SELECT * FROM summary",
@@ -321,14 +351,14 @@ FINALS = {
         top_category, currencies FROM summary""",
     "export_quarantine_csv": f"""SELECT NULLIF(transaction_id, '') AS transaction_id,
         {', '.join(LANDING_FIELDS[1:])}, error_reason FROM quarantine_full""",
-    "dq_not_null": """SELECT * FROM summary WHERE account_id IS NULL OR transaction_date IS NULL
+    "dq_not_null": """SELECT * FROM faulty WHERE account_id IS NULL OR transaction_date IS NULL
         OR total_debit_amount IS NULL OR total_credit_amount IS NULL OR net_amount IS NULL
         OR transaction_count IS NULL OR distinct_merchants IS NULL OR top_category IS NULL
         OR currencies IS NULL""",
-    "dq_unique_key": """SELECT account_id, transaction_date, COUNT(*) AS n FROM summary
+    "dq_unique_key": """SELECT account_id, transaction_date, COUNT(*) AS n FROM faulty
         GROUP BY account_id, transaction_date HAVING COUNT(*) > 1""",
-    "dq_net_identity": "SELECT * FROM summary WHERE net_amount <> total_credit_amount - total_debit_amount",
-    "dq_positive_count": "SELECT * FROM summary WHERE transaction_count <= 0",
+    "dq_net_identity": "SELECT * FROM faulty WHERE net_amount <> total_credit_amount - total_debit_amount",
+    "dq_positive_count": "SELECT * FROM faulty WHERE transaction_count <= 0",
 }
 
 

@@ -38,6 +38,7 @@ QUERIES: dict[str, Query] = {}
 
 FIRST_PART = "transaction_date < '2024-01-20' AND transaction_id NOT LIKE '%D'"
 LOADED_AT = "2024-06-01T00:00:00Z"
+FEW = 2  # as many rows make a key heavy in the checks of the path for heavy keys
 
 
 def query(build: Query) -> Query:
@@ -56,20 +57,8 @@ def _validated(spark: SparkSession, sf_dir: str, profile: Profile = FULL) -> Dat
     return rules.validate(_landed(spark, sf_dir, profile), profile)
 
 
-def _row_bound(spark: SparkSession, sf_dir: str) -> int:
-    """Number of records, for the cost of counting a scan. It bounds every selection of
-    them and so tells whether any key can be heavy."""
-    return landed_fields(spark, sf_dir).count()
-
-
-def _flagged(
-    spark: SparkSession, sf_dir: str, rows: DataFrame, stored: DataFrame | None = None
-) -> DataFrame:
-    return repeats.mark_duplicates(rows, stored, row_count=_row_bound(spark, sf_dir))
-
-
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flagged(spark, sf_dir, routing.valid(_validated(spark, sf_dir)))
+    return repeats.mark_duplicates(routing.valid(_validated(spark, sf_dir)))
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,18 +105,44 @@ PAGE_ROWS = 1000
 def scan_json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of at most 1000 consecutive records, one JSON array to a file."""
     _, folder = _workspace(spark)
-    records = source_records(spark, sf_dir)
+    records = _records_with_large_amounts(spark, sf_dir)
     page = F.floor(F.monotonically_increasing_id() / PAGE_ROWS)
     pages = (
-        records.select(page.alias("page"), F.struct(*records.columns).alias("record"))
+        records.select(page.alias("page"), _as_json(records).alias("record"))
         .groupBy("page")
-        .agg(F.to_json(F.collect_list("record")).alias("value"))
+        .agg(F.concat(F.lit("["), F.array_join(F.collect_list("record"), ",\n"), F.lit("]")).alias("value"))
         .select("value")
     )
     pages.write.option("maxRecordsPerFile", 1).text(f"{folder}/pages")
     return landing.land(read_json_pages(spark, f"{folder}/pages"), FULL)
 
 
+@query
+def scan_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records, one to a line of files that can be split."""
+    _, folder = _workspace(spark)
+    records = _records_with_large_amounts(spark, sf_dir)
+    records.select(_as_json(records)).write.text(f"{folder}/lines")
+    return landing.land(read_json_pages(spark, f"{folder}/lines", json_lines=True), FULL)
+
+
+def _records_with_large_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts in cents that end in 7 are moved to ten millions and beyond."""
+    amount = F.col("amount")
+    plain = amount.rlike(r"^\d+\.\d\d$") & amount.endswith("7")
+    large = F.concat(F.lit("1234567"), F.lpad(amount, 10, "0"))
+    return source_records(spark, sf_dir).withColumn("amount", F.when(plain, large).otherwise(amount))
+
+
+def _as_json(records: DataFrame) -> F.Column:
+    """A record as the interface writes it: amounts are numbers wherever they can be."""
+    others = F.to_json(F.struct(*(c for c in records.columns if c != "amount")))
+    amount = F.col("amount")
+    text = F.coalesce(F.when(amount.rlike(r"^-?\d+(\.\d+)?$"), amount), F.concat(F.lit('"'), amount, F.lit('"')))
+    field = F.coalesce(F.concat(F.lit(',"amount":'), text), F.lit(""))
+    return F.concat(F.rtrim(others, F.lit("}")), field, F.lit("}"))
+
+
 @query
 def source_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, folder = _workspace(spark)
@@ -303,20 +318,57 @@ def _two_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def new_rows_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = _landed(spark, sf_dir, INCREMENTAL)
     known = increment.known_ids(landed.filter(_is_first_part()))
-    return increment.new_rows(landed, known, _row_bound(spark, sf_dir))
+    return increment.new_rows(landed, known)
+
+
+@query
+def new_rows_heavy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The path for ids that very many rows share, here two."""
+    landed = _landed(spark, sf_dir, INCREMENTAL)
+    known = increment.known_ids(landed.filter(_is_first_part()))
+    return increment.new_rows(landed, known, heavy_rows=FEW)
+
+
+@query
+def known_ids_uncleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New rows of the incremental profile against history that was landed as it came, by both
+    ways of :func:`drop_known`."""
+    history = _landed(spark, sf_dir, FULL).filter(_is_first_part())
+    padded = F.concat(F.lit("  "), F.lower("transaction_id"), F.lit(" "))
+    history = history.withColumn("transaction_id", padded)
+    landed = _landed(spark, sf_dir, INCREMENTAL)
+    ways = [
+        incremental.drop_known(landed, history, row_count=1, broadcast_bytes=limit).select(
+            F.lit(limit).cast("long").alias("broadcast_bytes"), *LANDING_FIELDS
+        )
+        for limit in (0, 2**20)
+    ]
+    return ways[0].unionByName(ways[1])
 
 
 @query
 def existing_duplicate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, rest = _two_parts(spark, sf_dir)
     known = repeats.known_keys(first)
-    return repeats.with_seen_before(rest, known, _row_bound(spark, sf_dir))
+    return repeats.with_seen_before(rest, known)
 
 
 @query
 def mark_duplicates_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, rest = _two_parts(spark, sf_dir)
-    return _flagged(spark, sf_dir, rest, first)
+    return repeats.mark_duplicates(rest, first)
+
+
+@query
+def mark_duplicates_heavy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The path for keys that very many rows share, here two."""
+    return repeats.mark_duplicates(routing.valid(_validated(spark, sf_dir)), heavy_rows=FEW)
+
+
+@query
+def mark_duplicates_incremental_heavy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, rest = _two_parts(spark, sf_dir)
+    return repeats.mark_duplicates(rest, first, heavy_rows=FEW)
 
 
 # Summary -------------------------------------------------------------------------------
@@ -360,9 +412,10 @@ def daily_account_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_summary_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.join_summary(
-        summary.daily_metrics(_base(spark, sf_dir)), top_category(spark, sf_dir)
-    )
+    """The summary from two parts by a join on account and day."""
+    base = _base(spark, sf_dir)
+    top = summary.top_category(summary.ranked_categories(summary.category_spend(base)))
+    return summary.daily_metrics(base).join(top, summary.ACCOUNT_DAY, "left").select(summary.SUMMARY_COLUMNS)
 
 
 # Counts and checks ---------------------------------------------------------------------
@@ -380,24 +433,37 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.reconcile(run_metrics(spark, sf_dir))
 
 
+def _faulty_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary with faults planted by day: nulls, wrong nets, no transactions, days twice."""
+    day = F.dayofmonth("transaction_date")
+    rows = daily_account_summary(spark, sf_dir).withColumns(
+        {
+            "top_category": F.when(day % 7 != 0, F.col("top_category")),
+            "net_amount": F.when(day % 5 == 0, F.col("net_amount") + F.lit(1)).otherwise(F.col("net_amount")).cast("decimal(18,2)"),
+            "transaction_count": F.when(day % 11 == 0, F.lit(0)).otherwise(F.col("transaction_count")).cast("long"),
+        }
+    )
+    return rows.withColumn("copy", F.explode(F.when(day % 13 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("copy")
+
+
 @query
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.null_fields(daily_account_summary(spark, sf_dir))
+    return quality.null_fields(_faulty_summary(spark, sf_dir))
 
 
 @query
 def dq_unique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.repeated_days(daily_account_summary(spark, sf_dir))
+    return quality.repeated_days(_faulty_summary(spark, sf_dir))
 
 
 @query
 def dq_net_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.wrong_net(daily_account_summary(spark, sf_dir))
+    return quality.wrong_net(_faulty_summary(spark, sf_dir))
 
 
 @query
 def dq_positive_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.empty_days(daily_account_summary(spark, sf_dir))
+    return quality.empty_days(_faulty_summary(spark, sf_dir))
 
 
 # Incremental loads ---------------------------------------------------------------------
@@ -410,9 +476,14 @@ def max_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return increment.late_rows(
-        _landed(spark, sf_dir, FULL), increment.max_event_time(_bronze(spark, sf_dir))
+    """Rows that a read since the last event time leaves out, among them such as only a strict
+    reading or none can date."""
+    dated = F.col("transaction_date")
+    spoilt = F.when(dated.endswith("7Z"), F.replace(dated, F.lit("-0"), F.lit("-"))).when(
+        dated.endswith("9Z"), F.concat(F.lit("on "), dated)
     )
+    landed = _landed(spark, sf_dir, FULL).withColumn("transaction_date", F.coalesce(spoilt, dated))
+    return increment.late_rows(landed, increment.max_event_time(_bronze(spark, sf_dir)))
 
 
 def _run(spark: SparkSession, tables: Tables, records: DataFrame, batch_id: str) -> None:
@@ -474,6 +545,17 @@ def incremental_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.select(_run_number().alias("run"), *_without_stamps(BRONZE_COLUMNS))
 
 
+@query
+def incremental_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both runs once more under their ids, with other input: nothing may change."""
+    tables, records = _first_run(spark, sf_dir)
+    _run(spark, tables, records, "run1")
+    _run(spark, tables, records, "run2")
+    _run(spark, tables, records.limit(0), "run2")
+    bronze = spark.table(tables.bronze)
+    return bronze.select(_run_number().alias("run"), *_without_stamps(BRONZE_COLUMNS))
+
+
 @query
 def incremental_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = spark.table(_two_runs(spark, sf_dir).quarantine)

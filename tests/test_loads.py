@@ -2,13 +2,14 @@
 
 import pytest
 from pyspark.sql import functions as F
-from txnmill.plans import incremental
+from txnmill.plans import batches, incremental
+from txnmill.plans.batches import OpenBatchError
 from txnmill.plans.full_load import full_load
 from txnmill.plans.incremental import incremental_load, read_watermark
 from txnmill.plans.summary import rebuild_summary
 from txnmill.schema import BRONZE_COLUMNS, LANDING_COLUMNS, QUARANTINE_COLUMNS
-from txnmill.sinks.tables import append_if_not_empty, batches_of, export_csv
-from txnmill.sources.records import Source, since
+from txnmill.sinks.tables import append_if_not_empty, export_csv
+from txnmill.sources.records import bounded
 
 
 def at(day, hour=10):
@@ -21,7 +22,11 @@ def txn(number, day, **more):
 
 
 def load(spark, tables, frame, **options):
-    return incremental_load(spark, lambda bound: Source(since(frame, bound), "test"), tables, **options)
+    return incremental_load(spark, lambda bound: bounded(frame, "test", bound), tables, **options)
+
+
+def batches_of(spark, name):
+    return {r.batch_id for r in spark.table(name).select("batch_id").distinct().collect()}
 
 
 def ids(spark, name, condition="true"):
@@ -42,7 +47,7 @@ def content(spark, tables):
 
 def test_full_load_twice_and_summary_twice(spark, records, tables, schema):
     frame = records(txn(1, 1), txn(2, 1), txn(3, 2), txn(4, 2, amount="-1"), txn(5, 1, merchant_name="M1"))
-    source = Source(frame, "test")
+    source = bounded(frame, "test", None)
     summaries = []
     for _ in range(2):
         counts = full_load(spark, source, tables, rows_per_file=2).first().asDict()
@@ -58,9 +63,9 @@ def test_full_load_twice_and_summary_twice(spark, records, tables, schema):
 
 def test_full_load_with_heavy_keys_stores_the_same(spark, records, tables):
     frame = records(*[txn(i, 1 + i % 2, merchant_name="M" if i % 3 else f"M{i}") for i in range(40)])
-    full_load(spark, Source(frame, "test"), tables)
+    full_load(spark, bounded(frame, "test", None), tables)
     plain = content(spark, tables)
-    full_load(spark, Source(frame, "test"), tables, heavy_rows=3, rows_per_file=5)
+    full_load(spark, bounded(frame, "test", None), tables, heavy_rows=3, rows_per_file=5)
     assert content(spark, tables) == plain
 
 
@@ -81,7 +86,7 @@ def test_replay_of_three_runs(spark, records, tables):
     assert (run3.new_rows, run3.watermark) == (1, at(9))
     assert "TXN-60" in ids(spark, tables.bronze)
     assert not {"TXN-61", "TXN-62"} & set(ids(spark, tables.landing))
-    assert spark.table(tables.watermark).count() == 3
+    assert (run3.read_rows, run3.left_out_rows) == (4, 9)
 
 
 def test_rows_reach_bronze_although_landing_grows_meanwhile(spark, records, tables):
@@ -117,28 +122,36 @@ def test_null_ids_land_in_every_run_and_empty_ids_once(spark, records, tables):
     assert ids(spark, tables.quarantine) == ["", "None", "None"]
 
 
+def die_at(monkeypatch, place, tables):
+    """Let the next run die before it writes a table, or before it says that it has landed."""
+
+    def dying(df, name, *more):
+        if name == getattr(tables, place):
+            raise RuntimeError("lost the driver")
+        add_batch(df, name, *more)
+
+    def dying_event(spark, tables, number, batch_id, status, *more, **values):
+        if place == "control" and status == batches.LANDED:
+            raise RuntimeError("lost the driver")
+        add_event(spark, tables, number, batch_id, status, *more, **values)
+
+    add_batch, add_event = incremental.add_batch, batches.add_event
+    monkeypatch.setattr(incremental, "add_batch", dying)
+    monkeypatch.setattr(batches, "add_event", dying_event)
+
+
 @pytest.mark.parametrize(
-    "dies_at, next_id", [("bronze", "c"), ("quarantine", "b"), ("landing", "b"), ("landing", "c")]
+    "dies_at, next_id", [("bronze", "c"), ("quarantine", "b"), ("landing", "c"), ("control", "b"), ("control", "c")]
 )
 def test_a_run_that_died_can_be_run_again(spark, records, tables, monkeypatch, dies_at, next_id):
     first = [txn(1, 1), txn(2, 1, amount="x")]
     second = [txn(3, 1), txn(4, 2, status="?"), txn(5, 1, merchant_name="M1")]
-    load(spark, tables, records(*first), batch_id="a")
-
-    def dying(write):
-        def put(df, name, batch_id, partition_by=()):
-            if name == getattr(tables, dies_at):
-                raise RuntimeError("lost the driver")
-            write(df, name, batch_id, partition_by)
-
-        return put
-
-    for name in ("replace_batch", "replace_batch_reading_table"):
-        monkeypatch.setattr(incremental, name, dying(getattr(incremental, name)))
+    load(spark, tables, records(*first), batch_id="a", owner="job")
+    die_at(monkeypatch, dies_at, tables)
     with pytest.raises(RuntimeError):
-        load(spark, tables, records(*first, *second), batch_id="b")
+        load(spark, tables, records(*first, *second), batch_id="b", owner="job")
     monkeypatch.undo()
-    load(spark, tables, records(*first, *second), batch_id=next_id)
+    load(spark, tables, records(*first, *second), batch_id=next_id, owner="job")
 
     assert ids(spark, tables.landing) == [f"TXN-{i}" for i in range(1, 6)]
     assert ids(spark, tables.quarantine) == ["TXN-2", "TXN-4"]
@@ -147,20 +160,94 @@ def test_a_run_that_died_can_be_run_again(spark, records, tables, monkeypatch, d
     assert batches_of(spark, tables.bronze) == batches_of(spark, tables.landing) == {"a", next_id}
 
 
-def test_running_a_landed_batch_again_changes_nothing(spark, records, tables):
+def test_a_first_run_that_died_before_it_landed_loses_no_watermark(spark, records, tables, monkeypatch):
+    frame = records(txn(1, 1), txn(2, 5))
+    die_at(monkeypatch, "control", tables)
+    with pytest.raises(RuntimeError):
+        load(spark, tables, frame, batch_id="a")
+    monkeypatch.undo()
+    assert load(spark, tables, frame, batch_id="a").watermark == at(5)
+    assert read_watermark(spark, tables).first()["last_successful_watermark"] == at(5)
+    assert load(spark, tables, frame).read_rows == 1
+
+
+def test_an_open_batch_of_another_run_is_left_alone(spark, records, tables, monkeypatch):
+    """The second run comes between two writes of the first."""
+    frame = records(txn(1, 1), txn(2, 2, amount="x"))
+    refused = []
+
+    def meanwhile(df, name, *more):
+        if name == tables.landing and not refused:
+            refused.append(True)
+            with pytest.raises(OpenBatchError):
+                load(spark, tables, records(txn(1, 1), txn(7, 1)), batch_id="second")
+        add_batch(df, name, *more)
+
+    add_batch = incremental.add_batch
+    monkeypatch.setattr(incremental, "add_batch", meanwhile)
+    load(spark, tables, frame, batch_id="first")
+    assert refused
+    assert ids(spark, tables.landing) == ["TXN-1", "TXN-2"] and ids(spark, tables.bronze) == ["TXN-1"]
+    monkeypatch.undo()
+    assert load(spark, tables, records(txn(1, 1), txn(7, 1)), batch_id="second").new_rows == 1
+    assert ids(spark, tables.bronze) == ["TXN-1", "TXN-7"]
+
+
+def test_a_run_is_refused_if_another_landed_since_it_looked(spark, records, tables, monkeypatch):
     load(spark, tables, records(txn(1, 1)), batch_id="a")
-    frame = records(txn(1, 1), txn(2, 2), txn(3, 2, merchant_name="M2"))
-    load(spark, tables, frame, batch_id="b")
+    frame = records(txn(1, 1), txn(2, 1))
+    done = []
+
+    def late(*args):
+        if not done:
+            done.append(True)
+            load(spark, tables, frame, batch_id="faster")
+        return open_batch(*args)
+
+    open_batch = batches.open_batch
+    monkeypatch.setattr(batches, "open_batch", late)
+    with pytest.raises(OpenBatchError):
+        load(spark, tables, frame, batch_id="slower")
+    assert ids(spark, tables.landing) == ["TXN-1", "TXN-2"]
+    assert load(spark, tables, frame, batch_id="slower").new_rows == 0
+
+
+def test_running_a_landed_batch_again_changes_nothing(spark, records, tables):
+    """Rows far outside the lookback stay, whatever the repeated run would read."""
+    frame = records(txn(1, 1), txn(2, 10, amount="x"), txn(3, 20))
+    first = load(spark, tables, frame, batch_id="a")
     before = content(spark, tables)
-    load(spark, tables, frame, batch_id="b")
+    for again in (frame, records(txn(1, 1)), frame.limit(0)):
+        assert load(spark, tables, again, batch_id="a") == first
+        assert content(spark, tables) == before
+    load(spark, tables, records(txn(1, 1), txn(3, 20), txn(4, 20)), batch_id="b")
+    before = content(spark, tables)
+    assert load(spark, tables, frame, batch_id="b").new_rows == 1
     assert content(spark, tables) == before
+    assert ids(spark, tables.landing) == ["TXN-1", "TXN-2", "TXN-3", "TXN-4"]
 
 
-def test_a_smaller_rerun_leaves_nothing_behind(spark, records, tables):
-    load(spark, tables, records(txn(1, 1), txn(2, 2, amount="x")), batch_id="a")
-    load(spark, tables, records(txn(1, 1)), batch_id="a")
-    assert ids(spark, tables.landing) == ids(spark, tables.bronze) == ["TXN-1"]
-    assert ids(spark, tables.quarantine) == []
+@pytest.mark.parametrize("broadcast_bytes", [0, 10**6])
+def test_history_that_was_landed_uncleaned(spark, records, tables, broadcast_bytes):
+    load(spark, tables, records(txn(1, 1), txn(2, 1), txn(3, 1)), batch_id="a")
+    raw = spark.table(tables.landing).withColumn("transaction_id", F.concat(F.lit(" "), F.lower("transaction_id")))
+    new = incremental.drop_known(
+        spark.table(tables.landing), raw.filter("transaction_id <> ' txn-3'"), 3, broadcast_bytes
+    )
+    assert [r.transaction_id for r in new.collect()] == ["TXN-3"]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 10**6])
+def test_days_far_apart_are_the_only_ones_read(spark, records, tables, broadcast_bytes):
+    load(spark, tables, records(*[txn(i, i) for i in range(1, 28)]), batch_id="a")
+    rows = spark.table(tables.bronze).filter("event_date in ('2024-02-01', '2024-02-27')")
+    stored = incremental.stored_keys(spark.table(tables.bronze), rows, 2, broadcast_bytes)
+    assert sorted(r.transaction_id for r in stored.collect()) == ["TXN-1", "TXN-27"]
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "2024-02-01" in plan or "event_date" in plan.split("PartitionFilters")[1]
+    if broadcast_bytes:
+        assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan
 
 
 def test_watermark_does_not_go_back_unless_asked(spark, records, tables):

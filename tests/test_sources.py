@@ -48,15 +48,34 @@ def test_files_with_different_headers_fail_loudly(spark, tmp_path):
         read_csv(spark, str(tmp_path)).collect()
 
 
-def test_numbers_of_pages_become_their_shortest_text(spark, tmp_path):
+def test_numbers_of_pages_keep_their_text(spark, tmp_path):
     pages = tmp_path / "pages"
     pages.mkdir()
     page = json.dumps([{**GOOD, "amount": 67.4}, {"transaction_id": "TXN-2", "other": 1}])
     write(pages / "1.json", page.replace("67.4", "67.40"))
     write(pages / "2.json", "\n [ {\"amount\": -127.5},\n {\"amount\": 0.0} ]")
     write(pages / "3.json", "[]")
+    large = ["10000000.00", "12345678.90", "1234567890123456.78", "1.10"]
+    write(pages / "4.json", "[" + ", ".join('{"amount": %s}' % n for n in large) + "]")
     rows = read_json_pages(spark, str(pages)).collect()
-    assert sorted(str(r["amount"]) for r in rows) == ["-127.5", "0.0", "67.4", "None"]
+    assert sorted(str(r["amount"]) for r in rows) == sorted(["-127.5", "0.0", "67.40", "None", *large])
+    write(tmp_path / "lines.json", "\n".join('{"amount": %s}' % n for n in large))
+    lines = read_json_pages(spark, str(tmp_path / "lines.json"), json_lines=True).collect()
+    assert sorted(r["amount"] for r in lines) == sorted(large)
+
+
+def test_files_of_lines_are_split(spark, records, tmp_path):
+    frame = records(*({"transaction_id": f"TXN-{i}", "merchant_name": "M" * 200} for i in range(300)))
+    frame.coalesce(1).write.csv(str(tmp_path / "csv"), header=True)
+    frame.coalesce(1).write.json(str(tmp_path / "lines"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        csv = read_source(spark, None, str(tmp_path / "csv"), multi_line=False).records
+        lines = read_source(spark, str(tmp_path / "lines"), "", json_lines=True).records
+        for split in (csv, lines):
+            assert split.rdd.getNumPartitions() > 3 and split.count() == 300
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 @pytest.mark.parametrize("text", ['{"message": "no"}', "oops", '[{"amount": 1'])

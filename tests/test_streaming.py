@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 from txnmill.plans import incremental
 from txnmill.plans.incremental import run_batch
 from txnmill.plans.tables import Tables
@@ -59,8 +60,16 @@ def test_a_batch_delivered_twice_is_stored_once(spark, records, tables, tmp_path
     assert content(spark, tables) == before
 
 
-def test_wrong_header_fails_the_stream(spark, tables, tmp_path):
-    folder = tmp_path / "files" / "0"
+def test_header_in_another_order(spark, records, tables, tmp_path):
+    frame = records(*PARTS[0])
+    export_csv(frame.select("amount", F.lit("x").alias("extra"), *reversed(frame.drop("amount").columns)), f"{tmp_path}/files/0")
+    run_stream(spark, tables, tmp_path)
+    assert ids(spark, tables.bronze) == ["TXN-1", "TXN-2", "TXN-3"]
+
+
+def test_files_with_another_header_fail_the_stream(spark, records, tables, tmp_path):
+    export_csv(records(*PARTS[0]).coalesce(1), f"{tmp_path}/files/0")
+    folder = tmp_path / "files" / "1"
     folder.mkdir(parents=True)
     (folder / "a.csv").write_text("amount,transaction_id\n1.00,TXN-1\n")
     try:

@@ -21,7 +21,7 @@ def base_of(spark, *rows):
 
 def joined(base):
     top = summary.top_category(summary.ranked_categories(summary.category_spend(base)))
-    return summary.join_summary(summary.daily_metrics(base), top)
+    return summary.daily_metrics(base).join(top, summary.ACCOUNT_DAY, "left").select(summary.SUMMARY_COLUMNS)
 
 
 def as_rows(df):

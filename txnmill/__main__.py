@@ -16,8 +16,8 @@ from txnmill.plans.incremental import LOOKBACK_DAYS, incremental_load
 from txnmill.plans.summary import rebuild_summary
 from txnmill.plans.tables import Tables
 from txnmill.session import use_utc
-from txnmill.sources.records import read_source
-from txnmill.streaming.ingest import read_csv_stream, start_ingest
+from txnmill.sources.records import CSV_LABEL, PAGES_LABEL, Source, read_source
+from txnmill.streaming.ingest import read_csv_stream, read_json_lines_stream, start_ingest
 
 
 def _show(title: str, rows: DataFrame) -> None:
@@ -25,9 +25,15 @@ def _show(title: str, rows: DataFrame) -> None:
     rows.show(truncate=False)
 
 
+def _source(spark: SparkSession, args: argparse.Namespace, bound: str | None = None) -> Source:
+    return read_source(
+        spark, args.pages, args.csv, bound, multi_line=not args.csv_lines, json_lines=args.json_lines
+    )
+
+
 def _full(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = Tables.in_schema(args.schema)
-    source = read_source(spark, args.pages, args.csv)
+    source = _source(spark, args)
     _show("Counts", quality.reconcile(full_load(spark, source, tables, table_format=args.format)))
     rejected, bronze = spark.table(tables.quarantine), spark.table(tables.bronze)
     _show("Quarantined", routing.sample_by_id(rejected, ["transaction_id", "error_reason"]))
@@ -39,20 +45,23 @@ def _incremental(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = Tables.in_schema(args.schema, "_incremental")
     result = incremental_load(
         spark,
-        lambda bound: read_source(spark, args.pages, args.csv, bound),
+        lambda bound: _source(spark, args, bound),
         tables,
         lookback_days=args.lookback_days,
-        table_format=args.format,
+        batch_id=args.batch_id,
+        owner=args.owner,
     )
     print(result)
     _show("Counts of this batch", load_counts(spark, tables, result.batch_id))
 
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    records = read_csv_stream(spark, args.csv)
     tables = Tables.in_schema(args.schema, "_incremental")
-    query = start_ingest(records, tables, args.checkpoint, args.name, table_format=args.format)
-    query.awaitTermination()
+    if args.json_lines:
+        records, label = read_json_lines_stream(spark, args.pages or args.csv), PAGES_LABEL
+    else:
+        records, label = read_csv_stream(spark, args.csv, multi_line=not args.csv_lines), CSV_LABEL
+    start_ingest(records, tables, args.checkpoint, args.name, label).awaitTermination()
 
 
 def _summary(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -75,15 +84,19 @@ def main() -> None:
         job = jobs.add_parser(name)
         job.set_defaults(run=run)
         job.add_argument("--schema", required=True, help="catalog schema of the tables")
-        job.add_argument("--csv", required=True, help="folder of CSV files")
-        job.add_argument("--format", default="parquet", help="table format, e.g. delta for a full load")
+        job.add_argument("--csv", required=name != "stream", help="folder of CSV files")
+        job.add_argument("--csv-lines", action="store_true", help="no line breaks in values: files are split")
+        job.add_argument("--json-lines", action="store_true", help="a record per line: files are split")
+        job.add_argument("--pages", help="folder of JSON pages; preferred if it exists")
+        if name == "full":
+            job.add_argument("--format", default="parquet", help="table format, e.g. delta")
         if name == "stream":
             job.add_argument("--checkpoint", required=True)
             job.add_argument("--name", default="stream")
-        else:
-            job.add_argument("--pages", help="folder of JSON pages; preferred if it exists")
         if name == "incremental":
             job.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
+            job.add_argument("--batch-id", help="of a run to repeat")
+            job.add_argument("--owner", help="name of this job; its next run clears what a dead one left")
     job = jobs.add_parser("summary")
     job.set_defaults(run=_summary)
     job.add_argument("--bronze", required=True)

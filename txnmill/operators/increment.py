@@ -1,16 +1,21 @@
 """What is new since the last load: time bound, known ids, next watermark."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnmill.functions.times import days_before, format_iso, parse_iso
+from txnmill.functions.times import days_before, format_iso, parse_iso, parse_iso_lenient
 from txnmill.operators.skew import HEAVY_ROWS, join_keys
 
 
+def cleaned_id() -> Column:
+    """The id in the form in which landed ids are compared, whoever wrote them."""
+    return F.upper(F.trim("transaction_id")).alias("transaction_id")
+
+
 def known_ids(landing: DataFrame) -> DataFrame:
     """Distinct non-null ids of landed rows, in the cleaned form."""
     return (
-        landing.select(F.upper(F.trim("transaction_id")).alias("transaction_id"))
+        landing.select(cleaned_id())
         .filter(F.col("transaction_id").isNotNull())
         .dropDuplicates(["transaction_id"])
     )
@@ -38,17 +43,21 @@ def max_event_time(bronze: DataFrame) -> DataFrame:
     return bronze.agg(F.max("transaction_ts").alias("max_ts"))
 
 
-def next_watermark(new_bronze: DataFrame, saved: str | None, monotonic: bool = True) -> DataFrame:
-    """Latest event time of the new bronze rows, else the saved watermark. ``monotonic``
-    keeps a load of late rows only from moving the watermark back."""
-    latest = F.max("transaction_ts")
-    saved_ts = parse_iso(F.lit(saved).cast("string"))
-    merged = F.greatest(latest, saved_ts) if monotonic else F.coalesce(latest, saved_ts)
-    return new_bronze.agg(format_iso(merged).alias("last_successful_watermark"))
+def next_watermark(latest: str | None, saved: str | None, monotonic: bool = True) -> str | None:
+    """Latest event time of the new bronze rows, else the saved watermark, as ISO-Z text, which
+    sorts by time. ``monotonic`` keeps a load of late rows only from moving it back."""
+    if latest is None or saved is None:
+        return latest or saved
+    return max(latest, saved) if monotonic else latest
 
 
 def late_rows(records: DataFrame, watermark: DataFrame, lookback_days: int = 1) -> DataFrame:
-    """Records older than the lookback reaches: an incremental read never sees them.
-    ``watermark`` is the one-row result of :func:`max_event_time`."""
+    """Records that an incremental read never sees, with the reason ``left_out_because``: dated
+    before the lookback reaches, or with a date that cannot be read. This is exactly what
+    ``since`` leaves out. ``watermark`` is the one-row result of :func:`max_event_time`."""
     bound = watermark.select(days_before(F.col("max_ts"), lookback_days)).scalar()
-    return records.filter(parse_iso(F.col("transaction_date")) < bound)
+    time = parse_iso_lenient(F.col("transaction_date"))
+    reason = F.when(time < bound, "before the lookback").when(
+        time.isNull() & bound.isNotNull(), "date cannot be read"
+    )
+    return records.withColumn("left_out_because", reason).filter("left_out_because is not null")

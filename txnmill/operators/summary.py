@@ -47,15 +47,8 @@ def _currency_text(currencies: Column) -> Column:
 
 
 def daily_metrics(base: DataFrame) -> DataFrame:
-    debit, credit = F.sum(_amount_of("debit")), F.sum(_amount_of("credit"))
-    return base.groupBy(ACCOUNT_DAY).agg(
-        _as_money(debit).alias("total_debit_amount"),
-        _as_money(credit).alias("total_credit_amount"),
-        _as_money(credit - debit).alias("net_amount"),
-        F.count("*").alias("transaction_count"),
-        F.countDistinct("merchant_name").alias("distinct_merchants"),
-        _currency_text(F.collect_set("currency")).alias("currencies"),
-    )
+    """Figures of a day without its top category, by the plan of :func:`daily_summary`."""
+    return daily_summary(base).drop("top_category")
 
 
 def category_spend(base: DataFrame) -> DataFrame:
@@ -76,11 +69,6 @@ def top_category(ranked: DataFrame) -> DataFrame:
     )
 
 
-def join_summary(metrics: DataFrame, top: DataFrame) -> DataFrame:
-    """Summary from its named parts; :func:`daily_summary` gives the same rows for less."""
-    return metrics.join(top, ACCOUNT_DAY, "left").select(SUMMARY_COLUMNS)
-
-
 def daily_summary(base: DataFrame) -> DataFrame:
     """The whole summary, with nothing but merchant names in a large shuffle.
 

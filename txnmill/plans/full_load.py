@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from txnmill.functions.times import utc_now
 from txnmill.operators import landing, quality, repeats, routing, rules
 from txnmill.operators.skew import HEAVY_ROWS, with_key_hash
-from txnmill.plans.tables import Tables, stage
+from txnmill.plans.tables import Tables, staging
 from txnmill.profiles import FULL
 from txnmill.schema import BRONZE_COLUMNS, NATURAL_KEY, QUARANTINE_COLUMNS, VALID_COLUMNS
-from txnmill.session import use_utc
+from txnmill.session import shuffle_partitions, use_utc
 from txnmill.sinks.tables import write_table
 from txnmill.sources.records import Source
 
@@ -59,28 +59,28 @@ def full_load(
 
     columns = list(dict.fromkeys(VALID_COLUMNS + QUARANTINE_COLUMNS + ["is_valid"]))
     validated = rules.validate(spark.table(tables.landing), FULL).select(columns)
-    staged = stage(validated, tables, "validated")
-    write_table(
-        staged.filter("not is_valid").select(QUARANTINE_COLUMNS),
-        tables.quarantine,
-        table_format=table_format,
-    )
-
-    rows = staged.filter("is_valid").select(VALID_COLUMNS)
-    slotted, slots = with_day_slots(rows, rows_per_file)
-    bronze = repeats.mark_duplicates(
-        slotted,
-        row_count=rows.count(),
-        heavy_rows=heavy_rows,
-        cluster_by=["event_date", "slot"],
-        partitions=max(slots, int(spark.conf.get("spark.sql.shuffle.partitions"))),
-    )
-    write_table(
-        bronze.select(*BRONZE_COLUMNS, "event_date"),
-        tables.bronze,
-        partition_by=["event_date"],
-        table_format=table_format,
-    )
+    with staging(spark, tables, "full") as stage:
+        staged = stage.write(validated, "validated")
+        write_table(
+            staged.filter("not is_valid").select(QUARANTINE_COLUMNS),
+            tables.quarantine,
+            table_format=table_format,
+        )
+        rows = staged.filter("is_valid").select(VALID_COLUMNS)
+        slotted, slots = with_day_slots(rows, rows_per_file)
+        bronze = repeats.mark_duplicates(
+            slotted,
+            row_count=rows.count(),
+            heavy_rows=heavy_rows,
+            cluster_by=["event_date", "slot"],
+            partitions=max(slots, shuffle_partitions(spark)),
+        )
+        write_table(
+            bronze.select(*BRONZE_COLUMNS, "event_date"),
+            tables.bronze,
+            partition_by=["event_date"],
+            table_format=table_format,
+        )
     return load_counts(spark, tables)
 
 

@@ -1,56 +1,42 @@
 """Incremental load: what came since the saved watermark, once.
 
-Order of a batch: stage what was read; drop what landed in earlier batches; write bronze
-and quarantine; write landing last; then the watermark. Rows count as landed only when
-everything else about them is stored, history is always read without the current batch,
-and each write replaces the batch whole. A run that died anywhere can be run again,
-under its batch id or another: what it stored without landing is removed first.
+Order of a batch: stage what was read; drop what landed in earlier batches; open the batch in
+the control table; write bronze, quarantine and landing; add the row that says it has landed.
+Rows count from that row on. A run that died anywhere before can be run again: the batch is still
+open, what it stored is cleared, and the watermark has not moved. See ``plans/batches.py``.
 """
 
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txnmill.functions.times import utc_now
 from txnmill.operators import increment, landing, repeats, routing, rules
-from txnmill.operators.skew import HEAVY_ROWS
-from txnmill.plans.tables import Tables, stage
+from txnmill.operators.skew import HEAVY_ROWS, with_key_hash
+from txnmill.plans import batches
+from txnmill.plans.batches import BatchResult, read_watermark
+from txnmill.plans.tables import Tables, staging
 from txnmill.profiles import INCREMENTAL
 from txnmill.schema import (
     BRONZE_COLUMNS,
     LANDING_COLUMNS,
+    NATURAL_KEY,
     QUARANTINE_COLUMNS,
     VALID_COLUMNS,
-    WATERMARK_SCHEMA,
     schema_of,
 )
 from txnmill.session import use_utc
-from txnmill.sinks.tables import (
-    batches_of,
-    clear_batch,
-    create_batch_table,
-    replace_batch,
-    replace_batch_reading_table,
-)
+from txnmill.sinks.tables import add_batch, create_batch_table
 from txnmill.sources.records import Source
-from txnmill.sources.tables import table_exists
 
 LOOKBACK_DAYS = 1
 
-# Ids of a batch are sent to every executor only up to this many bytes, row headers included.
-BROADCAST_ID_BYTES = 64 * 1024 * 1024
-ROW_BYTES = 32
-
-
-@dataclass(frozen=True)
-class BatchResult:
-    batch_id: str
-    read_rows: int
-    new_rows: int
-    watermark: str | None  # latest event time among the new bronze rows and the saved one
+# Hashes of a batch are sent to every executor only up to this many bytes, row headers included.
+BROADCAST_BYTES = 64 * 1024 * 1024
+HASH_BYTES = 24
 
 
 def new_batch_id() -> str:
@@ -58,70 +44,53 @@ def new_batch_id() -> str:
     return datetime.now(timezone.utc).strftime("b%Y%m%dT%H%M%S%f")
 
 
-def create_tables(spark: SparkSession, tables: Tables, table_format: str = "parquet") -> None:
-    create_batch_table(spark, tables.landing, schema_of(LANDING_COLUMNS), (), table_format)
-    create_batch_table(spark, tables.quarantine, schema_of(QUARANTINE_COLUMNS), (), table_format)
-    create_batch_table(
-        spark, tables.bronze, schema_of(BRONZE_COLUMNS + ["event_date"]), ["event_date"], table_format
-    )
-    create_batch_table(spark, tables.watermark, WATERMARK_SCHEMA, (), table_format)
-
-
-def read_watermark(spark: SparkSession, tables: Tables) -> DataFrame:
-    """State after the last run; no row before the first."""
-    if not table_exists(spark, tables.watermark):
-        return spark.createDataFrame([], WATERMARK_SCHEMA)
-    return (
-        spark.table(tables.watermark)
-        .orderBy(F.col("last_run_timestamp").desc(), F.col("batch_id").desc())
-        .limit(1)
-        .select(WATERMARK_SCHEMA.names)
-    )
-
+def create_tables(spark: SparkSession, tables: Tables) -> None:
+    create_batch_table(spark, tables.landing, schema_of(LANDING_COLUMNS))
+    create_batch_table(spark, tables.quarantine, schema_of(QUARANTINE_COLUMNS))
+    create_batch_table(spark, tables.bronze, schema_of(BRONZE_COLUMNS + ["event_date"]), ["event_date"])
 
-def write_watermark(
-    spark: SparkSession, tables: Tables, batch_id: str, watermark: str, rows: int, lookback_days: int
-) -> None:
-    """One row per run; the history stays."""
-    state = spark.createDataFrame(
-        [(watermark, utc_now(), rows, lookback_days, batch_id)], WATERMARK_SCHEMA
-    )
-    replace_batch(state.coalesce(1), tables.watermark, batch_id)
 
+def _matching(history: DataFrame, hashes: DataFrame, name: str, count: int, broadcast_bytes: int) -> DataFrame:
+    """Rows of ``history`` whose hash ``name`` is among ``count`` hashes of the batch.
 
-def discard_unlanded(spark: SparkSession, tables: Tables) -> None:
-    """Remove what runs stored that died before they landed. Compares partition lists.
-    Tables are refreshed first: a run in another session may have replaced files."""
-    for name in (tables.landing, tables.bronze, tables.quarantine):
-        spark.catalog.refreshTable(name)
-    landed = batches_of(spark, tables.landing)
-    for name, partition_by in ((tables.bronze, ["event_date"]), (tables.quarantine, [])):
-        for batch_id in batches_of(spark, name) - landed:
-            clear_batch(spark, name, batch_id, partition_by)
+    The hashes are broadcast if their counted bytes fit; history is then cut where it is scanned
+    and only matches are shuffled further on. Otherwise it goes on as it is. A collision only
+    lets a row through that an exact comparison drops later, so both ways give one result.
+    """
+    if count * HASH_BYTES > broadcast_bytes:
+        return history
+    return history.join(F.broadcast(hashes.select(name)), name, "left_semi")
 
 
 def drop_known(
     incoming: DataFrame,
     history: DataFrame,
     row_count: int,
-    id_bytes: int,
-    broadcast_bytes: int = BROADCAST_ID_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES,
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Incoming rows whose id has not landed.
+    """Incoming rows whose id has not landed. Landed ids count in the cleaned form."""
+    by_hash = F.xxhash64("transaction_id").alias("id_hash")
+    cleaned = history.select(increment.cleaned_id()).select("transaction_id", by_hash)
+    hashes = incoming.filter("transaction_id is not null").select(by_hash)
+    matching = _matching(cleaned, hashes, "id_hash", row_count, broadcast_bytes)
+    ids = increment.known_ids(matching)
+    return increment.new_rows(incoming, ids, row_count, heavy_rows).select(incoming.columns)
+
+
+def stored_keys(
+    stored: DataFrame, rows: DataFrame, row_count: int, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Stored rows that may share a natural key with ``rows``.
 
-    Landing only grows while a batch is usually small. If the batch's ids are known to fit,
-    they are broadcast to cut the history to matching ids where it is scanned, so the
-    history is not shuffled at all. Otherwise both sides meet in a shuffle by id.
+    The date is part of the key, so only the batch's own days are read, however far apart they
+    lie; the profile has one year of days at most. Then hashes of the keys decide.
     """
-    ids = increment.known_ids(history)
-    if id_bytes <= broadcast_bytes:
-        wanted = incoming.select("transaction_id").dropna()
-        matching = history.select("transaction_id").join(
-            F.broadcast(wanted), "transaction_id", "left_semi"
-        )
-        ids = increment.known_ids(matching)
-    return increment.new_rows(incoming, ids, row_count, heavy_rows).select(incoming.columns)
+    days = rows.select(F.to_date("transaction_ts").alias("day")).distinct().collect()
+    same_days = stored.filter(F.col("event_date").isin([d["day"] for d in days]))
+    hashes = with_key_hash(rows, NATURAL_KEY)
+    hashed = with_key_hash(same_days, NATURAL_KEY)
+    return _matching(hashed, hashes, "key_hash", row_count, broadcast_bytes).drop("key_hash")
 
 
 def run_batch(
@@ -132,67 +101,93 @@ def run_batch(
     saved: str | None = None,
     monotonic: bool = True,
     loaded_at: str | None = None,
-    table_format: str = "parquet",
     heavy_rows: int = HEAVY_ROWS,
-    broadcast_bytes: int = BROADCAST_ID_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    owner: str | None = None,
+    bound: str | None = None,
+    lookback_days: int | None = None,
 ) -> BatchResult:
-    """Store the new rows of one batch. Without new rows nothing is written."""
+    """Store the new rows of one batch. Without new rows nothing is stored.
+
+    A batch id that has landed returns its result and changes nothing. ``owner`` names the writer:
+    a later run under that name clears what this one leaves if it dies. Without a name only a run
+    under the same batch id does. ``lookback_days`` is given by loads that keep a watermark.
+    """
     use_utc(spark)
-    create_tables(spark, tables, table_format)
-    discard_unlanded(spark, tables)
-    earlier = F.col("batch_id") != batch_id
+    owner = owner or f"run-{uuid.uuid4().hex}"
+    create_tables(spark, tables)
+    control = batches.read_control(spark, tables, batch_id)
+    if control.own:
+        return control.own
+    control = batches.clear_own_leftovers(spark, tables, control, batch_id, owner)
+    with staging(spark, tables, batch_id) as stage:
+        incoming, read = _staged_incoming(stage, source, loaded_at or utc_now())
+        left_out = None if source.seen is None else source.seen.get.get("n", 0) - read["n"]
+        fresh, found = incoming, read
+        if control.landed_batches and read["n"]:
+            history = spark.table(tables.landing)
+            new = drop_known(incoming, history, read["n"], broadcast_bytes, heavy_rows)
+            fresh, found = _measured(stage, new, "fresh")
+        watermark = increment.next_watermark(found["latest"], saved, monotonic)
+        result = BatchResult(batch_id, read["n"], found["n"], watermark, left_out)
+        state = _state(result, lookback_days)
+        if found["n"] == 0:
+            if state.get("last_successful_watermark"):
+                number = control.last_number + 1
+                batches.add_event(spark, tables, number, batch_id, batches.IDLE, owner, bound=bound, **state)
+            return result
+        number = batches.open_batch(spark, tables, control, batch_id, owner, bound)
+        _store(spark, tables, batch_id, fresh, found["valid"], control.landed_batches, heavy_rows, broadcast_bytes)
+        batches.add_event(spark, tables, number + 1, batch_id, batches.LANDED, owner, bound=bound, **state)
+    return result
 
-    landed = landing.stamp(
-        landing.land(source.records, INCREMENTAL), source.label, loaded_at or utc_now()
-    )
+
+def _state(result: BatchResult, lookback_days: int | None) -> dict:
+    state = {
+        "read_rows": result.read_rows,
+        "left_out_rows": result.left_out_rows,
+        "new_rows": result.new_rows,
+        "watermark": result.watermark,
+    }
+    if lookback_days is not None:
+        state |= {
+            "last_successful_watermark": result.watermark,
+            "rows_processed": result.new_rows,
+            "lookback_days": lookback_days,
+        }
+    return state
+
+
+def _staged_incoming(stage, source: Source, loaded_at: str) -> tuple[DataFrame, dict]:
+    landed = landing.stamp(landing.land(source.records, INCREMENTAL), source.label, loaded_at)
     columns = list(dict.fromkeys(VALID_COLUMNS + QUARANTINE_COLUMNS + ["is_valid"]))
-    incoming = stage(rules.validate(landed, INCREMENTAL).select(columns), tables, "incoming")
-    read = incoming.agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.sum(F.octet_length("transaction_id") + ROW_BYTES), F.lit(0)).alias("id_bytes"),
-    ).first()
-
-    history = spark.table(tables.landing).filter(earlier)
-    if read["n"] == 0 or history.isEmpty():
-        fresh = incoming
-    else:
-        new = drop_known(
-            incoming, history, read["n"], read["id_bytes"], broadcast_bytes, heavy_rows
-        )
-        fresh = stage(new, tables, "fresh")
-    day = F.to_date("transaction_ts")
-    found = fresh.agg(
-        F.count("*").alias("n"),
-        F.count_if("is_valid").alias("valid"),
-        F.min(F.when(F.col("is_valid"), day)).alias("first_day"),
-        F.max(F.when(F.col("is_valid"), day)).alias("last_day"),
-    ).first()
-    if found["n"] == 0:
-        return BatchResult(batch_id, read["n"], 0, saved)
-
-    rows = fresh.filter("is_valid").select(VALID_COLUMNS)
-    stored = spark.table(tables.bronze).filter(earlier)
-    # The date is part of the key, so stored rows of other days cannot match: leaving them
-    # out loses nothing and prunes their partitions.
-    stored = stored.filter(F.col("event_date").between(found["first_day"], found["last_day"]))
-    alone = found["valid"] == 0 or stored.isEmpty()
-    bronze = repeats.mark_duplicates(
-        rows,
-        None if alone else stored,
-        row_count=found["valid"],
-        heavy_rows=heavy_rows,
-    ).withColumn("event_date", day)
-    # Adaptive execution sizes the files: large days are split, small ones kept whole.
-    write_bronze = replace_batch if alone else replace_batch_reading_table
-    write_bronze(bronze.hint("rebalance", "event_date"), tables.bronze, batch_id, ["event_date"])
-    replace_batch(
-        fresh.filter("not is_valid").select(QUARANTINE_COLUMNS), tables.quarantine, batch_id
+    return _measured(stage, rules.validate(landed, INCREMENTAL).select(columns), "incoming")
+
+
+def _measured(stage, rows: DataFrame, step: str) -> tuple[DataFrame, dict]:
+    """Stage the rows and count them on the way. Dates of valid rows sort as text."""
+    seen = Observation()
+    observed = rows.observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("is_valid"), 1)).alias("valid"),
+        F.max(F.when(F.col("is_valid"), F.col("transaction_date"))).alias("latest"),
     )
-    replace_batch(fresh.select(LANDING_COLUMNS), tables.landing, batch_id)
+    staged = stage.write(observed, step)
+    return staged, {"n": 0, "valid": 0, "latest": None} | seen.get
+
 
-    mine = spark.table(tables.bronze).filter(F.col("batch_id") == batch_id)
-    watermark = increment.next_watermark(mine, saved, monotonic).first()[0]
-    return BatchResult(batch_id, read["n"], found["n"], watermark)
+def _store(spark, tables, batch_id, fresh, valid, landed_batches, heavy_rows, broadcast_bytes) -> None:
+    rows = routing.valid(fresh)
+    stored = None
+    if landed_batches and valid:
+        stored = stored_keys(spark.table(tables.bronze), rows, valid, broadcast_bytes)
+    bronze = repeats.mark_duplicates(rows, stored, row_count=valid, heavy_rows=heavy_rows)
+    bronze = bronze.withColumn("event_date", F.to_date("transaction_ts"))
+    # Adaptive execution sizes the files: large days are split, small ones kept whole.
+    add_batch(bronze.hint("rebalance", "event_date"), tables.bronze, batch_id, ["event_date"])
+    add_batch(fresh.filter("not is_valid").select(QUARANTINE_COLUMNS), tables.quarantine, batch_id)
+    add_batch(fresh.select(LANDING_COLUMNS), tables.landing, batch_id)
 
 
 def incremental_load(
@@ -206,16 +201,11 @@ def incremental_load(
     """Read from the saved watermark minus the lookback (everything on the first run),
     store what is new and move the watermark. ``options`` go to :func:`run_batch`."""
     use_utc(spark)
+    batch_id = batch_id or new_batch_id()
     state = read_watermark(spark, tables).withColumn("lookback_days", F.lit(lookback_days))
     last = increment.with_effective_bound(state).first()
     saved = last["last_successful_watermark"] if last else None
     bound = last["effective_watermark"] if last else None
-
-    result = run_batch(
-        spark, read(bound), tables, batch_id or new_batch_id(), saved=saved, **options
+    return run_batch(
+        spark, read(bound), tables, batch_id, saved=saved, bound=bound, lookback_days=lookback_days, **options
     )
-    if result.watermark is not None:
-        write_watermark(
-            spark, tables, result.batch_id, result.watermark, result.new_rows, lookback_days
-        )
-    return result

@@ -1,5 +1,8 @@
 """Names of the tables a load writes, and the staged frames between its steps."""
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +15,7 @@ class Tables:
     landing: str
     quarantine: str
     bronze: str
-    watermark: str
+    control: str
 
     @classmethod
     def in_schema(cls, schema: str, suffix: str = "") -> "Tables":
@@ -22,19 +25,40 @@ class Tables:
             landing=f"{schema}.landing_transactions{suffix}",
             quarantine=f"{schema}.quarantine_transactions{suffix}",
             bronze=f"{schema}.bronze_transactions{suffix}",
-            watermark=f"{schema}.load_watermark{suffix}",
+            control=f"{schema}.load_batches{suffix}",
         )
 
+    def batch_tables(self) -> dict[str, list[str]]:
+        """Tables that hold rows of batches, with their partition columns after the batch."""
+        return {self.landing: [], self.quarantine: [], self.bronze: ["event_date"]}
 
-def stage(df: DataFrame, tables: Tables, step: str) -> DataFrame:
-    """Write a frame to the shared folder and go on from the files.
 
-    Cuts the lineage durably: later steps neither read the source again nor see tables
-    change under them, and lost executors cost a re-read, not a re-run. Each table set
-    has one folder per step, overwritten by its next load, so loads into one table set
-    run one after the other. The split by validity makes both routes partition reads.
-    """
-    spark: SparkSession = df.sparkSession
-    path = f"{shared_dir(spark)}/txnmill-staged/{tables.landing}/{step}"
-    df.write.mode("overwrite").partitionBy("is_valid").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+class Staging:
+    """A folder of one run in the shared folder."""
+
+    def __init__(self, spark: SparkSession, tables: Tables, batch: str):
+        name = f"{batch}-{uuid.uuid4().hex[:12]}"
+        self.path = f"{shared_dir(spark)}/txnmill-staged/{tables.landing}/{name}"
+
+    def write(self, df: DataFrame, step: str) -> DataFrame:
+        """Write a frame with ``is_valid`` and go on from the files.
+
+        Cuts the lineage durably: later steps neither read the source again nor see tables
+        change under them, and lost executors cost a re-read, not a re-run. The split by
+        validity makes both routes partition reads.
+        """
+        path = f"{self.path}/{step}"
+        df.write.partitionBy("is_valid").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession, tables: Tables, batch: str) -> Iterator[Staging]:
+    """A folder that goes when the run ends, well or not. A driver that dies leaves it behind;
+    no other run ever reads it."""
+    folder = Staging(spark, tables, batch)
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

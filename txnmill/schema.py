@@ -1,4 +1,7 @@
-"""Column lists and table schemas."""
+"""Column lists and table schemas.
+
+The names and their order in the tables are fixed values.
+"""
 
 from pyspark.sql import types as T
 
@@ -72,12 +75,35 @@ def schema_of(columns: list[str]) -> T.StructType:
 
 RECORD_SCHEMA = T.StructType([T.StructField(name, T.StringType(), True) for name in RECORD_FIELDS])
 
-WATERMARK_SCHEMA = T.StructType(
+# Rows of the control table: what happened to a batch, see plans/batches.py.
+CONTROL_SCHEMA = T.StructType(
     [
+        T.StructField("number", T.LongType(), True),
+        T.StructField("batch_id", T.StringType(), True),
+        T.StructField("status", T.StringType(), True),
+        T.StructField("owner", T.StringType(), True),
+        T.StructField("bound", T.StringType(), True),
+        T.StructField("read_rows", T.LongType(), True),
+        T.StructField("left_out_rows", T.LongType(), True),
+        T.StructField("new_rows", T.LongType(), True),
+        T.StructField("watermark", T.StringType(), True),
         T.StructField("last_successful_watermark", T.StringType(), True),
         T.StructField("last_run_timestamp", T.StringType(), True),
         T.StructField("rows_processed", T.LongType(), True),
         T.StructField("lookback_days", T.IntegerType(), True),
-        T.StructField("batch_id", T.StringType(), True),
+    ]
+)
+
+# The saved state of incremental loads, a part of that.
+WATERMARK_SCHEMA = T.StructType(
+    [
+        CONTROL_SCHEMA[name]
+        for name in (
+            "last_successful_watermark",
+            "last_run_timestamp",
+            "rows_processed",
+            "lookback_days",
+            "batch_id",
+        )
     ]
 )

@@ -13,6 +13,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's partition count; some platforms leave it to ``auto``."""
+    wanted = spark.conf.get("spark.sql.shuffle.partitions", "")
+    return int(wanted) if wanted.isdigit() else 2 * spark.sparkContext.defaultParallelism
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for staged batches, as named by the cluster in ``spark.checkpoint.dir``.
 

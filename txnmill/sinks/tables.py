@@ -1,8 +1,8 @@
-"""Table writers: whole-table overwrite, append, and replacement of one batch.
+"""Table writers: whole-table overwrite, append, and rows of one batch.
 
-A batch table is partitioned by ``batch_id`` first. A static partition overwrite clears
-everything under ``batch_id=...``, also what a crashed attempt left there and also when
-the new content is empty, so running a batch again leaves the table as if it had run once.
+A batch table is partitioned by ``batch_id`` first. A batch is appended to once. What a dead run
+left of it is cleared before by a static partition overwrite, which removes everything under
+``batch_id=...``. Batch tables are Parquet (or another file format of the catalog).
 """
 
 import re
@@ -54,6 +54,11 @@ def create_batch_table(
     )
 
 
+def create_plain_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+
+
 @contextmanager
 def _static_overwrite(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(OVERWRITE_MODE)
@@ -89,28 +94,11 @@ def clear_batch(
     _put(nothing, name, batch_id, partition_by, "OVERWRITE")
 
 
-def replace_batch(
-    df: DataFrame, name: str, batch_id: str, partition_by: Sequence[str] = ()
-) -> None:
-    """Make ``df``, which must not read this table, the whole content of the batch."""
-    _put(df, name, batch_id, partition_by, "OVERWRITE")
-
-
-def replace_batch_reading_table(
-    df: DataFrame, name: str, batch_id: str, partition_by: Sequence[str] = ()
-) -> None:
-    """The same for ``df`` that reads other batches of the table. An overwrite must not read
-    its target, so the batch is cleared first and then appended to."""
-    clear_batch(df.sparkSession, name, batch_id, partition_by)
+def add_batch(df: DataFrame, name: str, batch_id: str, partition_by: Sequence[str] = ()) -> None:
+    """Append ``df``, which may read other batches of the table, as rows of the batch."""
     _put(df, name, batch_id, partition_by, "INTO")
 
 
-def batches_of(spark: SparkSession, name: str) -> set[str]:
-    """Batch ids from the partition list of the table; no data is read."""
-    parts = spark.sql(f"SHOW PARTITIONS {name}").toLocalIterator()
-    return {row["partition"].split("/")[0].removeprefix("batch_id=") for row in parts}
-
-
 def export_csv(df: DataFrame, path: str) -> None:
     """One folder of CSV parts. Blanks at the ends of a value are data and stay."""
     (

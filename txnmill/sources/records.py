@@ -2,13 +2,14 @@
 
 Header-named CSV with quoted line breaks and array pages cannot be split inside a
 file, so read parallelism is one task per file: keep files moderate, and pass
-``multi_line=False`` / ``json_lines=True`` where the data allows it.
+``multi_line=False`` / ``json_lines=True`` where the data allows it, which
+:func:`read_source` and the jobs do too.
 """
 
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txnmill.functions.times import parse_iso_lenient
@@ -25,7 +26,11 @@ PAGES_LABEL = "json_pages"
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header row. Fields are found by their header name, wherever they
     stand; other columns are dropped and absent ones are null."""
-    raw = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
+    return by_name(spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path))
+
+
+def by_name(raw: DataFrame) -> DataFrame:
+    """The ten fields of a frame that may have them anywhere, lack some or have others."""
     position = {name: i for i, name in enumerate(raw.columns)}
     by_position = raw.toDF(*[f"c{i}" for i in range(len(raw.columns))])
     return by_position.select(
@@ -40,21 +45,22 @@ def read_json_pages(spark: SparkSession, path: str, json_lines: bool = False) ->
     """Downloaded result pages: one JSON array of records per file, or one record per line.
 
     A page that is no array, or no JSON at all, fails the query rather than landing
-    as rows of nulls. Numbers become their shortest decimal text.
+    as rows of nulls. Numbers keep the text they have in the file, in both forms.
     """
+    reader = spark.read.schema(RECORD_SCHEMA).option("mode", "FAILFAST")
     if json_lines:
-        return spark.read.schema(RECORD_SCHEMA).option("mode", "FAILFAST").json(path)
-    page = F.col("value")
-    first = F.substring(F.ltrim(page, F.lit(" \t\r\n")), 1, 1)
-    checked = F.when(first == "[", page).otherwise(
-        F.raise_error(F.concat(F.lit("page is not a JSON array: "), F.substring(page, 1, 80)))
-    )
-    records = F.from_json(checked, _array_of_records(), {"mode": "FAILFAST"})
-    return spark.read.text(path, wholetext=True).select(F.inline(records))
+        return reader.json(path)
+    return reader.option("multiLine", True).json(path).unionByName(_no_other_pages(spark, path))
 
 
-def _array_of_records() -> str:
-    return f"array<{RECORD_SCHEMA.simpleString()}>"
+def _no_other_pages(spark: SparkSession, path: str) -> DataFrame:
+    """No rows, or an error where a file does not start like an array: the JSON reader would take
+    a single object for a record."""
+    page = F.col("value")
+    first = F.substring(F.ltrim(page, F.lit(" \t\r\n")), 1, 1)
+    failed = F.raise_error(F.concat(F.lit("page is not a JSON array: "), F.substring(page, 1, 80)))
+    others = spark.read.text(path, wholetext=True).filter(first != "[")
+    return others.select(*(failed.cast("string").alias(name) for name in RECORD_FIELDS))
 
 
 def since(records: DataFrame, bound: str | None) -> DataFrame:
@@ -69,20 +75,35 @@ def since(records: DataFrame, bound: str | None) -> DataFrame:
 
 @dataclass(frozen=True)
 class Source:
-    """Records plus the label of the source they were really read from."""
+    """Records plus the label of the source they were really read from. ``seen`` has the number
+    of records before the time bound as ``n`` once the records have been read."""
 
     records: DataFrame
     label: str
+    seen: Observation | None = None
+
+
+def bounded(records: DataFrame, label: str, bound: str | None) -> Source:
+    """A source of the records since ``bound``, which counts those that the bound leaves out."""
+    if bound is None:
+        return Source(records, label)
+    seen = Observation()
+    return Source(since(records.observe(seen, F.count(F.lit(1)).alias("n")), bound), label, seen)
 
 
 def read_source(
-    spark: SparkSession, pages_path: str | None, csv_path: str, bound: str | None = None
+    spark: SparkSession,
+    pages_path: str | None,
+    csv_path: str,
+    bound: str | None = None,
+    multi_line: bool = True,
+    json_lines: bool = False,
 ) -> Source:
     """Pages if they are there, else CSV. The choice is made when the path is resolved;
     a page that turns out to be broken later fails the load."""
     if pages_path is not None:
         try:
-            return Source(since(read_json_pages(spark, pages_path), bound), PAGES_LABEL)
+            return bounded(read_json_pages(spark, pages_path, json_lines), PAGES_LABEL, bound)
         except AnalysisException:
             pass
-    return Source(since(read_csv(spark, csv_path), bound), CSV_LABEL)
+    return bounded(read_csv(spark, csv_path, multi_line), CSV_LABEL, bound)
