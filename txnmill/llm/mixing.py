@@ -4,7 +4,8 @@ Targets share all words by weight and stop at a multiple of what a source has; t
 to the others by weight. The words are dealt in equal blocks: to sources by the highest quotients
 ``target / (2 k - 1)``, then each source's blocks to its shards in the same way. A source gets
 as many shards as its words need, so no window holds more than ``shard_words`` words, whatever
-share of the corpus the source has.
+share of the corpus the source has. By default a shard has 65,536 words, or more once there are
+65,536 shards, so that neither the shards nor the documents of one outgrow a task.
 
 A shard with a quota takes whole passes over its documents while the quota lasts. The rest comes
 from chunks of consecutive blocks drawn in seeded order; the last one drawn is cut at a block.
@@ -25,7 +26,7 @@ from pyspark.sql.window import Window
 
 from txnmill.llm.common import WORD, staged, word_count, workers_see_package
 
-SHARD_WORDS = 4_000_000
+SHARD_WORDS, MOST_SHARDS = 65_536, 65_536  # least words of a shard, and about the most shards in all
 CHUNK_WORDS = 1024
 MOST_BLOCK_WORDS = 64
 BLOCKS = 2**24  # blocks asked for while they are smaller than MOST_BLOCK_WORDS
@@ -109,7 +110,7 @@ def mixture(
     weights: Sequence[float] = (1, 2, 3),
     cap: int = 3,
     seed: int = 17,
-    shard_words: int = SHARD_WORDS,
+    shard_words: int | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, row_hash, copy, copies, size, source_size, target, passes,
     spans, taken.
@@ -135,6 +136,7 @@ def mixture(
     words = sources.agg(F.sum("source_size")).first()[0] or 0
     block = max(1, min(MOST_BLOCK_WORDS, words // BLOCKS))
     chunk = block * -(-CHUNK_WORDS // block)
+    shard_words = shard_words or max(SHARD_WORDS, -(-words // MOST_SHARDS))
     return _taken(sized, sources, words, block, chunk, cap, seed, shard_words)
 
 
