@@ -254,8 +254,10 @@ def mixed_documents(
     hashes = several.select("row_hash").distinct()
     once = whole.join(hashes, "row_hash", "left_semi").dropDuplicates(["row_hash"])
     rows = whole.join(single, "row_hash").union(once.join(several, "row_hash"))
-    rows = rows.select("doc.*", "passes", "spans")
     names, schema = list(docs.columns), T.StructType(docs.schema.fields)
+    # by place, since documents may have columns of any name
+    cells = [F.col("doc").getField(name).alias(f"c{i}") for i, name in enumerate(names)]
+    rows = rows.select(*cells, "passes", "spans")
     text_at = names.index(text_col)
     chars_at = names.index(chars_col) if chars_col in names else None
 
@@ -271,8 +273,7 @@ def mixed_documents(
                 if spans[i].is_valid:
                     at.append(i)
                     cut.append(_cut(word, texts[i].as_py(), spans[i].as_py()))
-            out = batch.select(names).take(pa.array(at, pa.int32()))
-            columns = list(out.columns)
+            columns = [c.take(pa.array(at, pa.int32())) for c in batch.columns[: len(names)]]
             kept = [t if c is None else c for t, c in zip(columns[text_at].to_pylist(), cut, strict=True)]
             columns[text_at] = pa.array(kept, columns[text_at].type)
             if chars_at is not None:
