@@ -139,7 +139,7 @@ def with_following(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     buckets = 4 * shuffle_partitions(spark)
     cuts = narrow.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets)
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    splits = [-math.inf, *sorted({*cuts, 0.0}), math.inf]
     number = F.col("doc_id").cast("double")
     dealer = Bucketizer(splits=splits, inputCol="number", outputCol="range", handleInvalid="keep")
     dealt = dealer.transform(narrow.withColumn("number", F.coalesce(number, F.lit(-math.inf))))
