@@ -327,6 +327,7 @@ FINALS = {
         UNION ALL SELECT 2 AS run, * FROM flagged2""",
     "incremental_retry": f"""SELECT 1 AS run, * FROM flagged1
         UNION ALL SELECT 2 AS run, * FROM flagged2""",
+    "incremental_compacted": "SELECT * FROM flagged1 UNION ALL SELECT * FROM flagged2",
     "incremental_quarantine": f"""SELECT 1 AS run, {FIELDS}, error_reason FROM part1 WHERE NOT is_valid
         UNION ALL SELECT 2 AS run, {FIELDS}, error_reason FROM new2 WHERE NOT is_valid""",
     "stream_ingest": """SELECT 1 AS batch, * FROM flagged1

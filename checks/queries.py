@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from checks.records import landed_fields, source_records
 from txnmill.operators import increment, landing, quality, repeats, routing, rules, summary
 from txnmill.plans import incremental
-from txnmill.plans.full_load import full_load
+from txnmill.plans.compaction import compact
+from txnmill.plans.full_load import full_load, load_counts
 from txnmill.plans.summary import rebuild_summary
 from txnmill.plans.tables import Tables
 from txnmill.profiles import FULL, INCREMENTAL, Profile
@@ -424,9 +425,8 @@ def daily_summary_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_metrics(
-        _landed(spark, sf_dir, FULL), quarantine_full(spark, sf_dir), _bronze(spark, sf_dir)
-    )
+    """Counts of the tables that a full load has written."""
+    return load_counts(spark, _full_load(spark, sf_dir))
 
 
 @query
@@ -557,6 +557,16 @@ def incremental_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.select(_run_number().alias("run"), *_without_stamps(BRONZE_COLUMNS))
 
 
+@query
+def incremental_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both runs folded into one batch, and the second run once more."""
+    tables, records = _first_run(spark, sf_dir)
+    _run(spark, tables, records, "run2")
+    compact(spark, tables)
+    _run(spark, tables, records, "run3")
+    return spark.table(tables.bronze).select(_without_stamps(BRONZE_COLUMNS))
+
+
 @query
 def incremental_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = spark.table(_two_runs(spark, sf_dir).quarantine)

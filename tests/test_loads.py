@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from txnmill.plans import batches, incremental
 from txnmill.plans.batches import OpenBatchError
+from txnmill.plans.compaction import compact
 from txnmill.plans.full_load import full_load
 from txnmill.plans.incremental import incremental_load, read_watermark
 from txnmill.plans.summary import rebuild_summary
@@ -250,6 +251,44 @@ def test_days_far_apart_are_the_only_ones_read(spark, records, tables, broadcast
     assert "Exchange hashpartitioning" not in plan
 
 
+def test_folded_batches_have_the_same_content(spark, records, tables):
+    assert compact(spark, tables) is None
+    for day in (1, 2, 3):
+        load(spark, tables, records(txn(day, day), txn(10 * day, day, amount="x"), txn(day + 50, day, merchant_name=f"M{day}")))
+    before = content(spark, tables)
+    fold = compact(spark, tables)
+    assert content(spark, tables) == before
+    assert batches_of(spark, tables.bronze) == batches_of(spark, tables.landing) == {fold}
+    assert compact(spark, tables) is None
+    result = load(spark, tables, records(txn(3, 3), txn(4, 4)))
+    assert (result.new_rows, result.watermark) == (1, at(4))
+    second = compact(spark, tables)
+    assert batches_of(spark, tables.landing) == {fold, second}
+
+
+@pytest.mark.parametrize("dies_after", [batches.OPEN, batches.FOLDED])
+def test_a_fold_that_died_is_cleared_or_finished(spark, records, tables, monkeypatch, dies_after):
+    for day in (1, 2):
+        load(spark, tables, records(txn(day, day)))
+    before = content(spark, tables)
+    add_event = batches.add_event
+
+    def dying(spark, tables, number, batch_id, status, *more, **values):
+        if (dies_after, status) in ((batches.OPEN, batches.FOLDED), (batches.FOLDED, batches.CLOSED)):
+            raise RuntimeError("lost the driver")
+        add_event(spark, tables, number, batch_id, status, *more, **values)
+
+    monkeypatch.setattr(batches, "add_event", dying)
+    with pytest.raises(RuntimeError):
+        compact(spark, tables)
+    monkeypatch.undo()
+    with pytest.raises(OpenBatchError):
+        load(spark, tables, records(txn(3, 3)))
+    compact(spark, tables)
+    assert content(spark, tables) == before
+    assert load(spark, tables, records(txn(2, 2), txn(3, 3))).new_rows == 1
+
+
 def test_watermark_does_not_go_back_unless_asked(spark, records, tables):
     load(spark, tables, records(txn(1, 10)))
     late = records(txn(2, 10, transaction_date=at(10, 9)))

@@ -3,6 +3,7 @@
     python -m txnmill full        --schema bank --csv /data/in --pages /data/pages
     python -m txnmill incremental --schema bank --csv /data/in
     python -m txnmill stream      --schema bank --csv /data/in --checkpoint /data/cp
+    python -m txnmill compact     --schema bank
     python -m txnmill summary     --bronze bank.bronze_transactions --summary bank.daily
 """
 
@@ -11,6 +12,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from txnmill.operators import quality, routing
+from txnmill.plans.compaction import compact
 from txnmill.plans.full_load import full_load, load_counts
 from txnmill.plans.incremental import LOOKBACK_DAYS, incremental_load
 from txnmill.plans.summary import rebuild_summary
@@ -64,6 +66,10 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     start_ingest(records, tables, args.checkpoint, args.name, label).awaitTermination()
 
 
+def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    print("Folded into", compact(spark, Tables.in_schema(args.schema, "_incremental")))
+
+
 def _summary(spark: SparkSession, args: argparse.Namespace) -> None:
     rebuild_summary(spark, args.bronze, args.summary, table_format=args.format)
     days = spark.table(args.summary)
@@ -97,6 +103,9 @@ def main() -> None:
             job.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
             job.add_argument("--batch-id", help="of a run to repeat")
             job.add_argument("--owner", help="name of this job; its next run clears what a dead one left")
+    job = jobs.add_parser("compact")
+    job.set_defaults(run=_compact)
+    job.add_argument("--schema", required=True)
     job = jobs.add_parser("summary")
     job.set_defaults(run=_summary)
     job.add_argument("--bronze", required=True)

@@ -22,10 +22,13 @@ from pyspark.sql import functions as F
 from txnmill.functions.times import utc_now
 from txnmill.plans.tables import Tables
 from txnmill.schema import CONTROL_SCHEMA, WATERMARK_SCHEMA
-from txnmill.sinks.tables import clear_batch, create_plain_table
+from txnmill.sinks.tables import clear_batch, create_plain_table, drop_batches
 from txnmill.sources.tables import table_or_empty
 
 OPEN, LANDED, DROPPED, IDLE = "open", "landed", "dropped", "idle"
+# A fold (plans/compaction.py) is complete, and then rid of what it copied.
+FOLDED, CLOSED = "folded", "closed"
+FOLD = "fold-"
 
 
 class OpenBatchError(RuntimeError):
@@ -47,7 +50,7 @@ class Control:
 
     rows: int
     last_number: int
-    open_batches: tuple[tuple[str, str], ...]  # (batch_id, owner)
+    open_batches: tuple[tuple[str, str, str], ...]  # (batch_id, owner, status)
     landed_batches: int
     own: BatchResult | None  # result of the run's own id if it has landed
 
@@ -66,7 +69,7 @@ def read_control(spark: SparkSession, tables: Tables, batch_id: str) -> Control:
         F.count("*").alias("rows"),
         F.coalesce(F.max("number"), F.lit(0)).alias("last"),
         F.count_if(status == OPEN).alias("opened"),
-        F.count_if(status.isin(LANDED, DROPPED)).alias("closed"),
+        F.count_if(status.isin(LANDED, DROPPED, CLOSED)).alias("closed"),
         F.count_if(status == LANDED).alias("landed"),
         F.max_by(own, F.when(mine, F.col("number"))).alias("own"),
     ).first()
@@ -75,11 +78,12 @@ def read_control(spark: SparkSession, tables: Tables, batch_id: str) -> Control:
     return Control(row["rows"], row["last"], open_batches, row["landed"], result)
 
 
-def _open(known: DataFrame) -> tuple[tuple[str, str], ...]:
+def _open(known: DataFrame) -> tuple[tuple[str, str, str], ...]:
     last = known.filter(F.col("status") != IDLE).groupBy("batch_id").agg(
         F.max_by("status", "number").alias("status"), F.max_by("owner", "number").alias("owner")
     )
-    return tuple((r["batch_id"], r["owner"]) for r in last.filter(F.col("status") == OPEN).collect())
+    still = last.filter(F.col("status").isin(OPEN, FOLDED)).select("batch_id", "owner", "status")
+    return tuple(tuple(row) for row in still.collect())
 
 
 def add_event(
@@ -99,14 +103,17 @@ def clear_own_leftovers(
     spark: SparkSession, tables: Tables, control: Control, batch_id: str, owner: str
 ) -> Control:
     """Remove what dead runs of this id or owner stored; refuse to run beside anyone else's."""
-    foreign = [b for b, o in control.open_batches if b != batch_id and o != owner]
+    foreign = [b for b, o, _ in control.open_batches if b != batch_id and o != owner]
     if foreign:
         raise OpenBatchError(
             f"batch {foreign[0]!r} of another run is open; if that run died, run it again under "
             "its batch id or owner"
         )
     number = control.last_number
-    for batch, its_owner in control.open_batches:
+    for batch, its_owner, status in control.open_batches:
+        if status == FOLDED:
+            number = finish_fold(spark, tables, number, batch, its_owner)
+            continue
         for name, partition_by in tables.batch_tables().items():
             clear_batch(spark, name, batch, partition_by)
         number += 1
@@ -114,6 +121,14 @@ def clear_own_leftovers(
     return read_control(spark, tables, batch_id) if control.open_batches else control
 
 
+def finish_fold(spark: SparkSession, tables: Tables, number: int, fold: str, owner: str) -> int:
+    """Remove the batches that a complete fold has copied; may be done again."""
+    for name in tables.batch_tables():
+        drop_batches(spark, name, lambda batch: not batch.startswith(FOLD))
+    add_event(spark, tables, number + 1, fold, CLOSED, owner)
+    return number + 1
+
+
 def open_batch(
     spark: SparkSession, tables: Tables, seen: Control, batch_id: str, owner: str, bound: str | None
 ) -> int:

@@ -114,6 +114,8 @@ def run_batch(
     under the same batch id does. ``lookback_days`` is given by loads that keep a watermark.
     """
     use_utc(spark)
+    if batch_id.startswith(batches.FOLD):
+        raise ValueError(f"ids that start with {batches.FOLD!r} are for compaction")
     owner = owner or f"run-{uuid.uuid4().hex}"
     create_tables(spark, tables)
     control = batches.read_control(spark, tables, batch_id)

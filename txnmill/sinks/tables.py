@@ -6,7 +6,7 @@ left of it is cleared before by a static partition overwrite, which removes ever
 """
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +99,21 @@ def add_batch(df: DataFrame, name: str, batch_id: str, partition_by: Sequence[st
     _put(df, name, batch_id, partition_by, "INTO")
 
 
+def drop_batches(spark: SparkSession, name: str, unwanted: Callable[[str], bool]) -> None:
+    """Drop the partitions of whole batches, a hundred at a time, from the table's partition list."""
+    spark.catalog.refreshTable(name)
+    parts = (row["partition"] for row in spark.sql(f"SHOW PARTITIONS {name}").toLocalIterator())
+    specs = (dict(level.split("=", 1) for level in part.split("/")) for part in parts)
+    clauses = [
+        "PARTITION (" + ", ".join(f"{key} = '{value}'" for key, value in spec.items()) + ")"
+        for spec in specs
+        if unwanted(_checked(spec["batch_id"]))
+    ]
+    for i in range(0, len(clauses), 100):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(clauses[i : i + 100])}")
+    spark.catalog.refreshTable(name)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """One folder of CSV parts. Blanks at the ends of a value are data and stay."""
     (
