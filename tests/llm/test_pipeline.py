@@ -3,7 +3,7 @@ import re
 import corpus_pipeline
 import pytest
 
-SMALL = "/root/testdata/sf0.001"
+SMALL, MORE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -23,14 +23,16 @@ def test_columns_and_decisions(stages):
         assert frame.columns == docs.columns
     ids = [{r.doc_id for r in frame.select("doc_id").collect()} for frame in stages]
     assert ids[0] >= ids[1] >= ids[2] >= ids[3] == ids[4]
-    assert len(ids[0]) > len(ids[1]) > len(ids[2])
+    assert len(ids[0]) >= len(ids[1]) > len(ids[2])
 
 
-def test_toxic_documents_go_and_others_stay(spark, stages):
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
-    left = {r.doc_id for r in stages[1].select("doc_id").collect()}
-    assert sum(i in left for i, t in labels.items() if t) <= 1
-    assert sum(i not in left for i, t in labels.items() if not t) <= 1
+def test_toxic_documents_go_and_others_stay(spark):
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{MORE}/labels.parquet").collect()}
+    docs = spark.read.parquet(f"{MORE}/documents.parquet")
+    left = {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, MORE).select("doc_id").collect()}
+    toxic = [i for i, t in labels.items() if t]
+    assert sum(i in left for i in toxic) <= 0.1 * len(toxic)
+    assert not any(i not in left for i, t in labels.items() if not t)
 
 
 def test_groups_of_similar_documents_keep_one(stages):

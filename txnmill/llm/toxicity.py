@@ -2,17 +2,18 @@
 
 Features are the distinct words of a text and their first four, five and six letters, hashed.
 A model has one weight per feature, shared by all grades, and one ordered threshold per grade:
-``P(grade >= k) = sigmoid(w x - threshold_k)``. The expected severity is the sum of these
+``P(grade >= k) = sigmoid(w x - threshold_k)``. Weights are not negative and features are such that
+flagged texts have much more often, so harmless words, however many, excuse nothing. The expected severity is the sum of these
 probabilities; a text is rejected if a grade above 0 is more likely than not.
 
 Fitting takes at most ``sample_rows`` labelled documents (default 20,000), half of them flagged
 if there are as many, drawn by a hash of their ids and weighted back to the share that all labels
 have. Features are chosen from document counts over the sample, which are summed by Spark; only the
-chosen features (``most_features``) and the sample's use of them reach the driver. Scoring covers
-every document and whole texts, in one pass without a shuffle.
+chosen features (``most_features``, default 4,096) and the sample's use of them, two bytes each,
+reach the driver. Scoring covers every document and whole texts, in one pass without a shuffle.
 
 Labels are grades 0, 1, 2, ... If only a flag exists, ``flags_to_grades`` splits flagged documents
-at the median share of tell-tale words into grades 1 and 2.
+at the median number of tell-tale words into grades 1 and 2.
 
 Defined cases: null, empty and wordless texts have no features and severity of the thresholds
 alone; they are never rejected. Labels with a null id or grade count for nothing, of several for
@@ -67,10 +68,10 @@ class Reader:
             out.update(self.word(word))
         return np.fromiter(sorted(out), np.int64, len(out))
 
-    def share(self, text: str | None, strong: set[int]) -> float:
-        """Share of a text's words with a feature in ``strong``."""
-        words = _WORD.findall((text or "").lower())
-        return sum(not strong.isdisjoint(self.word(w)) for w in words) / max(1, len(words))
+    def hits(self, text: str | None, strong: set[int]) -> int:
+        """Distinct words of a text with a feature in ``strong``."""
+        words = set(_WORD.findall((text or "").lower()))
+        return sum(not strong.isdisjoint(self.word(w)) for w in words)
 
 
 @dataclass
@@ -105,10 +106,12 @@ def train(
     flag_col: str | None = "toxic",
     grade_col: str | None = None,
     sample_rows: int = 20_000,
-    most_features: int = 20_000,
+    most_features: int = 4096,
     seed: int = 5,
 ) -> Model:
     """Fit on a bounded sample of labelled documents, see the module text."""
+    if most_features > 2**16:
+        raise ValueError("at most 65,536 features")
     workers_see_package(docs.sparkSession)
     label = F.col(grade_col or flag_col).cast("int")
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), label.alias("label"))
@@ -130,17 +133,17 @@ def train(
     chosen, strong = _choose(sample, most_features)
     rows = _encoded(sample, chosen, strong).orderBy("doc_id").collect()
     labels_seen = np.array([r["label"] for r in rows])
-    grades = labels_seen if grade_col else flags_to_grades(labels_seen, [r["share"] for r in rows])
+    grades = labels_seen if grade_col else flags_to_grades(labels_seen, [r["hits"] for r in rows])
     weight = np.where(
         labels_seen > 0,
         counts[True] / max(1, (labels_seen > 0).sum()),
         counts[False] / max(1, (labels_seen == 0).sum()),
     )
-    return fit([np.array(r["at"], np.int64) for r in rows], grades, chosen, weight / weight.mean())
+    return fit([np.frombuffer(r["at"], np.uint16) for r in rows], grades, chosen, weight / weight.mean())
 
 
 def _choose(sample: DataFrame, most: int) -> tuple[np.ndarray, set[int]]:
-    """Features that tell the two kinds of sample texts apart, and those that all but prove one."""
+    """Features that mark flagged sample texts, and those among them that all but prove it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, seen = Reader(), np.zeros((2, SPACE), np.int32)
@@ -158,12 +161,12 @@ def _choose(sample: DataFrame, most: int) -> tuple[np.ndarray, set[int]]:
         F.count_if(F.col("label") == 0), F.count_if(F.col("label") > 0)
     ).first()
     odds = F.log((F.col("n1") + 0.5) / (all1 + 1)) - F.log((F.col("n0") + 0.5) / (all0 + 1))
-    z = odds / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
+    deviation = F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
     best = (
         sums.withColumn("odds", odds)
-        .withColumn("z", z)
-        .filter("n0 + n1 >= 3 and abs(z) >= 2.5")
-        .orderBy(F.abs("z").desc(), "f")
+        .withColumn("z", F.col("odds") / deviation)
+        .filter((F.col("n1") >= 3) & (F.col("odds") > 1) & (F.col("z") > _best_z(all0, all1) / 2))
+        .orderBy(F.desc("z"), "f")
         .limit(most)
         .select("f", "odds")
         .collect()
@@ -172,6 +175,12 @@ def _choose(sample: DataFrame, most: int) -> tuple[np.ndarray, set[int]]:
     return np.array(sorted(r["f"] for r in best), np.int64), strong
 
 
+def _best_z(all0: int, all1: int) -> float:
+    """The z of a feature that all flagged texts have and no other; it grows with the sample."""
+    odds = np.log((all1 + 0.5) / (all1 + 1)) - np.log(0.5 / (all0 + 1))
+    return float(odds / np.sqrt(1 / (all1 + 0.5) + 2))
+
+
 def _encoded(sample: DataFrame, chosen: np.ndarray, strong: set[int]) -> DataFrame:
     wanted = set(chosen.tolist())
 
@@ -179,22 +188,23 @@ def _encoded(sample: DataFrame, chosen: np.ndarray, strong: set[int]) -> DataFra
         reader = Reader(wanted)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            at = [np.searchsorted(chosen, reader.features(t)).astype(np.int32) for t in texts]
-            share = [reader.share(t, strong) for t in texts]
-            columns = [batch.column(0), batch.column(2), pa.array(at, pa.list_(pa.int32())), pa.array(share)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "at", "share"])
+            at = [np.searchsorted(chosen, reader.features(t)).astype(np.uint16).tobytes() for t in texts]
+            hits = [reader.hits(t, strong) for t in texts]
+            columns = [batch.column(0), batch.column(2), pa.array(at, pa.binary()), pa.array(hits, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "at", "hits"])
 
     return sample.select("doc_id", "text", "label").mapInArrow(
-        run, "doc_id long, label int, at array<int>, share double"
+        run, "doc_id long, label int, at binary, hits int"
     )
 
 
-def flags_to_grades(flags, shares) -> np.ndarray:
-    """0 for unflagged, 1 or 2 for flagged texts below or from the median share of tell-tale words."""
-    flags, shares = np.asarray(flags), np.asarray(shares)
+def flags_to_grades(flags, hits) -> np.ndarray:
+    """0 for unflagged texts, 1 for flagged ones with up to the median number of tell-tale words,
+    2 for those with more."""
+    flags, hits = np.asarray(flags), np.asarray(hits)
     flagged = flags > 0
-    middle = np.median(shares[flagged]) if flagged.any() else 0
-    return np.where(flagged, 1 + (shares >= middle), 0)
+    middle = np.median(hits[flagged]) if flagged.any() else 0
+    return np.where(flagged, 1 + (hits > middle), 0)
 
 
 def fit(
@@ -202,11 +212,11 @@ def fit(
     grades: np.ndarray,
     features: np.ndarray,
     weight: np.ndarray | None = None,
-    l2: float = 1e-4,
-    steps: int = 400,
-    rate: float = 0.05,
+    l2: float = 1e-5,
+    steps: int = 500,
+    rate: float = 0.1,
 ) -> Model:
-    """Weights and thresholds of least weighted log loss, by Adam over all rows.
+    """Weights, none negative, and thresholds of least weighted log loss, by Adam over all rows.
 
     ``rows`` has the positions of each text's features. Thresholds are a first one and
     exponentials of gaps, which keeps them in order.
@@ -215,7 +225,7 @@ def fit(
     top = max(1, int(grades.max(initial=0)))
     weight = np.ones(len(rows)) if weight is None else weight
     lengths = np.array([len(r) for r in rows])
-    flat = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
+    flat = np.concatenate([*rows, np.empty(0, np.uint16)]).astype(np.int64)
     owner = np.repeat(np.arange(len(rows)), lengths)
     total = weight.sum()
     params = np.zeros(len(features) + top)
@@ -241,6 +251,7 @@ def fit(
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         params -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        np.maximum(params[: len(features)], 0, out=params[: len(features)])
     return Model(features, params[: len(features)], _ordered(params[len(features) :]))
 
 
