@@ -251,9 +251,11 @@ def mixed_documents(
     taken = staged(taken.select("row_hash", "copies", "passes", "spans"), "taken")
     whole = docs.select(row_hash(docs).alias("row_hash"), F.struct(*docs.columns).alias("doc"))
     single, several = taken.filter("copies = 1"), taken.filter("copies > 1")
-    hashes = several.select("row_hash").distinct()
-    once = whole.join(hashes, "row_hash", "left_semi").dropDuplicates(["row_hash"])
-    rows = whole.join(single, "row_hash").union(once.join(several, "row_hash"))
+    rows = whole.join(single.hint("merge"), "row_hash")
+    if not several.isEmpty():
+        hashes = several.select("row_hash").distinct()
+        once = whole.join(hashes, "row_hash", "left_semi").dropDuplicates(["row_hash"])
+        rows = rows.union(once.join(several, "row_hash"))
     names, schema = list(docs.columns), T.StructType(docs.schema.fields)
     # by place, since documents may have columns of any name
     cells = [F.col("doc").getField(name).alias(f"c{i}") for i, name in enumerate(names)]

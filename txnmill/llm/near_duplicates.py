@@ -116,7 +116,8 @@ def one_of_each(
     wanted = staged(
         nodes.join(linked, "name").select("name", F.col("first.row_hash").alias("row_hash")), "wanted"
     )
-    texts = rows.select("row_hash", "text").join(wanted, "row_hash").dropDuplicates(["name"])
+    # what is joined with texts grows with them, so these joins are the same at every size
+    texts = rows.select("row_hash", "text").join(wanted.hint("merge"), "row_hash").dropDuplicates(["name"])
     groups = components(_checked(links, staged(texts.select("name", "text"), "texts"), shingle_words, similarity))
 
     rooted = nodes.join(groups.withColumnRenamed("node", "member"), F.col("name") == F.col("member"), "left")
@@ -126,6 +127,8 @@ def one_of_each(
     kept = staged(kept.join(copies, "row_hash"), "kept-rows")
 
     whole = docs.select(row_hash(docs).alias("row_hash"), F.struct(*docs.columns).alias("doc"))
-    single = whole.join(kept.filter("copies = 1").select("row_hash"), "row_hash")
-    several = whole.join(kept.filter("copies > 1").select("row_hash"), "row_hash")
-    return single.union(several.dropDuplicates(["row_hash"])).select("doc.*")
+    single, several = (kept.filter(c).select("row_hash") for c in ("copies = 1", "copies > 1"))
+    unique = whole.join(single.hint("merge"), "row_hash")
+    if not several.isEmpty():  # the texts are not shuffled once more for nothing
+        unique = unique.union(whole.join(several, "row_hash").dropDuplicates(["row_hash"]))
+    return unique.select("doc.*")
