@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from txnmill.llm import simhash
+from txnmill.llm import near_duplicates, simhash
 from txnmill.llm.components import components
 from txnmill.llm.near_duplicates import one_of_each
 from txnmill.llm.simhash import simhash_groups
@@ -140,6 +140,75 @@ def test_near_duplicates_keep_one_of_each(documents):
     assert kept == {find(i) for i, _ in rows}
 
 
+def families(rng, sizes, words, changes):
+    """Members of a family differ from its base by ``changes`` single words, so pairs are around 0.8."""
+    rows = []
+    for size in sizes:
+        base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+        for _ in range(size):
+            other = list(base)
+            for _ in range(changes):
+                other[rng.randrange(words)] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(other)))
+    return rows
+
+
+def plain_kept(rows, pairs=None):
+    """Smallest ids of the groups by brute force; similar pairs are added to ``pairs``."""
+    best = {i: i for i, _ in rows}
+
+    def find(i):
+        while best[i] != i:
+            i = best[i]
+        return i
+
+    for n, (i, a) in enumerate(rows):
+        for j, b in rows[:n]:
+            if jaccard(a, b) >= 0.8:
+                x, y = sorted((find(i), find(j)))
+                best[y] = x
+                if pairs is not None:
+                    pairs.append((j, i))
+    return {find(i) for i, _ in rows}
+
+
+def test_near_duplicates_in_families_around_the_similarity(documents):
+    """A nearer fingerprint of less similarity must not hide a pair that is similar enough."""
+    rows = families(random.Random(5), [30, 45, 60, 100], 200, 3)
+    rows += [(1000 + i, t) for i, t in families(random.Random(6), [30, 60, 100], 250, 3)]
+    want = plain_kept(rows)
+    assert len(want) > 20
+    assert {r.doc_id for r in one_of_each(documents(*rows)).collect()} == want
+
+
+@pytest.mark.parametrize("part_rows", [8, 512])
+def test_families_in_parts_lose_no_pair(spark, part_rows):
+    """Parts far smaller than the family, with a group of most members that is already connected."""
+    rows = families(random.Random(7), [60], 200, 3)
+    name = {i: bytes([i]) * 16 for i, _ in rows}
+    pairs = []
+    plain_kept(rows, pairs)
+    some = spark.createDataFrame([(name[i], name[j]) for i, j in pairs[: len(pairs) // 3]], "a binary, b binary")
+    sure = components(some)
+    chain = spark.createDataFrame([(name[i], name[i + 1]) for i in range(59)], "a binary, b binary")
+    texts = spark.createDataFrame([(name[i], t.encode()) for i, t in rows], "name binary, text binary")
+    more = near_duplicates._family_links(
+        texts, sure, near_duplicates._families(chain, sure), 5, 0.8, part_rows=part_rows
+    )
+    got = {(bytes(r.a), bytes(r.b)) for r in more.collect()}
+    alike = {frozenset((name[i], name[j])) for i, j in pairs}
+    assert got and all(frozenset(p) in alike for p in got)
+
+    def classes(links):
+        sets = {}
+        for r in components(links).collect():
+            sets.setdefault(bytes(r.root), set()).add(bytes(r.node))
+        return sorted(map(sorted, sets.values()))
+
+    every = spark.createDataFrame([(name[i], name[j]) for i, j in pairs], "a binary, b binary")
+    assert classes(some.union(more)) == classes(every)
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     kept = one_of_each(odd)
     assert kept.columns == odd.columns

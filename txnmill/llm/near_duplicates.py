@@ -4,8 +4,12 @@ Documents of one word sequence are one node. Nodes get a 128-bit SimHash of five
 and anchor keys, are compared bit-sliced inside blocks of equal keys (``simhash``), and every link
 found is checked by the Jaccard similarity of the two shingle sets. At a similarity of 0.8 some 20
 bits of 128 differ, with a deviation of 4; the radius of 32 leaves out fewer than one such pair in
-a thousand and what else comes within it is sorted out by the check. Chains of checked
-links are groups, of which the row with the smallest id stays.
+a thousand and what else comes within it is sorted out by the check.
+
+A block returns a spanning forest of its links, so if a link fails, pairs that it stood for are still to
+be looked at. Groups of checked links that failed links connect are a family; inside a family the shingle
+sets of all pairs are compared, but of those that checked links already connect (``_family_links``).
+Chains of checked links are groups, of which the row with the smallest id stays.
 
 Defined cases: texts without words are one group. Case and white space do not count. Fully equal rows
 are one group with all their copies, of which one row stays. A null id counts as larger than any other.
@@ -13,14 +17,15 @@ All columns are passed through.
 """
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnmill.llm.common import staged, workers_see_package
+from txnmill.llm.common import shuffle_partitions, staged, workers_see_package
 from txnmill.llm.components import components
 from txnmill.llm.mixing import row_hash
 from txnmill.llm.simhash import (
@@ -33,6 +38,7 @@ from txnmill.llm.simhash import (
 )
 
 BITS, RADIUS, NAME = 128, 32, 16
+FAMILY_BYTES, FAMILY_ROWS = 2**21, 512  # of one part of a family; a task compares two at a time
 
 
 def _marked(rows: DataFrame, shingle_words: int) -> DataFrame:
@@ -91,6 +97,125 @@ def _checked(links: DataFrame, texts: DataFrame, shingle_words: int, similarity:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
+def _families(links: DataFrame, sure: DataFrame) -> DataFrame:
+    """(root, family): groups of checked links, or single nodes, that failed links connect."""
+    ends = links
+    for end in ("a", "b"):
+        root = sure.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        ends = ends.join(root, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    open_ends = ends.filter("root_a <> root_b").select("root_a", "root_b").distinct()
+    return components(open_ends, "root_a", "root_b").select(
+        F.col("node").alias("root"), F.col("root").alias("family")
+    )
+
+
+def _family_links(
+    texts: DataFrame,
+    sure: DataFrame,
+    families: DataFrame,
+    shingle_words: int,
+    similarity: float,
+    part_bytes: int = FAMILY_BYTES,
+    part_rows: int = FAMILY_ROWS,
+) -> DataFrame:
+    """(a, b): links between groups of one family, a spanning forest of every pair of parts.
+
+    A family is dealt to parts by hash. Its group of most members has parts of its own, which are not
+    compared with each other, as nothing is to be found there.
+    """
+    rooted = texts.select("name", F.octet_length("text").alias("size")).join(
+        sure.withColumnRenamed("node", "name"), "name", "left"
+    )
+    rooted = rooted.withColumn("root", F.coalesce("root", "name")).join(families, "root")
+    members = staged(rooted, "family-members")
+    sizes = members.groupBy("family", "root").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes"))
+    largest = F.max(F.struct("rows", "root", "bytes")).alias("largest")
+    whole = sizes.groupBy("family").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), largest)
+
+    def parts(count: Column, size: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(count / part_rows), F.ceil(size / part_bytes)).cast("int")
+
+    cut = whole.select(
+        "family",
+        F.col("largest.root").alias("main"),
+        parts(F.col("largest.rows"), F.col("largest.bytes")).alias("inner"),
+        parts(F.col("rows") - F.col("largest.rows"), F.col("bytes") - F.col("largest.bytes")).alias("outer"),
+    )
+    inner = F.col("root") == F.col("main")
+    slot = F.pmod(F.xxhash64("name"), F.when(inner, F.col("inner")).otherwise(F.col("outer")))
+    dealt = (
+        members.join(staged(cut, "families"), "family")
+        .withColumn("own", (slot + F.when(inner, 0).otherwise(F.col("inner"))).cast("int"))
+        .withColumn("first", F.when(inner, F.col("inner")).otherwise(0))
+        .withColumn("other", F.explode(F.sequence("first", F.col("inner") + F.col("outer") - 1)))
+        .join(texts, "name")
+        .select(
+            "family",
+            F.least("own", "other").alias("low"),
+            F.greatest("own", "other").alias("high"),
+            (F.col("own") <= F.col("other")).alias("left"),
+            "name",
+            "root",
+            "text",
+        )
+    )
+    order = ["family", "low", "high"]
+    grouped = dealt.repartition(4 * shuffle_partitions(texts.sparkSession), *order).sortWithinPartitions(*order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, low, high), rows in groupby(_family_rows(batches, shingle_words), key=lambda row: row[0]):
+            _, left, names, roots, sets = zip(*rows, strict=True)
+            _, groups = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)
+            pairs = _alike(sets, groups, np.array(left) if low != high else None, similarity)
+            columns = [pa.array([names[p[i]] for p in pairs], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return grouped.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _family_rows(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator[tuple]:
+    """((family, low, high), left, name, root, shingle set); sets are kept, texts are not."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            family, low, high, left, name, root, text = (c[at].as_py() for c in batch.columns)
+            yield (family, low, high), left, name, root, np.unique(shingle_hashes(text, shingle_words))
+
+
+def _alike(sets, groups: np.ndarray, left: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of sets as similar as asked, or of a left and a right one, that join all groups such pairs join."""
+    groups, rows = groups.copy(), len(sets)
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(rows), sizes)
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    holders = owner[np.argsort(token, kind="stable")]  # of each token in turn
+    ends = np.cumsum(np.bincount(token, minlength=1))
+    starts = np.concatenate([[0], ends])
+    place = np.concatenate([[0], np.cumsum(sizes)])
+    found = []
+    for i in range(rows):
+        wanted = groups != groups[i]
+        if left is None:
+            wanted[:i] = False
+        elif left[i]:
+            wanted &= ~left
+        else:
+            continue
+        wanted &= np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i])
+        if not wanted.any():
+            continue
+        own = token[place[i] : place[i + 1]]
+        both = np.zeros(rows, np.int64)
+        for some in np.array_split(own, 1 + len(own) // 4096):
+            runs = ends[some] - starts[some]
+            at = np.arange(runs.sum()) + np.repeat(starts[some] - (np.cumsum(runs) - runs), runs)
+            both += np.bincount(holders[at], minlength=rows)
+        for j in np.flatnonzero(wanted & (both >= similarity * (sizes[i] + sizes - both))):
+            if groups[j] != groups[i]:
+                found.append((i, int(j)))
+                groups[groups == groups[j]] = groups[i]
+    return found
+
+
 def one_of_each(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -118,7 +243,13 @@ def one_of_each(
     )
     # what is joined with texts grows with them, so these joins are the same at every size
     texts = rows.select("row_hash", "text").join(wanted.hint("merge"), "row_hash").dropDuplicates(["name"])
-    groups = components(_checked(links, staged(texts.select("name", "text"), "texts"), shingle_words, similarity))
+    texts = staged(texts.select("name", "text"), "texts")
+    checked = staged(_checked(links, texts, shingle_words, similarity), "checked")
+    groups = components(checked)
+    families = _families(links, groups)
+    if not families.isEmpty():
+        more = _family_links(texts, groups, families, shingle_words, similarity)
+        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
     rooted = nodes.join(groups.withColumnRenamed("node", "member"), F.col("name") == F.col("member"), "left")
     kept = rooted.groupBy(F.coalesce("root", "name").alias("root")).agg(F.min("first").alias("first"))
