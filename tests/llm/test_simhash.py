@@ -209,6 +209,22 @@ def test_families_in_parts_lose_no_pair(spark, part_rows):
     assert classes(some.union(more)) == classes(every)
 
 
+def test_near_duplicates_with_repeated_lines_and_short_texts(documents):
+    rng = random.Random(3)
+    rows, short = [], []
+    for _ in range(20):
+        words = " ".join(f"w{rng.randrange(10**6)}" for _ in range(300))
+        line = " ".join(f"l{rng.randrange(10**6)}" for _ in range(6))
+        rows += [(len(rows) + i, words + f"\n{line}" * times) for i, times in enumerate((1, 20, 60))]
+    for n in range(300):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(9)]
+        short += [(1000 + 2 * n, " ".join(words[:8])), (1001 + 2 * n, " ".join(words))]
+    kept = {r.doc_id for r in one_of_each(documents(*rows, *short)).collect()}
+    assert {i for i in kept if i < 1000} == plain_kept(rows)
+    assert {i for i, _ in short[::2]} <= kept
+    assert len([i for i in kept if i >= 1000]) <= 1.1 * 300
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     kept = one_of_each(odd)
     assert kept.columns == odd.columns
