@@ -59,6 +59,21 @@ def test_the_sample_is_bounded_and_fits_agree(corpus):
     assert np.mean([r.rejected == (r.doc_id % 5 == 0) for r in got]) > 0.85
 
 
+def test_rare_toxic_words(spark, documents):
+    """Each toxic text has one word of fifty; a word has ten texts of 500, held-out ones not counted."""
+    rng = random.Random(11)
+    marks = [f"{a}{b}q" for a in "mnoprstuvw" for b in "aeiou"]
+    rows = []
+    for i in range(5500):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(20)]
+        rows.append((i, " ".join([*words, marks[i % 50]] if i < 600 else words)))
+    labels = spark.createDataFrame([(i, 1, int(i < 500)) for i, _ in rows if not 500 <= i < 600], "doc_id long, quality int, toxic int")
+    docs = documents(*rows)
+    got = {r.doc_id for r in score(docs, train(docs, labels, sample_rows=1000)).filter("rejected").collect()}
+    assert sum(i in got for i in range(500, 600)) >= 95
+    assert sum(i in got for i in range(600, 5500)) <= 0.01 * 4900
+
+
 def test_grades_of_their_own(corpus, spark):
     docs, labels = corpus
     graded = labels.selectExpr("doc_id", "if(doc_id % 5 = 0, 1 + doc_id % 3, 0) grade")

@@ -3,13 +3,13 @@
 Features are the distinct words of a text and their first four, five and six letters, hashed.
 A model has one weight per feature, shared by all grades, and one ordered threshold per grade:
 ``P(grade >= k) = sigmoid(w x - threshold_k)``. Weights are not negative and features are such that
-flagged texts have much more often, so harmless words, however many, excuse nothing. The expected severity is the sum of these
+flagged texts have significantly more often, so harmless words, however many, excuse nothing. The expected severity is the sum of these
 probabilities; a text is rejected if a grade above 0 is more likely than not.
 
 Fitting takes at most ``sample_rows`` labelled documents (default 20,000), half of them flagged
 if there are as many, drawn by a hash of their ids and weighted back to the share that all labels
-have. Features are chosen from document counts over the sample, which are summed by Spark; only the
-chosen features (``most_features``, default 4,096) and the sample's use of them, two bytes each,
+have. Features are chosen from document counts over the sample, which are summed by Spark, by the
+likelihood ratio at a fixed significance; only the chosen features (``most_features``, default 4,096) and the sample's use of them, two bytes each,
 reach the driver. Scoring covers every document and whole texts, in one pass without a shuffle.
 
 Labels are grades 0, 1, 2, ... If only a flag exists, ``flags_to_grades`` splits flagged documents
@@ -28,13 +28,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnmill.llm.common import staged, workers_see_package
 
 SPACE = 2**22  # size of the hashed feature space
 PREFIXES = (4, 5, 6)
+LEAST_Z = 2.5  # significance of a feature, the same at every size of the sample
 CACHED_WORDS = 400_000
 _WORD = re.compile(r"\w+")
 
@@ -161,11 +162,10 @@ def _choose(sample: DataFrame, most: int) -> tuple[np.ndarray, set[int]]:
         F.count_if(F.col("label") == 0), F.count_if(F.col("label") > 0)
     ).first()
     odds = F.log((F.col("n1") + 0.5) / (all1 + 1)) - F.log((F.col("n0") + 0.5) / (all0 + 1))
-    deviation = F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
     best = (
         sums.withColumn("odds", odds)
-        .withColumn("z", F.col("odds") / deviation)
-        .filter((F.col("n1") >= 3) & (F.col("odds") > 1) & (F.col("z") > _best_z(all0, all1) / 2))
+        .withColumn("z", _root_ratio(F.col("n0"), F.col("n1"), all0, all1))
+        .filter((F.col("odds") > 0) & (F.col("z") >= LEAST_Z))
         .orderBy(F.desc("z"), "f")
         .limit(most)
         .select("f", "odds")
@@ -175,10 +175,20 @@ def _choose(sample: DataFrame, most: int) -> tuple[np.ndarray, set[int]]:
     return np.array(sorted(r["f"] for r in best), np.int64), strong
 
 
-def _best_z(all0: int, all1: int) -> float:
-    """The z of a feature that all flagged texts have and no other; it grows with the sample."""
-    odds = np.log((all1 + 0.5) / (all1 + 1)) - np.log(0.5 / (all0 + 1))
-    return float(odds / np.sqrt(1 / (all1 + 0.5) + 2))
+def _root_ratio(n0: Column, n1: Column, all0: int, all1: int) -> Column:
+    """Root of the likelihood-ratio statistic of a feature in ``n0`` and ``n1`` texts of either kind.
+
+    Unlike odds over their deviation it does not lose a rare feature because it is rare.
+    """
+    total = all0 + all1
+
+    def term(seen: Column, texts: Column, kind: int) -> Column:
+        expected = texts * F.lit(kind / total)
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    have, lack = n0 + n1, F.lit(total) - n0 - n1
+    terms = term(n0, have, all0) + term(n1, have, all1) + term(all0 - n0, lack, all0) + term(all1 - n1, lack, all1)
+    return F.sqrt(F.greatest(F.lit(0.0), 2 * terms))
 
 
 def _encoded(sample: DataFrame, chosen: np.ndarray, strong: set[int]) -> DataFrame:
