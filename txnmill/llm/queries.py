@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnmill.llm.chat import formatted
-from txnmill.llm.common import table
+from txnmill.llm.common import WORD, table
 from txnmill.llm.mixing import mixture
 from txnmill.llm.packing import pack
+from txnmill.llm.periodic_runs import periodic_runs
 from txnmill.llm.sharding import kd_shards
 from txnmill.llm.simhash import simhash_groups
 from txnmill.llm.span_hashes import fingerprints
@@ -87,6 +88,38 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), where one document in ten repeats a block of its words up to its end."""
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    split = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("w"))
+    n = F.size("w")
+    placed = split.withColumns({"n": n, "g": F.expr("h div 10")}).withColumn(
+        "a", F.when(F.col("n") > 0, F.expr("cast(g % n as int)"))
+    )
+    period = placed.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    repeated = "flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int)))"
+    planted = f"array_join(slice(concat(slice(w, 1, a), {repeated}), 1, n), ' ')"
+    return period.select("doc_id", F.expr(f"CASE WHEN a IS NULL THEN text ELSE {planted} END").alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document with planted ones, its most repeated run, and what is left without repeats."""
+    found = periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    more = "best IS NULL OR run.length * best.period > best.length * run.period"
+    best = f"""aggregate(runs, cast(NULL AS struct<start: bigint, length: bigint, period: bigint>),
+        (best, run) -> CASE WHEN {more} THEN run ELSE best END)"""
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return found.select("*", F.expr(best).alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.*",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.expr(lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_source_mix": op2_source_mix,
@@ -98,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_kd_shards": op10_kd_shards,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _TOP_K = """
@@ -135,4 +169,56 @@ SELECT m.conv_id, (place - 1) // 1024 AS part, n_turns, copies,
 FROM m JOIN p ON m.conv_id = p.conv_id GROUP BY ALL
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_top_k": _TOP_K, "op3_chat_format": _CHAT}
+# Windows of five words that recur up to a quarter of a text apart, joined into stretches by lag.
+_RUNS = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda b:
+    list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    CASE WHEN doc_id IS NOT NULL THEN xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+      lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1]))) END AS h
+  FROM documents, crc
+), s AS (
+  SELECT rid, doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM d
+), e AS (
+  SELECT rid, doc_id, n, w, a, 1 + (n - a) // (3 + g % 8) AS p FROM s
+), p AS (
+  SELECT rid, n, unnest(range(n)) AS i, w, a, p FROM e
+), u AS (
+  SELECT rid, n, i, w[CAST(CASE WHEN i >= a THEN a + (i - a) % p ELSE i END AS BIGINT) + 1] AS x FROM p
+), f AS (
+  SELECT *, CASE WHEN i + 5 <= n THEN concat_ws(' ', x, lead(x, 1) OVER v, lead(x, 2) OVER v, lead(x, 3) OVER v, lead(x, 4) OVER v) END AS five
+  FROM u WINDOW v AS (PARTITION BY rid ORDER BY i)
+), m AS (
+  SELECT b.rid, b.i, b.i - c.i AS q
+  FROM f b JOIN f c ON b.rid = c.rid AND b.five = c.five AND b.i > c.i AND 4 * (b.i - c.i) <= b.n
+), k AS (
+  SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM m
+), r AS (
+  SELECT rid, min(i) - q AS start, count(*) + 4 + q AS length, q FROM k
+  GROUP BY rid, q, island HAVING count(*) + 4 + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT rid, start, length, min(q) AS period FROM r GROUP BY rid, start, length
+), covered AS (
+  SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs
+), c AS (
+  SELECT rid, string_agg(x, ' ' ORDER BY i) AS text FROM u ANTI JOIN covered USING (rid, i) GROUP BY rid
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY length * 1.0 / period DESC, start, period) AS place FROM runs
+), l AS (
+  SELECT rid, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY rid
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+       CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(c.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN l USING (rid) LEFT JOIN c USING (rid) LEFT JOIN (FROM best WHERE place = 1) AS b USING (rid)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_top_k": _TOP_K,
+    "op3_chat_format": _CHAT,
+    "op12_periodic_runs": _RUNS,
+}
