@@ -19,6 +19,7 @@ from txnmill.llm.token_counts import token_counts
 from txnmill.llm.token_files import read_token_files, write_token_files
 from txnmill.llm.topk import top_k
 from txnmill.llm.toxicity import score, train
+from txnmill.llm.url_rules import host_tokens, judged, labelled_by_list, mine_rules
 from txnmill.session import shared_dir
 
 
@@ -88,6 +89,25 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# verdict, host, path
+LISTED_RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every address: of the listed rules, else of rules mined from what these decide.
+
+    Listed hosts choose what is labelled, so their own labels are left out of mined rules.
+    """
+    pages = table(spark, sf_dir, "pages")
+    labelled = labelled_by_list(pages, LISTED_RULES)
+    return judged(pages, LISTED_RULES, mine_rules(labelled, left_out=host_tokens(LISTED_RULES)))
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """(doc_id, text), where one document in ten repeats a block of its words up to its end."""
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
@@ -131,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_kd_shards": op10_kd_shards,
+    "op11_url_filter": op11_url_filter,
     "op12_periodic_runs": op12_periodic_runs,
 }
 
