@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txnmill.llm.chat import formatted
 from txnmill.llm.common import WORD, table
+from txnmill.llm.hard_negatives import hard_negatives
 from txnmill.llm.mixing import mixture
 from txnmill.llm.packing import pack
 from txnmill.llm.periodic_runs import periodic_runs
@@ -140,6 +141,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor, a row whose id 100 divides, and each of its five positives."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label")
+    )
+    return hard_negatives(vectors, vec_id % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_source_mix": op2_source_mix,
@@ -153,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_kd_shards": op10_kd_shards,
     "op11_url_filter": op11_url_filter,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _TOP_K = """
@@ -238,8 +249,30 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
 FROM d LEFT JOIN l USING (rid) LEFT JOIN c USING (rid) LEFT JOIN (FROM best WHERE place = 1) AS b USING (rid)
 """
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) for x in embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT p.*, s.vec_id AS negative_id, score AS negative_score, CAST(row_number() OVER (
+    PARTITION BY anchor_id, positive_id ORDER BY score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_top_k": _TOP_K,
     "op3_chat_format": _CHAT,
     "op12_periodic_runs": _RUNS,
+    "op13_hard_negatives": _NEGATIVES,
 }
