@@ -82,14 +82,22 @@ def _pack(kind, rows, labels=None):
 
 def test_coordinates_prune_and_lose_nothing():
     rng = np.random.default_rng(1)
-    anchors, bucket = (_pack(kind, np.floor(256 * rng.normal(size=(n, 8)))) for kind, n in ((Pack, 40), (Bucket, 300)))
+
+    def similar_lengths(n):
+        v = rng.normal(size=(n, 8))
+        return np.floor(256 * v / np.linalg.norm(v, axis=1, keepdims=True) * rng.uniform(0.95, 1, size=(n, 1)))
+
+    anchors, bucket = _pack(Pack, similar_lengths(40)), _pack(Bucket, similar_lengths(300))
     exact = anchors.v @ bucket.v.T
-    for floor, cap in ((np.sort(exact, axis=1)[:, -6], np.full(40, np.inf)), (np.full(40, 0.0), np.full(40, 1.0))):
+    best = np.sort(exact, axis=1)
+    shares = []
+    for floor, cap in ((best[:, -2], np.inf), (best[:, -6], np.inf), (0.0, 1.0), (best[:, 0], best[:, 3])):
+        floor, cap = np.broadcast_to(floor, 40), np.broadcast_to(cap, 40)
         candidates = feasible(anchors, _focus(anchors, 3), bucket, floor, cap)
         wanted = (exact >= floor[:, None]) & (exact <= cap[:, None])
         assert not (wanted & ~candidates).any()
-    few = feasible(anchors, _focus(anchors, 3), bucket, np.sort(exact, axis=1)[:, -2], np.full(40, np.inf))
-    assert few.mean() < 0.35
+        shares.append(candidates.mean())
+    assert shares[0] < shares[1] < 0.6
 
 
 @pytest.mark.parametrize("score", [-7, 0, 1, 3, 10, 99, 2**62, -(2**63)])
