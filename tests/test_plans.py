@@ -80,11 +80,14 @@ def test_one_rule_reads_its_own_columns(spark, schema, records):
     ]
 
 
-def test_known_small_loads_skip_the_search_for_heavy_keys(spark, records):
-    rows = routing.valid(rules.validate(landing.land(records({}), FULL), FULL))
-    assert plan_of(repeats.mark_duplicates(rows, row_count=1)).count("Exchange") == 1
-    searched = plan_of(repeats.mark_duplicates(rows))
+def test_without_heavy_keys_the_plan_is_one_shuffle(spark, records):
+    rows = routing.valid(rules.validate(landing.land(records(*[{}] * 30), FULL), FULL))
+    for known in ({"row_count": 1}, {}):
+        plan = plan_of(repeats.mark_duplicates(rows, **known))
+        assert plan.count("Exchange") == 1 and plan.count("Scan") == 1
+    searched = plan_of(repeats.mark_duplicates(rows, heavy_rows=20))
     assert "LeftAnti" in searched and "LeftSemi" in searched
+    assert not re.search(r"hashpartitioning\(key_hash#\d+L, \d+\)", searched)  # never by the hash alone
 
 
 def test_join_with_stored_keys_and_ranking_share_one_shuffle(spark, records):

@@ -73,10 +73,32 @@ def test_shuffle_by_day_and_slot_gives_the_same_flags(rows, heavy_rows):
     assert flags(marked) == brute_force(rows.collect())
 
 
-def test_heavy_keys_are_bounded_and_found(rows):
+def test_heavy_keys_are_found(rows):
     hashed = skew.with_key_hash(rows, NATURAL_KEY)
-    assert skew.heavy_key_hashes(hashed, 150).count() == 1
-    assert skew.heavy_key_hashes(hashed, 10**6).count() == 0
+    assert len(skew.heavy_key_hashes(hashed, 150)) == 1
+    assert skew.heavy_key_hashes(hashed, 10**6) == []
+    assert skew.heavy_key_hashes(hashed.limit(0), 1) == []
+
+
+def test_sketch_finds_every_key_of_the_stated_share(spark):
+    """A third of the rows, a thousandth and nearly unique ones, many times as many as a sketch tracks."""
+    n = 600_000
+    share = F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 1001 == 1, -2).otherwise(F.col("id"))
+    keys = spark.range(0, n, 1, 40).select(share.alias("key"))
+    found = skew.heavy_key_hashes(skew.with_key_hash(keys, ["key"]).select("key_hash"), n // 2340)
+    by_hand = skew.with_key_hash(spark.createDataFrame([(-1,), (-2,)], "key long"), ["key"])
+    assert found[0] == by_hand.first()["key_hash"]
+    assert set(found) == {r["key_hash"] for r in by_hand.collect()}
+
+
+def test_sketches_alone_are_shuffled(spark):
+    keys = skew.with_key_hash(spark.range(0, 100_000, 1, 10), ["id"]).select("key_hash")
+    merged = skew.key_sketch(keys)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "hashpartitioning(key_hash" not in plan
+    before_shuffle = plan[plan.rindex("Exchange") :]
+    assert "partial_approx_top_k_accumulate" in before_shuffle
+    assert len(bytes(merged.first()["sketch"]["sketch"])) < 400_000
 
 
 def test_separator_in_a_name_does_not_merge_keys(spark, records):

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnmill.operators.skew import HEAVY_ROWS, heavy_key_hashes, join_keys, with_key_hash
+from txnmill.operators.skew import HEAVY_ROWS, few_hashes, heavy_key_hashes, join_keys, with_key_hash
 from txnmill.schema import NATURAL_KEY
 
 HASHED_KEY = ["key_hash", *NATURAL_KEY]
@@ -90,7 +90,7 @@ def mark_duplicates(
 
     ``stored`` holds the bronze rows of former loads. A caller that knows the number of
     rows, or a bound of it, passes it: below ``heavy_rows`` no key can be heavy and the
-    search for heavy keys is left out.
+    search for heavy keys, a job over the key columns, is left out.
 
     ``cluster_by`` names columns that follow from the key; the rows are then shuffled by
     these into ``partitions`` instead of by the whole key, so that one shuffle also lays
@@ -109,7 +109,10 @@ def mark_duplicates(
 
     if row_count is not None and row_count < heavy_rows:
         return flag_usual(hashed)
-    heavy = F.broadcast(heavy_key_hashes(hashed, heavy_rows))
+    hashes = heavy_key_hashes(hashed.select("key_hash"), heavy_rows)
+    if not hashes:
+        return flag_usual(hashed)
+    heavy = few_hashes(rows, hashes)
     usual = flag_usual(hashed.join(heavy, "key_hash", "left_anti"))
     spread = _flag_heavy(hashed.join(heavy, "key_hash", "left_semi"), earlier)
     return usual.unionByName(spread.select(columns))
