@@ -78,11 +78,44 @@ def test_files_of_lines_are_split(spark, records, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-@pytest.mark.parametrize("text", ['{"message": "no"}', "oops", '[{"amount": 1'])
-def test_a_page_that_is_no_array_fails(spark, tmp_path, text):
+NO_PAGES = [
+    '{"message": "no"}', "oops", '[{"amount": 1', "  ", "5", "null", '[{"amount": 1} {"amount": 2}]', '[{"amount": 1}] more',
+    '[{"amount": 1}]\n[{"amount": 2}]', '[{"amount": 1}],[{"amount": 2}]', "[1, 2]", '["a"]', '[[{"amount": 1}]]', '[{"amount": 1}, null]',
+    '[{"amount": 01}]', '[{"amount": 1.2.3}]', '[{"amount": -}]', '[{"amount": 1.}]', '[{"amount": tru}]', '[{"amount": 5 6}]',
+]
+
+
+@pytest.mark.parametrize("text", NO_PAGES)
+def test_a_page_that_is_no_array_of_records_fails(spark, tmp_path, text):
     write(tmp_path / "1.json", text)
-    with pytest.raises(Exception, match="not a JSON array|MALFORMED"):
-        read_json_pages(spark, str(tmp_path)).collect()
+    for read in (lambda rows: rows.collect(), lambda rows: rows.select("status").collect()):
+        with pytest.raises(Exception, match="not a JSON array|MALFORMED"):
+            read(read_json_pages(spark, str(tmp_path)))
+
+
+def test_text_in_pages_is_left_alone(spark, tmp_path):
+    """Names that look like fields, brackets and quotes inside of strings, nested and unknown fields."""
+    records = [
+        {"merchant_name": '"amount": 5, x', "amount": "1.50", "currency": "}],{["},
+        {"merchant_name": 'ends with \\"amount', "status": '\\', "x": {"amount": [1, {"amount": 2}]}},
+        {"account_id": "amount", "amount": None, "status": True, "transaction_id": "a: 7,"},
+    ]
+    page = json.dumps(records)[:-1] + ', {"status" : \n-0.0 , "country_code":1E+5}, {"amount":12345678901234567890.10, "amount_x": 1.50}]'
+    write(tmp_path / "1.json", page)
+    got = [{k: v for k, v in r.asDict().items() if v is not None} for r in read_json_pages(spark, str(tmp_path)).collect()]
+    assert got == [
+        records[0],
+        {"merchant_name": 'ends with \\"amount', "status": '\\'},
+        {"account_id": "amount", "status": "true", "transaction_id": "a: 7,"},
+        {"status": "-0.0", "country_code": "1E+5"},
+        {"amount": "12345678901234567890.10"},
+    ]
+
+
+def test_pages_are_read_once_and_not_by_position(spark, tmp_path):
+    write(tmp_path / "1.json", json.dumps([GOOD] * 3))
+    plan = read_json_pages(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "FileScan text" in plan and "Python" not in plan
 
 
 def test_json_lines(spark, tmp_path):

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnmill.functions.times import parse_iso_lenient
 from txnmill.schema import RECORD_FIELDS, RECORD_SCHEMA
@@ -41,26 +42,39 @@ def by_name(raw: DataFrame) -> DataFrame:
     )
 
 
+# A field that is a number: from_json would write the number anew, as text it keeps its form. Quotes inside of
+# strings are escaped in JSON, so a bare field name between two quotes is a key or a whole value, and only a key
+# has a colon after it.
+_NUMBER = r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|NaN|[+-]?INF|[+-]?Infinity"
+_NUMBER_FIELD = rf'"({"|".join(RECORD_FIELDS)})"(\s*:\s*)({_NUMBER})(?=\s*[,}}])'
+
+
 def read_json_pages(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
     """Downloaded result pages: one JSON array of records per file, or one record per line.
 
-    A page that is no array, or no JSON at all, fails the query rather than landing
-    as rows of nulls. Numbers keep the text they have in the file, in both forms.
+    A page that is not one array of objects fails the query rather than landing as rows of nulls or as
+    a part of what it holds. Numbers keep the text they have in the file, in both forms. Array pages are
+    read once, each as one text in one task.
     """
-    reader = spark.read.schema(RECORD_SCHEMA).option("mode", "FAILFAST")
     if json_lines:
-        return reader.json(path)
-    return reader.option("multiLine", True).json(path).unionByName(_no_other_pages(spark, path))
+        return spark.read.schema(RECORD_SCHEMA).option("mode", "FAILFAST").json(path)
+    return page_records(spark.read.text(path, wholetext=True))
 
 
-def _no_other_pages(spark: SparkSession, path: str) -> DataFrame:
-    """No rows, or an error where a file does not start like an array: the JSON reader would take
-    a single object for a record."""
+def page_records(pages: DataFrame) -> DataFrame:
+    """Records of pages that are given as text in the column ``value``.
+
+    A page is parsed as the only element of an array, so that the parser sees what follows it.
+    """
     page = F.col("value")
-    first = F.substring(F.ltrim(page, F.lit(" \t\r\n")), 1, 1)
-    failed = F.raise_error(F.concat(F.lit("page is not a JSON array: "), F.substring(page, 1, 80)))
-    others = spark.read.text(path, wholetext=True).filter(first != "[")
-    return others.select(*(failed.cast("string").alias(name) for name in RECORD_FIELDS))
+    wrong = F.concat(F.lit("page is not a JSON array: "), F.substring(page, 1, 80))
+    starts_well = F.substring(F.ltrim(page, F.lit(" \t\r\n")), 1, 1) == "["
+    text = F.concat(F.lit("["), F.regexp_replace(page, _NUMBER_FIELD, '"$1"$2"$3"'), F.lit("]"))
+    kind = T.ArrayType(T.ArrayType(RECORD_SCHEMA))
+    parsed = F.from_json(F.when(starts_well, text).otherwise(F.raise_error(wrong)), kind, {"mode": "FAILFAST"})
+    read = pages.select(page, parsed.alias("arrays"))
+    one = (F.size("arrays") == 1) & ~F.exists(F.element_at("arrays", 1), lambda record: record.isNull())
+    return read.select(F.inline(F.when(one, F.element_at("arrays", 1)).otherwise(F.raise_error(wrong))))
 
 
 def since(records: DataFrame, bound: str | None) -> DataFrame:
