@@ -325,6 +325,14 @@ FINALS = {
         (SELECT COUNT(*) FROM part1) AS rows_processed, 1 AS lookback_days FROM mark1""",
     "incremental_two_runs": f"""SELECT 1 AS run, * FROM flagged1
         UNION ALL SELECT 2 AS run, * FROM flagged2""",
+    "incremental_by_ledger": """SELECT 1 AS run, * FROM flagged1
+        UNION ALL SELECT 2 AS run, * FROM flagged2""",
+    "incremental_noop": f"""SELECT 1 AS run, 'landed' AS status, (SELECT count(*) FROM part1) AS read_rows,
+            (SELECT count(*) FROM part1) AS new_rows, strftime(max_ts, '{ISO}') AS last_successful_watermark FROM mark1
+        UNION ALL SELECT 2, 'idle', 0, 0, strftime(max_ts, '{ISO}') FROM mark1
+        UNION ALL SELECT 3, 'landed', (SELECT count(*) FROM ({_since('validated_incremental', 'mark1')}) AS s),
+            (SELECT count(*) FROM new2),
+            strftime(greatest((SELECT max(transaction_ts) FROM valid2), max_ts), '{ISO}') FROM mark1""",
     "incremental_retry": f"""SELECT 1 AS run, * FROM flagged1
         UNION ALL SELECT 2 AS run, * FROM flagged2""",
     "incremental_compacted": "SELECT * FROM flagged1 UNION ALL SELECT * FROM flagged2",

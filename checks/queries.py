@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from checks.records import landed_fields, source_records
 from txnmill.operators import increment, landing, quality, repeats, routing, rules, summary
-from txnmill.plans import incremental
+from txnmill.plans import batches, incremental
 from txnmill.plans.compaction import compact
 from txnmill.plans.full_load import full_load, load_counts
 from txnmill.plans.summary import rebuild_summary
@@ -23,6 +23,7 @@ from txnmill.profiles import FULL, INCREMENTAL, Profile
 from txnmill.schema import BRONZE_COLUMNS, LANDING_FIELDS, QUARANTINE_COLUMNS, STAMP_FIELDS, VALID_COLUMNS
 from txnmill.session import shared_dir, use_utc
 from txnmill.sinks.tables import append_if_not_empty, export_csv
+from txnmill.sources.ledger import read_new_files
 from txnmill.sources.records import (
     PAGES_LABEL,
     Source,
@@ -546,6 +547,41 @@ def incremental_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.select(_run_number().alias("run"), *_without_stamps(BRONZE_COLUMNS))
 
 
+@query
+def incremental_by_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both runs over a folder that grows, with files by date; the second opens those it has to."""
+    schema, folder = _workspace(spark)
+    tables = Tables.in_schema(schema)
+    records = source_records(spark, sf_dir)
+    for batch_id, condition in (("run1", _is_first_part()), ("run2", ~_is_first_part())):
+        part = records.filter(condition).repartitionByRange(LEDGER_FILES, "transaction_date")
+        part.select(_as_json(part)).write.mode("append").text(f"{folder}/lines")
+        incremental.incremental_load(
+            spark,
+            lambda bound: read_new_files(
+                spark, tables.files, f"{folder}/lines", bound, pages=True, json_lines=True
+            ),
+            tables,
+            batch_id=batch_id,
+            loaded_at=LOADED_AT,
+        )
+    bronze = spark.table(tables.bronze)
+    return bronze.select(_run_number().alias("run"), *_without_stamps(BRONZE_COLUMNS))
+
+
+LEDGER_FILES = 12
+
+
+@query
+def incremental_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the control table says of a first run, one without any row, and a normal one."""
+    tables, records = _first_run(spark, sf_dir)
+    _run(spark, tables, records.limit(0), "run2")
+    _run(spark, tables, records, "run3")
+    ended = batches.events(spark, tables).filter(F.col("status") != batches.OPEN)
+    return ended.select(_run_number().alias("run"), "status", "read_rows", "new_rows", "last_successful_watermark")
+
+
 @query
 def incremental_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both runs once more under their ids, with other input: nothing may change."""

@@ -8,7 +8,9 @@
 """
 
 import argparse
+from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from txnmill.operators import quality, routing
@@ -18,6 +20,7 @@ from txnmill.plans.incremental import LOOKBACK_DAYS, incremental_load
 from txnmill.plans.summary import rebuild_summary
 from txnmill.plans.tables import Tables
 from txnmill.session import use_utc
+from txnmill.sources.ledger import read_new_files
 from txnmill.sources.records import CSV_LABEL, PAGES_LABEL, Source, read_source
 from txnmill.streaming.ingest import read_csv_stream, read_json_lines_stream, start_ingest
 
@@ -33,6 +36,17 @@ def _source(spark: SparkSession, args: argparse.Namespace, bound: str | None = N
     )
 
 
+def _new_files(spark: SparkSession, args: argparse.Namespace, ledger: str, bound: str | None) -> Source:
+    """What the ledger says has to be opened, of the pages if they are there, else of the CSV files."""
+    read = partial(read_new_files, spark, ledger, bound=bound, multi_line=not args.csv_lines, json_lines=args.json_lines)
+    if args.pages:
+        try:
+            return read(args.pages, pages=True)
+        except AnalysisException:
+            pass
+    return read(args.csv)
+
+
 def _full(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = Tables.in_schema(args.schema)
     source = _source(spark, args)
@@ -47,7 +61,7 @@ def _incremental(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = Tables.in_schema(args.schema, "_incremental")
     result = incremental_load(
         spark,
-        lambda bound: _source(spark, args, bound),
+        lambda bound: _new_files(spark, args, tables.files, bound) if args.ledger else _source(spark, args, bound),
         tables,
         lookback_days=args.lookback_days,
         batch_id=args.batch_id,
@@ -102,6 +116,7 @@ def main() -> None:
         if name == "incremental":
             job.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
             job.add_argument("--batch-id", help="of a run to repeat")
+            job.add_argument("--ledger", action="store_true", help="open only files that are new or reach past the bound")
             job.add_argument("--owner", help="name of this job; its next run clears what a dead one left")
     job = jobs.add_parser("compact")
     job.set_defaults(run=_compact)

@@ -1,5 +1,7 @@
 """Landing: the ten source fields as text, stamped with source and load time."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +19,12 @@ def _cleaned(name: str) -> Column:
     return F.upper(strip(value)) if name == "transaction_id" else strip(value)
 
 
-def land(records: DataFrame, profile: Profile) -> DataFrame:
-    """Pick the ten fields as text; the incremental profile also cleans them."""
+def land(records: DataFrame, profile: Profile, keep: Sequence[str] = ()) -> DataFrame:
+    """Pick the ten fields as text; the incremental profile also cleans them. ``keep`` names other columns
+    to pass on."""
     take = _cleaned if profile.cleans_text else (lambda name: F.col(name).cast("string"))
-    return records.select(
-        [take(field).alias(landed) for field, landed in zip(RECORD_FIELDS, LANDING_FIELDS)]
-    )
+    fields = [take(field).alias(landed) for field, landed in zip(RECORD_FIELDS, LANDING_FIELDS)]
+    return records.select(*fields, *keep)
 
 
 def stamp(landed: DataFrame, source_system: str, loaded_at: str) -> DataFrame:

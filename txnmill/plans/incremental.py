@@ -30,7 +30,7 @@ from txnmill.schema import (
 )
 from txnmill.session import use_utc
 from txnmill.sinks.tables import add_batch, create_batch_table
-from txnmill.sources.records import Source
+from txnmill.sources.records import SOURCE_FILE, Source
 
 LOOKBACK_DAYS = 1
 
@@ -135,15 +135,37 @@ def run_batch(
         state = _state(result, lookback_days)
         if found["n"] == 0:
             if state.get("last_successful_watermark"):
-                number = control.last_number + 1
-                batches.add_event(spark, tables, number, batch_id, batches.IDLE, owner, bound=bound, **state)
+                number = _folded_between(spark, tables, control, batch_id, owner, source)
+                batches.add_event(spark, tables, number + 1, batch_id, batches.IDLE, owner, bound=bound, **state)
+                if source.ledger:
+                    source.ledger.enter(incoming, number + 1)
             return result
         number = batches.open_batch(spark, tables, control, batch_id, owner, bound)
+        _fold_logs(spark, tables, number, source)
         _store(spark, tables, batch_id, fresh, found["valid"], control.landed_batches, heavy_rows, broadcast_bytes)
         batches.add_event(spark, tables, number + 1, batch_id, batches.LANDED, owner, bound=bound, **state)
+        if source.ledger:
+            source.ledger.enter(incoming, number + 1)
     return result
 
 
+def _fold_logs(spark: SparkSession, tables: Tables, number: int, source: Source) -> None:
+    batches.fold_if_long(spark, tables, number)
+    if source.ledger:
+        source.ledger.fold_if_long(spark, number)
+
+
+def _folded_between(spark: SparkSession, tables: Tables, control, batch_id: str, owner: str, source: Source) -> int:
+    """Fold a long control table although there is nothing to store, so that idle runs do not make it long.
+    Returns the last number in use."""
+    if control.last_number + 1 - control.epoch < batches.TAIL_EVENTS:
+        return control.last_number
+    number = batches.open_batch(spark, tables, control, batch_id, owner, None)
+    _fold_logs(spark, tables, number, source)
+    batches.add_event(spark, tables, number + 1, batch_id, batches.DROPPED, owner)
+    return number + 1
+
+
 def _state(result: BatchResult, lookback_days: int | None) -> dict:
     state = {
         "read_rows": result.read_rows,
@@ -161,8 +183,9 @@ def _state(result: BatchResult, lookback_days: int | None) -> dict:
 
 
 def _staged_incoming(stage, source: Source, loaded_at: str) -> tuple[DataFrame, dict]:
-    landed = landing.stamp(landing.land(source.records, INCREMENTAL), source.label, loaded_at)
-    columns = list(dict.fromkeys(VALID_COLUMNS + QUARANTINE_COLUMNS + ["is_valid"]))
+    more = [SOURCE_FILE] if source.ledger else []
+    landed = landing.stamp(landing.land(source.records, INCREMENTAL, more), source.label, loaded_at)
+    columns = list(dict.fromkeys(VALID_COLUMNS + QUARANTINE_COLUMNS + ["is_valid"] + more))
     return _measured(stage, rules.validate(landed, INCREMENTAL).select(columns), "incoming")
 
 

@@ -16,6 +16,7 @@ class Tables:
     quarantine: str
     bronze: str
     control: str
+    files: str  # ledger of source files
 
     @classmethod
     def in_schema(cls, schema: str, suffix: str = "") -> "Tables":
@@ -26,6 +27,7 @@ class Tables:
             quarantine=f"{schema}.quarantine_transactions{suffix}",
             bronze=f"{schema}.bronze_transactions{suffix}",
             control=f"{schema}.load_batches{suffix}",
+            files=f"{schema}.source_files{suffix}",
         )
 
     def batch_tables(self) -> dict[str, list[str]]:

@@ -107,3 +107,17 @@ WATERMARK_SCHEMA = T.StructType(
         )
     ]
 )
+
+# Entries of the ledger of source files, see sources/ledger.py.
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("number", T.LongType(), True),
+        T.StructField("source_file", T.StringType(), True),
+        T.StructField("size", T.LongType(), True),
+        T.StructField("modified", T.LongType(), True),
+        T.StructField("read_from", T.StringType(), True),
+        T.StructField("rows", T.LongType(), True),
+        T.StructField("least", T.TimestampType(), True),
+        T.StructField("greatest", T.TimestampType(), True),
+    ]
+)

@@ -54,11 +54,6 @@ def create_batch_table(
     )
 
 
-def create_plain_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
-    columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
-
-
 @contextmanager
 def _static_overwrite(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(OVERWRITE_MODE)

@@ -7,39 +7,52 @@ file, so read parallelism is one task per file: keep files moderate, and pass
 """
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnmill.functions.times import parse_iso_lenient
 from txnmill.schema import RECORD_FIELDS, RECORD_SCHEMA
 
+if TYPE_CHECKING:
+    from txnmill.sources.ledger import Ledger
+
 # With enforceSchema off, a file whose header differs from the others fails the query
 # instead of landing its values in the wrong fields.
 CSV_OPTIONS = {"header": True, "encoding": "UTF-8", "escape": '"', "enforceSchema": False}
 
+# Column with the file of a record, where it is wanted.
+SOURCE_FILE = "source_file"
+
 CSV_LABEL = "csv_files"
 PAGES_LABEL = "json_pages"
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | list[str], multi_line: bool = True, with_file: bool = False
+) -> DataFrame:
     """CSV with a header row. Fields are found by their header name, wherever they
     stand; other columns are dropped and absent ones are null."""
-    return by_name(spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path))
+    return by_name(spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path), with_file)
 
 
-def by_name(raw: DataFrame) -> DataFrame:
+def by_name(raw: DataFrame, with_file: bool = False) -> DataFrame:
     """The ten fields of a frame that may have them anywhere, lack some or have others."""
     position = {name: i for i, name in enumerate(raw.columns)}
-    by_position = raw.toDF(*[f"c{i}" for i in range(len(raw.columns))])
-    return by_position.select(
-        [
-            (F.col(f"c{position[name]}") if name in position else F.lit(None).cast("string")).alias(name)
-            for name in RECORD_FIELDS
-        ]
-    )
+    last = len(raw.columns)
+    by_position = raw.select("*", *_file(with_file)).toDF(*[f"c{i}" for i in range(last + with_file)])
+    fields = [
+        (F.col(f"c{position[name]}") if name in position else F.lit(None).cast("string")).alias(name)
+        for name in RECORD_FIELDS
+    ]
+    return by_position.select(*fields, *([F.col(f"c{last}").alias(SOURCE_FILE)] if with_file else []))
+
+
+def _file(wanted: bool) -> list[Column]:
+    return [F.col("_metadata.file_path").alias(SOURCE_FILE)] if wanted else []
 
 
 # A field that is a number: from_json would write the number anew, as text it keeps its form. Quotes inside of
@@ -49,7 +62,9 @@ _NUMBER = r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|NaN|[+-]?INF|[+
 _NUMBER_FIELD = rf'"({"|".join(RECORD_FIELDS)})"(\s*:\s*)({_NUMBER})(?=\s*[,}}])'
 
 
-def read_json_pages(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
+def read_json_pages(
+    spark: SparkSession, path: str | list[str], json_lines: bool = False, with_file: bool = False
+) -> DataFrame:
     """Downloaded result pages: one JSON array of records per file, or one record per line.
 
     A page that is not one array of objects fails the query rather than landing as rows of nulls or as
@@ -57,12 +72,13 @@ def read_json_pages(spark: SparkSession, path: str, json_lines: bool = False) ->
     read once, each as one text in one task.
     """
     if json_lines:
-        return spark.read.schema(RECORD_SCHEMA).option("mode", "FAILFAST").json(path)
-    return page_records(spark.read.text(path, wholetext=True))
+        lines = spark.read.schema(RECORD_SCHEMA).option("mode", "FAILFAST").json(path)
+        return lines.select("*", *_file(with_file))
+    return page_records(spark.read.text(path, wholetext=True).select("value", *_file(with_file)))
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """Records of pages that are given as text in the column ``value``.
+    """Records of pages that are given as text in the column ``value``, with the other columns there are.
 
     A page is parsed as the only element of an array, so that the parser sees what follows it.
     """
@@ -72,9 +88,11 @@ def page_records(pages: DataFrame) -> DataFrame:
     text = F.concat(F.lit("["), F.regexp_replace(page, _NUMBER_FIELD, '"$1"$2"$3"'), F.lit("]"))
     kind = T.ArrayType(T.ArrayType(RECORD_SCHEMA))
     parsed = F.from_json(F.when(starts_well, text).otherwise(F.raise_error(wrong)), kind, {"mode": "FAILFAST"})
-    read = pages.select(page, parsed.alias("arrays"))
+    others = [name for name in pages.columns if name != "value"]
+    read = pages.select("*", parsed.alias("arrays"))
     one = (F.size("arrays") == 1) & ~F.exists(F.element_at("arrays", 1), lambda record: record.isNull())
-    return read.select(F.inline(F.when(one, F.element_at("arrays", 1)).otherwise(F.raise_error(wrong))))
+    records = F.inline(F.when(one, F.element_at("arrays", 1)).otherwise(F.raise_error(wrong)))
+    return read.select(records, *others)
 
 
 def since(records: DataFrame, bound: str | None) -> DataFrame:
@@ -95,6 +113,7 @@ class Source:
     records: DataFrame
     label: str
     seen: Observation | None = None
+    ledger: "Ledger | None" = None  # of the files that were opened, see sources/ledger.py
 
 
 def bounded(records: DataFrame, label: str, bound: str | None) -> Source:
