@@ -32,6 +32,7 @@ def test_elias_fano_round_trip(values):
     code = elias_fano.Sequence(elias_fano.encode(np.array(values, np.int64)))
     assert code.all().tolist() == values
     assert [code[i] for i in range(len(code))] == values
+    assert code.select(np.arange(len(values))).tolist() == values
 
 
 def test_elias_fano_is_small():
@@ -39,10 +40,27 @@ def test_elias_fano_is_small():
     assert 8 * len(elias_fano.encode(ends)) < 13 * len(ends)
 
 
+@pytest.mark.parametrize("steps", [[0], [1], [10**9], [0, 0, 0, 10**6], [2**40, 0, 3], [1] * 50 + [10**5]])
+def test_select_equals_all(steps):
+    """Long gaps, many equal numbers, wide low bits; in any order and repeated."""
+    rng = np.random.default_rng(len(steps))
+    values = np.cumsum(rng.choice(steps, 3000))
+    code = elias_fano.Sequence(elias_fano.encode(values))
+    numbers = rng.integers(0, len(values), 5000)
+    assert (code.all() == values).all()
+    assert (code.select(numbers) == values[numbers]).all()
+    assert code.select(np.empty(0, int)).tolist() == []
+    for outside in (-1, len(values)):
+        with pytest.raises(IndexError):
+            code.select(np.array([outside]))
+
+
 def test_segments_round_trip():
     documents = [np.arange(n, dtype=np.uint32) for n in (1, 0, 5, 1000)]
     for width in (2, 4):
-        segment = Segment(segment_bytes(documents, width))
+        segment = Segment(segment_bytes(np.concatenate(documents), np.array([len(d) for d in documents]), width))
+        starts, ends = segment.bounds(1, 4)
+        assert (starts.tolist(), ends.tolist()) == ([1, 1, 6], [1, 6, 1006])
         assert [segment.document(i).tolist() for i in range(len(segment))] == [d.tolist() for d in documents]
     with pytest.raises(ValueError):
         Segment(b"NONE" + bytes(20))

@@ -70,6 +70,40 @@ class Sequence:
         place = word * 64 + (bits & -bits).bit_length() - 1
         return (place - i << self.low_bits) | self._low(i)
 
+    def select(self, numbers: np.ndarray) -> np.ndarray:
+        """The numbers at these places. Each search starts at its sample; those that are not done
+        after a word go on to the next together."""
+        numbers = np.asarray(numbers, np.int64)
+        if not len(numbers):
+            return np.empty(0, np.int64)
+        if numbers.min() < 0 or numbers.max() >= self.n:
+            raise IndexError(numbers)
+        place = self.samples[numbers // SAMPLE].astype(np.int64)
+        word, left = place // 64, numbers % SAMPLE
+        skip = (place % 64).astype(np.uint64)
+        bits = self.high[word] >> skip << skip
+        going = np.arange(len(numbers))
+        while len(going):
+            count = np.bitwise_count(bits[going]).astype(np.int64)
+            going, count = going[count <= left[going]], count[count <= left[going]]
+            left[going] -= count
+            word[going] += 1
+            bits[going] = self.high[word[going]]
+        return (word * 64 + _bit_of(bits, left) - numbers << self.low_bits) | self._lows(numbers)
+
+    def _lows(self, numbers: np.ndarray) -> np.ndarray:
+        """Low bits of the numbers at these places, each from the nine bytes that may hold them."""
+        first = numbers * self.low_bits
+        padded = np.concatenate([self.low, np.zeros(9, np.uint8)])
+        low = np.zeros(len(numbers), np.uint64)
+        shift = (first % 8).astype(np.uint64)
+        for k in range(8):
+            low |= padded[first // 8 + k].astype(np.uint64) << np.uint64(8 * k)
+        low >>= shift
+        ninth = padded[first // 8 + 8].astype(np.uint64)
+        low |= np.where(shift > 0, ninth << (np.uint64(64) - np.maximum(shift, np.uint64(1))), np.uint64(0))
+        return (low & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
+
     def _low(self, i: int) -> int:
         if not self.low_bits:
             return 0
@@ -85,3 +119,16 @@ class Sequence:
         bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits]
         low = bits.reshape(self.n, self.low_bits).astype(np.int64) << np.arange(self.low_bits)
         return (top << self.low_bits) + low.sum(axis=1)
+
+
+def _bit_of(bits: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Place of the set bit in each word that has ``left`` set bits below it, by halving."""
+    bits, left = bits.copy(), left.copy()
+    place = np.zeros(len(bits), np.int64)
+    for half in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count(bits & np.uint64((1 << half) - 1)).astype(np.int64)
+        above = left >= below
+        left[above] -= below[above]
+        bits[above] >>= np.uint64(half)
+        place[above] += half
+    return place

@@ -13,8 +13,10 @@ before the segment in its part. The ids before a part are summed from the parts'
 
 Texts are encoded by the tokenizers library. For byte-level models a space with the letters behind
 it is always split off before merging, whatever stands around it. So texts are cut around these
-words, the library merges each distinct word once for a while, and encodes what lies between in the
-same way. Other models get whole texts.
+words, and each distinct word, as well as what lies between, is encoded by the library once for a while. Other models get whole texts. The ids of some texts are put together at once, each with its
+end id behind it.
+
+Readers find documents by select on the code of the ends, some thousand at a time.
 
 Defined cases: null and empty texts have the end id alone. A null id comes first; rows with equal
 ids follow in order of the text's hash. An empty table gives empty files. Other columns are ignored.
@@ -26,6 +28,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +44,30 @@ from txnmill.llm.common import shuffle_partitions, workers_see_package
 SEGMENT_IDS = 1_000_000
 RUNS_AT_ONCE = 300_000
 CACHED_RUNS = 500_000
+WORDS_AT_ONCE = 4096
+BOUNDS_AT_ONCE = 4096
 _HEAD = struct.Struct("<4sB3xQ")
 SEGMENT_SCHEMA = "part int, seq int, part_start long, n_ids long, doc_ids array<long>, payload binary"
 # Words of letters that are letters in every version of Unicode, not followed by more of a word.
 _WORDS = re.compile("( [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)(?!\\w)")
 
 
+_END = None  # stands for the end id among runs, which are texts
+
+
+class _Numbers(dict):
+    """Numbers of runs in order of their first use, and which of them came up since ``fresh`` was emptied."""
+
+    def __init__(self, known=()):
+        super().__init__(known)
+        self.fresh: list[str | None] = []
+
+    def __missing__(self, run: str | None) -> int:
+        number = self[run] = len(self)
+        self.fresh.append(run)
+        return number
+
+
 class Encoder:
     """Ids of whole texts, equal to the library's ``encode(text, add_special_tokens=False)``."""
 
@@ -58,13 +79,12 @@ class Encoder:
             spec = json.load(f)
         self.by_runs = self._cuts_at_space(spec)
         self.most = max(self.library.get_vocab(with_added_tokens=True).values(), default=0)
-        self.model = self.library.model
-        self.to_bytes = _byte_letters()
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.flat = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int64)
         self.uses = np.empty(0, np.int64)
+        self.end_id: int | None = None
 
     @staticmethod
     def _cuts_at_space(spec: dict) -> bool:
@@ -83,84 +103,104 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text in turn."""
+        for ids, sizes in self.blocks(texts, None):
+            yield from np.split(ids, np.cumsum(sizes)[:-1])
+
+    def blocks(self, texts: list[str], end_id: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of some texts in a row, each with ``end_id`` behind it if there is one, and how many each has."""
+        ends = [] if end_id is None else [end_id]
         if not self.by_runs:
             for text in texts:
-                yield np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+                ids = [*self.library.encode(text, add_special_tokens=False).ids, *ends]
+                yield np.array(ids, np.uint32), np.array([len(ids)])
             return
-        runs: list[str] = []
+        if ends and self.end_id != end_id:
+            self._forget_all(end_id)
+        runs: list[str | None] = []
         counts: list[int] = []
         for text in texts:
             n = len(runs)
             runs += filter(None, _WORDS.split(text))
+            if ends:
+                runs.append(_END)
             counts.append(len(runs) - n)
             if len(runs) >= RUNS_AT_ONCE:
-                yield from self._flush(runs, counts)
+                yield self._block(runs, counts)
                 runs, counts = [], []
-        yield from self._flush(runs, counts)
+        if counts:
+            yield self._block(runs, counts)
 
-    def _flush(self, runs: list[str], counts: list[int]) -> Iterator[np.ndarray]:
+    def _block(self, runs: list[str | None], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = self._ids(runs)
         run_ends = np.concatenate([[0], np.cumsum(sizes)])
-        ends = run_ends[np.cumsum([0, *counts])].tolist()
-        for a, b in zip(ends, ends[1:], strict=False):
-            yield ids[a:b]
+        return ids, np.diff(run_ends[np.cumsum([0, *counts])])
 
-    def _ids(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _ids(self, runs: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the runs in a row, and the number of each run's."""
-        fresh = list(set(runs) - self.known.keys())
-        if len(self.known) + len(fresh) > CACHED_RUNS:
+        if len(self.known) > CACHED_RUNS:
             self._forget()
-            fresh = list(set(runs) - self.known.keys())
-        self._learn(fresh)
         which = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        if self.known.fresh:
+            self._learn(self.known.fresh)
+            self.known.fresh = []
         self.uses += np.bincount(which, minlength=len(self.uses))
         sizes = self.lengths[which]
         before = np.cumsum(sizes) - sizes
         at = np.arange(int(sizes.sum())) + np.repeat(self.starts[which] - before, sizes)
         return self.flat[at], sizes
 
+    def _forget_all(self, end_id: int) -> None:
+        """Start anew with another end id."""
+        self.end_id, self.known = end_id, _Numbers()
+        self.flat = np.empty(0, np.uint32)
+        self.starts, self.lengths, self.uses = (np.empty(0, np.int64) for _ in range(3))
+
     def _forget(self) -> None:
         """Drop the least used runs, at least half of them."""
         limit = max(1, int(np.median(self.uses))) if len(self.uses) else 0
         keep = np.flatnonzero(self.uses > limit)
         place = np.full(len(self.uses), -1)
         place[keep] = np.arange(len(keep))
-        self.known = {run: int(place[i]) for run, i in self.known.items() if place[i] >= 0}
+        self.known = _Numbers((run, int(place[i])) for run, i in self.known.items() if place[i] >= 0)
         sizes = self.lengths[keep]
         before = np.cumsum(sizes) - sizes
         at = np.arange(int(sizes.sum())) + np.repeat(self.starts[keep] - before, sizes)
         self.flat, self.starts, self.lengths = self.flat[at], before, sizes
         self.uses = self.uses[keep] // 2
 
-    def _learn(self, fresh: list[str]) -> None:
-        found = []
-        merge, letters = self.model.tokenize, self.to_bytes
-        rest = []
-        for run in fresh:
-            if run[0] == " " and _WORDS.fullmatch(run):
-                found.append([t.id for t in merge(run.encode().decode("latin-1").translate(letters))])
-            else:
-                rest.append(len(found))
-                found.append(run)
-        coded = self.library.encode_batch_fast([found[i] for i in rest], add_special_tokens=False)
-        for i, one in zip(rest, coded, strict=True):
-            found[i] = one.ids
-        lengths = np.array([len(f) for f in found], np.int64)
-        flat = np.array([i for f in found for i in f], np.uint32)
-        n = len(self.lengths)
-        self.known.update(zip(fresh, range(n, n + len(fresh)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+    def _learn(self, fresh: list[str | None]) -> None:
+        """Ids of runs that have the next numbers."""
+        is_word = [run is not _END and run[0] == " " and _WORDS.fullmatch(run) is not None for run in fresh]
+        words = [run for run, yes in zip(fresh, is_word, strict=True) if yes]
+        others = [run for run, yes in zip(fresh, is_word, strict=True) if not yes and run is not _END]
+        coded = self.library.encode_batch_fast(others, add_special_tokens=False)
+        parts = [*self._words(words), *((one.ids, [len(one.ids)]) for one in coded)]
+        if _END in fresh:
+            parts.append(([self.end_id], [1]))
+        flat = np.array(list(chain.from_iterable(ids for ids, _ in parts)), np.uint32)
+        lengths = np.array(list(chain.from_iterable(sizes for _, sizes in parts)), np.int64)
+        # the words came first, then the others, then the end
+        kind = np.array([2 if run is _END else 0 if yes else 1 for run, yes in zip(fresh, is_word, strict=True)])
+        order = np.argsort(kind, kind="stable")
+        starts = np.empty(len(fresh), np.int64)
+        starts[order] = len(self.flat) + np.cumsum(lengths) - lengths
+        sizes = np.empty(len(fresh), np.int64)
+        sizes[order] = lengths
         self.flat = np.concatenate([self.flat, flat])
-        self.lengths = np.concatenate([self.lengths, lengths])
+        self.starts = np.concatenate([self.starts, starts])
+        self.lengths = np.concatenate([self.lengths, sizes])
         self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
 
-
-def _byte_letters() -> dict[int, str]:
-    """The character that byte-level models have for each byte: printable ones stand for
-    themselves, the others follow from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+    def _words(self, words: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        """Ids of words and how many each has. They are encoded as a text of many words, which the
+        library cuts before every space."""
+        for i in range(0, len(words), WORDS_AT_ONCE):
+            some = words[i : i + WORDS_AT_ONCE]
+            one = self.library.encode("".join(some), add_special_tokens=False)
+            sizes = np.bincount(np.array(one.word_ids, np.int64), minlength=len(some))
+            if len(sizes) != len(some) or not sizes.all():
+                raise ValueError("the tokenizer does not cut before every space")
+            yield one.ids, sizes.tolist()
 
 
 @lru_cache(maxsize=4)
@@ -172,10 +212,10 @@ def encoder(tokenizer_file: str) -> Encoder:
 # Segments
 
 
-def segment_bytes(documents: list[np.ndarray], width: int) -> bytes:
-    ids = np.concatenate([*documents, np.empty(0, np.uint32)]).astype(f"<u{width}")
-    ends = np.cumsum([len(d) for d in documents])
-    return _HEAD.pack(b"TEF1", width, len(ids)) + ids.tobytes() + elias_fano.encode(ends)
+def segment_bytes(ids: np.ndarray, sizes: np.ndarray, width: int) -> bytes:
+    """A segment of documents of these sizes, whose ids lie in a row."""
+    ids = np.asarray(ids, f"<u{width}")
+    return _HEAD.pack(b"TEF1", width, len(ids)) + ids.tobytes() + elias_fano.encode(np.cumsum(sizes))
 
 
 class Segment:
@@ -197,6 +237,11 @@ class Segment:
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.start(i) : self.start(i + 1)]
 
+    def bounds(self, first: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the documents ``first`` to ``end - 1`` start and end, by select."""
+        ends = self.ends.select(np.arange(first, end))
+        return np.concatenate([[self.start(first)], ends[:-1]])[: end - first], ends
+
 
 def write_token_files(
     docs: DataFrame,
@@ -222,43 +267,44 @@ def write_token_files(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer_file)
         width = 2 if max(code.most, end_id) < 2**16 else 4
-        end = np.array([end_id], np.uint32)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        held: list[np.ndarray] = []
-        names: list[int | None] = []
+        held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
         size = 0
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+        fields = [f.split()[0] for f in SEGMENT_SCHEMA.split(", ")]
 
         def segment() -> pa.RecordBatch:
-            values = [[part], [seq], [before], [size], [names], [segment_bytes(held, width)]]
+            ids, sizes = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            names = [name for h in held for name in h[2].to_pylist()]
+            values = [[part], [seq], [before], [size], [names], [segment_bytes(ids, sizes, width)]]
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=fields
             )
 
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-        fields = [f.split()[0] for f in SEGMENT_SCHEMA.split(", ")]
         for batch in batches:
-            for name, ids in zip(
-                batch.column(0).to_pylist(), code.encode(batch.column(1).to_pylist()), strict=True
-            ):
-                held += [ids, end]
-                names.append(name)
-                size += len(ids) + 1
-                if size >= segment_ids:
-                    held = _with_ends(held)
-                    yield segment()
-                    before, seq, held, names, size = before + size, seq + 1, [], [], 0
-        if names:
-            held = _with_ends(held)
+            done = 0
+            for ids, sizes in code.blocks(batch.column(1).to_pylist(), end_id):
+                names = batch.column(0).slice(done, len(sizes))
+                done += len(sizes)
+                ends = np.cumsum(sizes)
+                first = 0
+                while first < len(sizes):
+                    passed = int(ends[first - 1]) if first else 0
+                    # up to the document that fills the segment
+                    last = min(int(np.searchsorted(ends, passed + segment_ids - size)) + 1, len(sizes))
+                    until = int(ends[last - 1])
+                    held.append((ids[passed:until], sizes[first:last], names.slice(first, last - first)))
+                    size += until - passed
+                    first = last
+                    if size >= segment_ids:
+                        yield segment()
+                        before, seq, held, size = before + size, seq + 1, [], 0
+        if held:
             yield segment()
 
     ranged.mapInArrow(run, SEGMENT_SCHEMA).write.parquet(path)
 
 
-def _with_ends(held: list[np.ndarray]) -> list[np.ndarray]:
-    """Pairs of ids and end id joined to documents."""
-    return [np.concatenate(held[i : i + 2]) for i in range(0, len(held), 2)]
-
-
 def read_token_files(docs_path: str, spark) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, read from the segments.
 
@@ -278,19 +324,20 @@ def read_token_files(docs_path: str, spark) -> DataFrame:
         for batch in batches:
             for base, names, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 segment = Segment(payload)
-                ends = segment.ends.all()
-                starts = np.concatenate([[0], ends[:-1]])
-                wide = segment.ids.astype("<u4")
-                crc = [zlib.crc32(wide[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(names, pa.int64()),
-                        pa.array(starts + base),
-                        pa.array(ends - starts),
-                        pa.array(crc, pa.int64()),
-                    ],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+                for first in range(0, len(segment), BOUNDS_AT_ONCE):
+                    starts, ends = segment.bounds(first, min(first + BOUNDS_AT_ONCE, len(segment)))
+                    offset = int(starts[0])
+                    wide = memoryview(segment.ids[offset : int(ends[-1])].astype("<u4")).cast("B")
+                    places = zip(((starts - offset) * 4).tolist(), ((ends - offset) * 4).tolist(), strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(names[first : first + len(ends)], pa.int64()),
+                            pa.array(starts + base),
+                            pa.array(ends - starts),
+                            pa.array([zlib.crc32(wide[a:b]) for a, b in places], pa.int64()),
+                        ],
+                        names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                    )
 
     return based.select(
         (F.col("base") + F.col("part_start")).alias("base"), "doc_ids", "payload"
