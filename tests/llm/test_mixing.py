@@ -5,7 +5,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from txnmill.llm.mixing import mixed_documents, mixture, sainte_lague
+from txnmill.llm.mixing import BLOCK_WORDS, mixed_documents, mixture, sainte_lague
 
 
 def plain_sainte_lague(votes, seats):
@@ -50,11 +50,12 @@ def sample_rows(rng, sources, n):
     return [(i, " ".join("w" * rng.randint(1, 3) for _ in range(rng.randint(0, 60))), rng.choice(sources)) for i in range(n)]
 
 
+@pytest.mark.parametrize("block_words", [1, BLOCK_WORDS])
 @pytest.mark.parametrize("shard_words", [10**6, 300])
-def test_mix_meets_targets(documents, shard_words):
+def test_mix_meets_targets(documents, shard_words, block_words):
     rng = random.Random(2)
     rows = sample_rows(rng, ["a"] * 30 + ["B", "ä", None, "c", "c", "日"], 500)
-    mix = mixture(documents(*rows), shard_words=shard_words).collect()
+    mix = mixture(documents(*rows), shard_words=shard_words, block_words=block_words).collect()
     source = {i: s for i, _, s in rows}
     sizes = Counter()
     for i, text, s in rows:
@@ -69,7 +70,15 @@ def test_mix_meets_targets(documents, shard_words):
         assert r.taken == r.passes * r["size"] + sum(x["to"] - x["from"] for x in r.spans or [])
         taken[s] += r.taken
     for s in sizes:
-        assert abs(taken[s] - want[s]) <= 2 + 1e-6 * want[s]
+        assert abs(taken[s] - want[s]) <= 2 * block_words + 1e-6 * want[s]
+
+
+def test_every_block_but_those_cut_by_a_document_is_whole(documents):
+    """The unit that is dealt does not follow the size of the corpus."""
+    rows = [(i, " ".join(["w"] * 64), "ab"[i % 2]) for i in range(40)]
+    for n in (10, 40):
+        for r in mixture(documents(*rows[:n])).collect():
+            assert all((x["to"] - x["from"]) % BLOCK_WORDS == 0 for x in r.spans or [])
 
 
 def test_reruns_agree(documents):
@@ -99,7 +108,7 @@ def test_odd_rows(odd, none):
     assert len(mix) == odd.count()
     assert {r.taken for r in mix if r["size"] == 0} == {0}
     total = sum(r["size"] for r in mix)
-    assert abs(sum(r.taken for r in mix) - total) <= 2
+    assert total - BLOCK_WORDS < sum(r.taken for r in mix) <= total
     out = mixed_documents(odd)
     assert sum(len(r.text.split()) for r in out.collect()) == sum(r.taken for r in mix)
     assert mixture(none).count() == 0 and mixed_documents(none).count() == 0

@@ -3,12 +3,12 @@
 Targets share all words by weight and stop at a multiple of what a source has; the excess goes
 to the others by weight. The words are dealt in equal blocks: to sources by the highest quotients
 ``target / (2 k - 1)``, then each source's blocks to its shards in the same way. A source gets
-as many shards as its words need, so no window holds more than ``shard_words`` words, whatever
-share of the corpus the source has. By default a shard has 65,536 words, or more once there are
-65,536 shards, so that neither the shards nor the documents of one outgrow a task.
+as many shards as its words need, so no window holds more than about ``shard_words`` words, whatever
+share of the corpus the source has. Blocks have ``block_words`` words and shards ``shard_words``, at every size of
+the corpus; a source's words in the mix differ from its target by about a block.
 
 A shard with a quota takes whole passes over its documents while the quota lasts. The rest comes
-from chunks of consecutive blocks drawn in seeded order; the last one drawn is cut at a block.
+from chunks of ``CHUNK_BLOCKS`` consecutive blocks drawn in seeded order; the last one drawn is cut at a block.
 
 Defined cases: null text and text without words have size 0 and are taken 0 times. A null source
 is a source of its own, the last. Fully equal rows are separate documents. An empty table gives
@@ -26,10 +26,9 @@ from pyspark.sql.window import Window
 
 from txnmill.llm.common import WORD, staged, word_count, workers_see_package
 
-SHARD_WORDS, MOST_SHARDS = 65_536, 65_536  # least words of a shard, and about the most shards in all
-CHUNK_WORDS = 1024
-MOST_BLOCK_WORDS = 64
-BLOCKS = 2**24  # blocks asked for while they are smaller than MOST_BLOCK_WORDS
+SHARD_WORDS = 1 << 20  # a million shards of them are a corpus of 10^12 words
+BLOCK_WORDS = 8
+CHUNK_BLOCKS = 128
 
 
 def sainte_lague(units: DataFrame, group: str, unit: str, votes: str, seats: str) -> DataFrame:
@@ -110,7 +109,8 @@ def mixture(
     weights: Sequence[float] = (1, 2, 3),
     cap: int = 3,
     seed: int = 17,
-    shard_words: int | None = None,
+    block_words: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
     """One row per document: doc_id, row_hash, copy, copies, size, source_size, target, passes,
     spans, taken.
@@ -134,10 +134,7 @@ def mixture(
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = staged(source_targets(totals, weights, float(cap)), "sources")
     words = sources.agg(F.sum("source_size")).first()[0] or 0
-    block = max(1, min(MOST_BLOCK_WORDS, words // BLOCKS))
-    chunk = block * -(-CHUNK_WORDS // block)
-    shard_words = shard_words or max(SHARD_WORDS, -(-words // MOST_SHARDS))
-    return _taken(sized, sources, words, block, chunk, cap, seed, shard_words)
+    return _taken(sized, sources, words, block_words, CHUNK_BLOCKS * block_words, cap, seed, shard_words)
 
 
 def row_hash(docs: DataFrame) -> Column:
