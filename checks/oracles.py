@@ -198,6 +198,7 @@ STEPS = {
             SELECT transaction_id FROM part1 WHERE transaction_id IS NOT NULL)""",
     "valid2": "SELECT * FROM new2 WHERE is_valid",
     "flagged2": _flagged("valid2", "valid1"),
+    "both_runs": "SELECT * FROM flagged1 UNION ALL SELECT * FROM flagged2",
     "valid_rest": "SELECT * FROM rest WHERE is_valid",
     "flagged_rest": _flagged("valid_rest", "valid1"),
     # A CSV round trip turns the empty id into null, and a null id is new in every load.
@@ -207,6 +208,12 @@ STEPS = {
     "flagged_stream": _flagged("valid_stream", "valid1"),
 }
 
+# The summary of what two incremental runs have stored.
+for _name in ("base", "grain", "summary"):
+    STEPS[f"{_name}_of_runs"] = (
+        STEPS[_name].replace("FROM bronze", "FROM both_runs").replace("FROM grain", "FROM grain_of_runs").replace("FROM base", "FROM base_of_runs")
+    )
+
 
 def with_steps(final: str) -> str:
     """``final`` preceded by the steps it needs."""
@@ -333,6 +340,8 @@ FINALS = {
         UNION ALL SELECT 3, 'landed', (SELECT count(*) FROM ({_since('validated_incremental', 'mark1')}) AS s),
             (SELECT count(*) FROM new2),
             strftime(greatest((SELECT max(transaction_ts) FROM valid2), max_ts), '{ISO}') FROM mark1""",
+    "summary_after_two_runs": "SELECT * FROM summary_of_runs",
+    "published_bronze": "SELECT * FROM both_runs",
     "incremental_retry": f"""SELECT 1 AS run, * FROM flagged1
         UNION ALL SELECT 2 AS run, * FROM flagged2""",
     "incremental_compacted": "SELECT * FROM flagged1 UNION ALL SELECT * FROM flagged2",

@@ -17,12 +17,13 @@ from txnmill.operators import increment, landing, quality, repeats, routing, rul
 from txnmill.plans import batches, incremental
 from txnmill.plans.compaction import compact
 from txnmill.plans.full_load import full_load, load_counts
-from txnmill.plans.summary import rebuild_summary
+from txnmill.plans.published import create_views
+from txnmill.plans.summary import rebuild_summary, refresh_summary
 from txnmill.plans.tables import Tables
 from txnmill.profiles import FULL, INCREMENTAL, Profile
 from txnmill.schema import BRONZE_COLUMNS, LANDING_FIELDS, QUARANTINE_COLUMNS, STAMP_FIELDS, VALID_COLUMNS
 from txnmill.session import shared_dir, use_utc
-from txnmill.sinks.tables import append_if_not_empty, export_csv
+from txnmill.sinks.tables import add_batch, append_if_not_empty, export_csv
 from txnmill.sources.ledger import read_new_files
 from txnmill.sources.records import (
     PAGES_LABEL,
@@ -603,6 +604,28 @@ def incremental_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(tables.bronze).select(_without_stamps(BRONZE_COLUMNS))
 
 
+@query
+def summary_after_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary that is brought up to date after each run."""
+    tables, records = _first_run(spark, sf_dir)
+    name = f"{tables.bronze.split('.')[0]}.daily"
+    refresh_summary(spark, tables, name)
+    _run(spark, tables, records, "run2")
+    refresh_summary(spark, tables, name)
+    return spark.table(name).select(summary.SUMMARY_COLUMNS)
+
+
+@query
+def published_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader sees of a landed run, a fold, one more landed run, and one that is still being written."""
+    tables, records = _first_run(spark, sf_dir)
+    compact(spark, tables)
+    _run(spark, tables, records, "run2")
+    add_batch(spark.table(tables.bronze).filter("batch_id = 'run2'").drop("batch_id"), tables.bronze, "run3", ["event_date"])
+    view = create_views(spark, tables)[-1]
+    return spark.table(view).select(_without_stamps(BRONZE_COLUMNS))
+
+
 @query
 def incremental_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = spark.table(_two_runs(spark, sf_dir).quarantine)

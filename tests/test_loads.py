@@ -6,10 +6,13 @@ from txnmill.plans import batches, incremental
 from txnmill.plans.batches import OpenBatchError
 from txnmill.plans.compaction import compact
 from txnmill.plans.full_load import full_load
-from txnmill.plans.incremental import incremental_load, read_watermark
+from txnmill.operators.skew import with_key_hash
+from txnmill.plans.history import among, drop_known, stored_keys
+from txnmill.plans.incremental import create_tables, incremental_load, read_watermark
 from txnmill.plans.summary import rebuild_summary
-from txnmill.schema import BRONZE_COLUMNS, LANDING_COLUMNS, QUARANTINE_COLUMNS
-from txnmill.sinks.tables import append_if_not_empty, export_csv
+from txnmill.plans.tables import staging
+from txnmill.schema import BRONZE_COLUMNS, LANDING_COLUMNS, NATURAL_KEY, QUARANTINE_COLUMNS
+from txnmill.sinks.tables import append_if_not_empty, buckets_of, export_csv
 from txnmill.sources.records import bounded
 
 
@@ -242,13 +245,76 @@ def test_history_that_was_landed_uncleaned(spark, records, tables, broadcast_byt
 def test_days_far_apart_are_the_only_ones_read(spark, records, tables, broadcast_bytes):
     load(spark, tables, records(*[txn(i, i) for i in range(1, 28)]), batch_id="a")
     rows = spark.table(tables.bronze).filter("event_date in ('2024-02-01', '2024-02-27')")
-    stored = incremental.stored_keys(spark.table(tables.bronze), rows, 2, broadcast_bytes)
-    assert sorted(r.transaction_id for r in stored.collect()) == ["TXN-1", "TXN-27"]
-    plan = stored._jdf.queryExecution().executedPlan().toString()
-    assert "2024-02-01" in plan or "event_date" in plan.split("PartitionFilters")[1]
-    if broadcast_bytes:
-        assert "BroadcastHashJoin" in plan
-    assert "Exchange hashpartitioning" not in plan
+    with staging(spark, tables, "b") as stage:
+        stored = stored_keys(spark, tables, stage, rows, 2, broadcast_bytes)
+        assert sorted(r.transaction_id for r in stored.collect()) == ["TXN-1", "TXN-27"]
+        plan = stored._jdf.queryExecution().executedPlan().toString()
+        assert "2024-02-01" in plan or "event_date" in plan.split("PartitionFilters")[1]
+        if broadcast_bytes:
+            assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    with staging(spark, tables, "b") as stage:
+        other = rows.withColumn("merchant_name", F.lit("?"))
+        assert stored_keys(spark, tables, stage, other, 2, broadcast_bytes) is None
+
+
+def test_the_search_for_keys_reads_hashes_only(spark, records, tables):
+    load(spark, tables, records(*[txn(i, i) for i in range(1, 9)]), batch_id="a")
+    rows = spark.table(tables.bronze).filter("event_date = '2024-02-03'")
+    sides = spark.table(tables.keys).filter("event_date = '2024-02-03'").select("key_hash")
+    for limit in (0, 10**6):
+        found = among(sides, with_key_hash(rows, NATURAL_KEY), "key_hash", 1, limit)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "ReadSchema: struct<key_hash:bigint>" in plan
+        assert found.count() == 1
+
+
+def test_a_large_batch_does_not_shuffle_the_landed_ids(spark, records, tables):
+    load(spark, tables, records(*[txn(i, 1) for i in range(1, 40)], txn(50, 1, transaction_id=None)), batch_id="a")
+    load(spark, tables, records(*[txn(i, 1) for i in range(30, 60)]), batch_id="b")
+    incoming = records(*[txn(i, 1) for i in range(20, 90)], txn(91, 1, transaction_id=None))
+    known = drop_known(incoming, spark.table(tables.ids), 71, broadcast_bytes=0, cleaned=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = known._jdf.queryExecution().executedPlan().toString()
+        history = plan[plan.index("landed_ids") - 600 :]
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in history
+        assert "LeftAnti" in plan
+        got = sorted(str(r.transaction_id) for r in known.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    few = drop_known(incoming, spark.table(tables.ids), 71, cleaned=True)
+    uncleaned = drop_known(incoming, spark.table(tables.landing), 71, broadcast_bytes=0)
+    for other in (few, uncleaned):
+        assert sorted(str(r.transaction_id) for r in other.collect()) == got
+    assert got == sorted(["None", *(f"TXN-{i}" for i in range(60, 90))])
+
+
+def test_every_id_is_in_its_bucket_once(spark, records, tables):
+    for day, batch in ((1, "a"), (2, "b"), (3, "c")):
+        load(spark, tables, records(*[txn(i, day) for i in range(1, 30 * day)], txn(1, day)), batch_id=batch)
+    for _ in range(2):
+        ids_table = spark.table(tables.ids)
+        assert ids_table.count() == ids_table.select("transaction_id").distinct().count() == 89
+        assert spark.table(tables.keys).count() == spark.table(tables.bronze).count()
+        per_batch = ids_table.select("batch_id", F.input_file_name().alias("f")).distinct().groupBy("batch_id").count()
+        assert all(r["count"] <= buckets_of(spark, tables.ids) for r in per_batch.collect())
+        compact(spark, tables)
+
+
+def test_tables_without_ids_and_hashes_get_them(spark, records, tables):
+    first, second = records(txn(1, 1), txn(2, 1), txn(3, 1, amount="x")), records(txn(4, 2, transaction_id=None))
+    load(spark, tables, first, batch_id="a")
+    load(spark, tables, second, batch_id="b")
+    want = [sorted(map(str, spark.table(name).collect())) for name in (tables.ids, tables.keys)]
+    for name in (tables.ids, tables.keys):
+        spark.sql(f"DROP TABLE {name}")
+    again = records(txn(1, 1), txn(3, 1), txn(5, 1, merchant_name="M2"))
+    create_tables(spark, tables)
+    columns = [spark.table(name).columns for name in (tables.ids, tables.keys)]
+    got = [sorted(map(str, spark.table(name).collect())) for name in (tables.ids, tables.keys)]
+    assert got == want and columns == [["transaction_id", "batch_id"], ["key_hash", "batch_id", "event_date"]]
+    assert load(spark, tables, again).new_rows == 1
+    assert ids(spark, tables.bronze, "is_duplicate") == ["TXN-5"]
 
 
 def test_folded_batches_have_the_same_content(spark, records, tables):

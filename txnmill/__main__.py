@@ -4,6 +4,7 @@
     python -m txnmill incremental --schema bank --csv /data/in
     python -m txnmill stream      --schema bank --csv /data/in --checkpoint /data/cp
     python -m txnmill compact     --schema bank
+    python -m txnmill refresh     --schema bank --summary bank.daily_incremental
     python -m txnmill summary     --bronze bank.bronze_transactions --summary bank.daily
 """
 
@@ -17,7 +18,8 @@ from txnmill.operators import quality, routing
 from txnmill.plans.compaction import compact
 from txnmill.plans.full_load import full_load, load_counts
 from txnmill.plans.incremental import LOOKBACK_DAYS, incremental_load
-from txnmill.plans.summary import rebuild_summary
+from txnmill.plans.published import create_views
+from txnmill.plans.summary import rebuild_summary, refresh_summary
 from txnmill.plans.tables import Tables
 from txnmill.session import use_utc
 from txnmill.sources.ledger import read_new_files
@@ -84,6 +86,12 @@ def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
     print("Folded into", compact(spark, Tables.in_schema(args.schema, "_incremental")))
 
 
+def _refresh(spark: SparkSession, args: argparse.Namespace) -> None:
+    tables = Tables.in_schema(args.schema, "_incremental")
+    print("Views", ", ".join(create_views(spark, tables)))
+    print("Days replaced:", refresh_summary(spark, tables, args.summary))
+
+
 def _summary(spark: SparkSession, args: argparse.Namespace) -> None:
     rebuild_summary(spark, args.bronze, args.summary, table_format=args.format)
     days = spark.table(args.summary)
@@ -121,6 +129,10 @@ def main() -> None:
     job = jobs.add_parser("compact")
     job.set_defaults(run=_compact)
     job.add_argument("--schema", required=True)
+    job = jobs.add_parser("refresh")
+    job.set_defaults(run=_refresh)
+    job.add_argument("--schema", required=True)
+    job.add_argument("--summary", required=True, help="table that is kept up to date batch by batch")
     job = jobs.add_parser("summary")
     job.set_defaults(run=_summary)
     job.add_argument("--bronze", required=True)

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from txnmill.plans import batches
+from txnmill.plans.history import in_buckets
 from txnmill.plans.incremental import create_tables, new_batch_id
 from txnmill.plans.tables import Tables
 from txnmill.session import use_utc
@@ -31,7 +32,10 @@ def compact(spark: SparkSession, tables: Tables, owner: str = OWNER) -> str | No
     number = batches.open_batch(spark, tables, control, fold, owner, None)
     for name, partition_by in tables.batch_tables().items():
         rows = spark.table(name).filter(~F.col("batch_id").startswith(batches.FOLD)).drop("batch_id")
-        add_batch(rows.hint("rebalance", *partition_by), name, fold, partition_by)
+        laid_out = rows.hint("rebalance", *partition_by)
+        if name == tables.ids:
+            laid_out = in_buckets(spark, tables, rows)
+        add_batch(laid_out, name, fold, partition_by)
     batches.add_event(spark, tables, number + 1, fold, batches.FOLDED, owner)
     batches.finish_fold(spark, tables, number + 1, fold, owner)
     return fold

@@ -1,29 +1,32 @@
 """Incremental load: what came since the saved watermark, once.
 
 Order of a batch: stage what was read; drop what landed in earlier batches; open the batch in
-the control table; write bronze, quarantine and landing; add the row that says it has landed.
+the control table; write bronze, quarantine, landing and what later batches are compared with
+(``plans/history.py``); add the row that says it has landed.
 Rows count from that row on. A run that died anywhere before can be run again: the batch is still
 open, what it stored is cleared, and the watermark has not moved. See ``plans/batches.py``.
 """
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txnmill.functions.times import utc_now
 from txnmill.operators import increment, landing, repeats, routing, rules
-from txnmill.operators.skew import HEAVY_ROWS, with_key_hash
+from txnmill.operators.skew import HEAVY_ROWS
 from txnmill.plans import batches
 from txnmill.plans.batches import BatchResult, read_watermark
+from txnmill.plans.history import BROADCAST_BYTES, add_ids, add_keys, create_history, drop_known, stored_keys
 from txnmill.plans.tables import Tables, staging
 from txnmill.profiles import INCREMENTAL
 from txnmill.schema import (
     BRONZE_COLUMNS,
     LANDING_COLUMNS,
-    NATURAL_KEY,
     QUARANTINE_COLUMNS,
     VALID_COLUMNS,
     schema_of,
@@ -34,10 +37,6 @@ from txnmill.sources.records import SOURCE_FILE, Source
 
 LOOKBACK_DAYS = 1
 
-# Hashes of a batch are sent to every executor only up to this many bytes, row headers included.
-BROADCAST_BYTES = 64 * 1024 * 1024
-HASH_BYTES = 24
-
 
 def new_batch_id() -> str:
     """Sorts by time."""
@@ -48,49 +47,7 @@ def create_tables(spark: SparkSession, tables: Tables) -> None:
     create_batch_table(spark, tables.landing, schema_of(LANDING_COLUMNS))
     create_batch_table(spark, tables.quarantine, schema_of(QUARANTINE_COLUMNS))
     create_batch_table(spark, tables.bronze, schema_of(BRONZE_COLUMNS + ["event_date"]), ["event_date"])
-
-
-def _matching(history: DataFrame, hashes: DataFrame, name: str, count: int, broadcast_bytes: int) -> DataFrame:
-    """Rows of ``history`` whose hash ``name`` is among ``count`` hashes of the batch.
-
-    The hashes are broadcast if their counted bytes fit; history is then cut where it is scanned
-    and only matches are shuffled further on. Otherwise it goes on as it is. A collision only
-    lets a row through that an exact comparison drops later, so both ways give one result.
-    """
-    if count * HASH_BYTES > broadcast_bytes:
-        return history
-    return history.join(F.broadcast(hashes.select(name)), name, "left_semi")
-
-
-def drop_known(
-    incoming: DataFrame,
-    history: DataFrame,
-    row_count: int,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    heavy_rows: int = HEAVY_ROWS,
-) -> DataFrame:
-    """Incoming rows whose id has not landed. Landed ids count in the cleaned form."""
-    by_hash = F.xxhash64("transaction_id").alias("id_hash")
-    cleaned = history.select(increment.cleaned_id()).select("transaction_id", by_hash)
-    hashes = incoming.filter("transaction_id is not null").select(by_hash)
-    matching = _matching(cleaned, hashes, "id_hash", row_count, broadcast_bytes)
-    ids = increment.known_ids(matching)
-    return increment.new_rows(incoming, ids, row_count, heavy_rows).select(incoming.columns)
-
-
-def stored_keys(
-    stored: DataFrame, rows: DataFrame, row_count: int, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Stored rows that may share a natural key with ``rows``.
-
-    The date is part of the key, so only the batch's own days are read, however far apart they
-    lie; the profile has one year of days at most. Then hashes of the keys decide.
-    """
-    days = rows.select(F.to_date("transaction_ts").alias("day")).distinct().collect()
-    same_days = stored.filter(F.col("event_date").isin([d["day"] for d in days]))
-    hashes = with_key_hash(rows, NATURAL_KEY)
-    hashed = with_key_hash(same_days, NATURAL_KEY)
-    return _matching(hashed, hashes, "key_hash", row_count, broadcast_bytes).drop("key_hash")
+    create_history(spark, tables)
 
 
 def run_batch(
@@ -127,8 +84,7 @@ def run_batch(
         left_out = None if source.seen is None else source.seen.get.get("n", 0) - read["n"]
         fresh, found = incoming, read
         if control.landed_batches and read["n"]:
-            history = spark.table(tables.landing)
-            new = drop_known(incoming, history, read["n"], broadcast_bytes, heavy_rows)
+            new = drop_known(incoming, spark.table(tables.ids), read["n"], broadcast_bytes, heavy_rows, cleaned=True)
             fresh, found = _measured(stage, new, "fresh")
         watermark = increment.next_watermark(found["latest"], saved, monotonic)
         result = BatchResult(batch_id, read["n"], found["n"], watermark, left_out)
@@ -142,7 +98,10 @@ def run_batch(
             return result
         number = batches.open_batch(spark, tables, control, batch_id, owner, bound)
         _fold_logs(spark, tables, number, source)
-        _store(spark, tables, batch_id, fresh, found["valid"], control.landed_batches, heavy_rows, broadcast_bytes)
+        stored = None
+        if control.landed_batches and found["valid"]:
+            stored = stored_keys(spark, tables, stage, routing.valid(fresh), found["valid"], broadcast_bytes)
+        _store(spark, tables, batch_id, fresh, found["valid"], stored, heavy_rows)
         batches.add_event(spark, tables, number + 1, batch_id, batches.LANDED, owner, bound=bound, **state)
         if source.ledger:
             source.ledger.enter(incoming, number + 1)
@@ -202,17 +161,23 @@ def _measured(stage, rows: DataFrame, step: str) -> tuple[DataFrame, dict]:
     return staged, {"n": 0, "valid": 0, "latest": None} | seen.get
 
 
-def _store(spark, tables, batch_id, fresh, valid, landed_batches, heavy_rows, broadcast_bytes) -> None:
+def _store(spark, tables, batch_id, fresh, valid, stored, heavy_rows) -> None:
+    """All tables of the batch, written side by side: they are small or as large as the batch, and none of them
+    counts before the batch has landed."""
     rows = routing.valid(fresh)
-    stored = None
-    if landed_batches and valid:
-        stored = stored_keys(spark.table(tables.bronze), rows, valid, broadcast_bytes)
     bronze = repeats.mark_duplicates(rows, stored, row_count=valid, heavy_rows=heavy_rows)
     bronze = bronze.withColumn("event_date", F.to_date("transaction_ts"))
     # Adaptive execution sizes the files: large days are split, small ones kept whole.
-    add_batch(bronze.hint("rebalance", "event_date"), tables.bronze, batch_id, ["event_date"])
-    add_batch(fresh.filter("not is_valid").select(QUARANTINE_COLUMNS), tables.quarantine, batch_id)
-    add_batch(fresh.select(LANDING_COLUMNS), tables.landing, batch_id)
+    writes = [
+        lambda: add_batch(bronze.hint("rebalance", "event_date"), tables.bronze, batch_id, ["event_date"]),
+        lambda: add_batch(fresh.filter("not is_valid").select(QUARANTINE_COLUMNS), tables.quarantine, batch_id),
+        lambda: add_batch(fresh.select(LANDING_COLUMNS), tables.landing, batch_id),
+        lambda: add_ids(spark, tables, batch_id, fresh),
+        lambda: add_keys(tables, batch_id, rows),
+    ]
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
+            done.result()
 
 
 def incremental_load(

@@ -1,7 +1,7 @@
 """Names of the tables a load writes, and the staged frames between its steps."""
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -17,6 +17,8 @@ class Tables:
     bronze: str
     control: str
     files: str  # ledger of source files
+    ids: str  # landed ids, and
+    keys: str  # hashes of stored natural keys: what a batch is compared with, see plans/history.py
 
     @classmethod
     def in_schema(cls, schema: str, suffix: str = "") -> "Tables":
@@ -28,11 +30,19 @@ class Tables:
             bronze=f"{schema}.bronze_transactions{suffix}",
             control=f"{schema}.load_batches{suffix}",
             files=f"{schema}.source_files{suffix}",
+            ids=f"{schema}.landed_ids{suffix}",
+            keys=f"{schema}.stored_key_hashes{suffix}",
         )
 
     def batch_tables(self) -> dict[str, list[str]]:
         """Tables that hold rows of batches, with their partition columns after the batch."""
-        return {self.landing: [], self.quarantine: [], self.bronze: ["event_date"]}
+        return {
+            self.landing: [],
+            self.quarantine: [],
+            self.bronze: ["event_date"],
+            self.ids: [],
+            self.keys: ["event_date"],
+        }
 
 
 class Staging:
@@ -42,15 +52,15 @@ class Staging:
         name = f"{batch}-{uuid.uuid4().hex[:12]}"
         self.path = f"{shared_dir(spark)}/txnmill-staged/{tables.landing}/{name}"
 
-    def write(self, df: DataFrame, step: str) -> DataFrame:
-        """Write a frame with ``is_valid`` and go on from the files.
+    def write(self, df: DataFrame, step: str, partition_by: Sequence[str] = ("is_valid",)) -> DataFrame:
+        """Write a frame and go on from the files.
 
         Cuts the lineage durably: later steps neither read the source again nor see tables
         change under them, and lost executors cost a re-read, not a re-run. The split by
         validity makes both routes partition reads.
         """
         path = f"{self.path}/{step}"
-        df.write.partitionBy("is_valid").parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

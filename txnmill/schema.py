@@ -62,6 +62,7 @@ COLUMN_TYPES = {
     "ingestion_timestamp": T.TimestampType(),
     "amount": MONEY,
     "is_duplicate": T.BooleanType(),
+    "key_hash": T.LongType(),
     "event_date": T.DateType(),
 }
 

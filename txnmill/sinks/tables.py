@@ -43,21 +43,31 @@ def create_batch_table(
     schema: T.StructType,
     partition_by: Sequence[str] = (),
     table_format: str = "parquet",
+    bucket_by: str | None = None,
+    buckets: int = 0,
 ) -> None:
-    """Empty table with ``batch_id`` and then ``partition_by`` as partition columns."""
+    """Empty table with ``batch_id`` and then ``partition_by`` as partition columns, and rows of a
+    partition in files by the hash of ``bucket_by`` if that is named."""
     columns = [f"{field.name} {field.dataType.simpleString()}" for field in schema]
     if "batch_id" not in schema.names:
         columns.append("batch_id string")
+    bucketed = f" CLUSTERED BY ({bucket_by}) INTO {buckets} BUCKETS" if bucket_by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING {table_format} "
-        f"PARTITIONED BY ({', '.join(['batch_id', *partition_by])})"
+        f"PARTITIONED BY ({', '.join(['batch_id', *partition_by])}){bucketed}"
     )
 
 
+def buckets_of(spark: SparkSession, name: str) -> int:
+    """Number of buckets of a bucketed table."""
+    described = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Num Buckets'").first()
+    return int(described["data_type"])
+
+
 @contextmanager
-def _static_overwrite(spark: SparkSession) -> Iterator[None]:
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
     before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "STATIC")
+    spark.conf.set(OVERWRITE_MODE, mode)
     try:
         yield
     finally:
@@ -74,11 +84,7 @@ def _put(df: DataFrame, name: str, batch_id: str, partition_by: Sequence[str], v
     spark = df.sparkSession
     stored = [field for field in spark.table(name).columns if field != "batch_id"]
     spec = ", ".join([f"batch_id = '{_checked(batch_id)}'", *partition_by])
-    with _static_overwrite(spark):
-        spark.sql(
-            f"INSERT {verb} TABLE {name} PARTITION ({spec}) SELECT * FROM {{df}}",
-            df=df.select(stored),
-        )
+    spark.sql(f"INSERT {verb} TABLE {name} PARTITION ({spec}) SELECT * FROM {{df}}", df=df.select(stored))
 
 
 def clear_batch(
@@ -86,7 +92,15 @@ def clear_batch(
 ) -> None:
     """Remove whatever the table holds of this batch, by overwriting it with nothing."""
     nothing = spark.createDataFrame([], spark.table(name).schema)
-    _put(nothing, name, batch_id, partition_by, "OVERWRITE")
+    with _overwrite_mode(spark, "STATIC"):
+        _put(nothing, name, batch_id, partition_by, "OVERWRITE")
+
+
+def replace_partitions(df: DataFrame, name: str) -> None:
+    """Put the rows in place of what the partitions that they belong to hold; other partitions stay. ``df`` must not
+    read the table."""
+    with _overwrite_mode(df.sparkSession, "DYNAMIC"):
+        df.select(df.sparkSession.table(name).columns).write.mode("overwrite").insertInto(name)
 
 
 def add_batch(df: DataFrame, name: str, batch_id: str, partition_by: Sequence[str] = ()) -> None:
