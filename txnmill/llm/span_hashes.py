@@ -5,14 +5,24 @@ at once. A span's hash is the difference of two entries, and spans at different
 after a shift by a power of the base, so any two spans, of one text or of two, are compared in
 constant time. The longest common extension of two places is found by binary search over that.
 
-The fingerprint is the hash of the whole text under four primes, with its length. Likeness of two
-prefix arrays is the share of the longer text that common beginning and common end cover; it is 1
-only for equal texts, and one edit in the middle costs what it replaced.
+The fingerprint starts with the hash of the whole text under four primes, and its length. Behind that is the text's
+prefix array at some places, as the spans between them: hash, length, and strength of the cut before each. A
+place is a cut if the hash of the ``WINDOW`` characters from there, mixed, starts with as many zero bits as the level
+asks for. So cuts depend on the characters around them alone, texts that share a stretch share the cuts in
+it, and an edit moves no others. The level follows from the length, so that some 32 to 64 cuts are to be expected,
+and rises in texts that repeat a window so often that more than ``MOST_CUTS`` come up.
+
+Likeness is taken from two fingerprints. The finer one is brought to the level of the other: the hash of two spans
+in a row follows from theirs. Then the spans of one are looked up in the other; from each that is
+found, binary search over the places finds the longest run of spans that both have. Likeness is the length
+of these runs in both texts as a share of both lengths: two texts of one length that share half of it come to about
+0.5. It is 1 for equal fingerprints only.
 
 Neighbours in id order are joined in one shuffle: ids are cut into ranges by quantiles, the first
 document of a range also goes to the range before, and each range is streamed in order.
 
-Defined cases: null is the empty text; two empty texts have likeness 1. Null ids come first, rows with
+Defined cases: null is the empty text; two empty texts have likeness 1. Texts that repeat one short block throughout
+have no cuts and are alike only to equal ones. Null ids come first, rows with
 equal ids follow in order of the text. A single document is its own next one. Other columns are
 ignored.
 """
@@ -35,6 +45,11 @@ BASES = (911382323, 972663749, 1314520547, 1618033989)
 ARRAYS = 2  # primes of the prefix arrays; the others strengthen the fingerprint
 
 
+WINDOW = 6
+LEAST_LEVEL, MEAN_CUTS, MOST_CUTS = 2, 64, 192
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
 class Powers:
     """Powers of a base modulo a prime, as many as were asked for so far."""
 
@@ -48,8 +63,12 @@ class Powers:
             self.table = np.concatenate([self.table, self.table * step % np.uint64(self.prime)])
         return self.table[:n]
 
+    def at(self, places: np.ndarray) -> np.ndarray:
+        return self.upto(int(places.max(initial=0)) + 1)[places]
+
 
 _POWERS = [Powers(b, p) for b, p in zip(BASES, PRIMES, strict=True)]
+_BACK = Powers(pow(BASES[0], -1, PRIMES[0]), PRIMES[0])
 
 
 class PrefixHash:
@@ -112,16 +131,132 @@ class PrefixHash:
                 high = middle - 1
         return low
 
-    def likeness(self, other: "PrefixHash") -> float:
-        """Share of the longer text in the common beginning and end."""
-        longer, shorter = max(self.n, other.n), min(self.n, other.n)
-        if not longer:
-            return 1.0
-        if self.fingerprint == other.fingerprint:
-            return 1.0
-        head = self.extension(0, other, 0)
-        tail = min(self.extension_left(self.n, other, other.n), shorter - head)
-        return (head + tail) / longer
+    def windows(self) -> np.ndarray:
+        """Mixed hash of the window that starts at each place, 32 bits."""
+        if self.n < WINDOW:
+            return np.empty(0, np.uint64)
+        prime = np.uint64(PRIMES[0])
+        span = self.sums[0][WINDOW:] + prime - self.sums[0][:-WINDOW]
+        at_zero = span % prime * _BACK.upto(len(span)) % prime
+        return at_zero * _MIX >> np.uint64(20) & np.uint64(0xFFFFFFFF)
+
+    def spans(self) -> list[tuple[int, int, int]]:
+        """(hash, length, strength of the cut before) of the spans between cuts; the first has no cut
+        before it and strength 0."""
+        mixed = self.windows()
+        level = _level(self.n)
+        places = np.flatnonzero(mixed < np.uint64(1 << (32 - level)))
+        places = places[places > 0]
+        while len(places) > MOST_CUTS:
+            level += 1
+            places = places[mixed[places] < np.uint64(1 << (32 - level))]
+        prime = np.uint64(PRIMES[0])
+        ends = np.concatenate([[0], places, [self.n]])
+        sums = self.sums[0][ends]
+        hashes = (sums[1:] + prime - sums[:-1]) % prime * _BACK.at(ends[:-1]) % prime
+        strength = [33 - int(m).bit_length() for m in mixed[places].tolist()]  # leading zeros of 32, and one
+        return list(zip(hashes.tolist(), np.diff(ends).tolist(), [0, *strength], strict=True))
+
+    def print(self) -> "Print":
+        return Print(self.fingerprint, self.n, self.spans())
+
+
+def _level(length: int) -> int:
+    """Zero bits that a cut's window hash starts with, in texts of this length."""
+    return max(LEAST_LEVEL, (length // MEAN_CUTS).bit_length())
+
+
+class Print:
+    """A fingerprint; ``str`` gives its text and ``parse`` takes that."""
+
+    def __init__(self, whole: str, n: int, spans: list[tuple[int, int, int]]):
+        self.whole, self.n, self.spans = whole, n, spans
+
+    def __str__(self) -> str:
+        return self.whole + "".join([f".{h:x}-{n:x}-{cut:x}" for h, n, cut in self.spans])
+
+    @classmethod
+    def parse(cls, text: str) -> "Print":
+        whole, *spans = text.split(".")
+        return cls(whole, int(whole[32:], 16), [tuple(int(x, 16) for x in span.split("-")) for span in spans])
+
+    def level(self) -> int:
+        """Strength that the cuts have at least, as far as can be told."""
+        return max(_level(self.n) + 1, min([cut for _, _, cut in self.spans[1:]], default=0))
+
+    def coarse(self, level: int) -> list[tuple[int, int]]:
+        """(length, hash) of the spans between cuts of at least this strength."""
+        joined: list[tuple[int, int]] = []
+        for h, n, cut in self.spans:
+            if cut >= level or not joined:
+                joined.append((n, h))
+            else:
+                before, first = joined[-1]
+                joined[-1] = before + n, (first + pow(BASES[0], before, PRIMES[0]) * h) % PRIMES[0]
+        return joined
+
+
+class Prefixes:
+    """Prefix array at the cuts: lengths and hashes of all before, and the power that a hash there carries."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.at, self.sums, self.powers = [0], [0], [1]
+        for n, h in spans:
+            self.sums.append((self.sums[-1] + self.powers[-1] * h) % PRIMES[0])
+            self.powers.append(self.powers[-1] * pow(BASES[0], n, PRIMES[0]) % PRIMES[0])
+            self.at.append(self.at[-1] + n)
+
+    def equal(self, i: int, other: "Prefixes", j: int, m: int) -> bool:
+        """Whether ``m`` spans from ``i`` are the text of as many from ``j``."""
+        if self.at[i + m] - self.at[i] != other.at[j + m] - other.at[j]:
+            return False
+        mine = (self.sums[i + m] - self.sums[i]) * other.powers[j]
+        return (mine - (other.sums[j + m] - other.sums[j]) * self.powers[i]) % PRIMES[0] == 0
+
+    def extension(self, i: int, other: "Prefixes", j: int) -> int:
+        """Number of spans of the longest run that both have from these cuts, by binary search; at least one."""
+        low, high = 1, min(len(self.at) - i, len(other.at) - j) - 1
+        while low < high:
+            middle = (low + high + 1) // 2
+            if self.equal(i, other, j, middle):
+                low = middle
+            else:
+                high = middle - 1
+        return low
+
+
+def likeness(one: str, other: str) -> float:
+    """Likeness of two fingerprints, from 0 to 1; 1 for equal ones only."""
+    return alike(Print.parse(one), Print.parse(other))
+
+
+def alike(one: Print, other: Print) -> float:
+    if one.whole == other.whole:
+        return 1.0
+    level = max(one.level(), other.level())
+    a, b = one.coarse(level), other.coarse(level)
+    where: dict[tuple[int, int], list[int]] = {}
+    for j in range(len(b) - 1, -1, -1):
+        where.setdefault(b[j], []).append(j)
+    if where.keys().isdisjoint(a):
+        return 0.0
+    first, second = Prefixes(a), Prefixes(b)
+    used = [False] * len(b)
+    common = i = 0
+    while i < len(a):
+        places = where.get(a[i], [])
+        while places and used[places[-1]]:
+            places.pop()
+        if not places:
+            i += 1
+            continue
+        j = places[-1]
+        run = first.extension(i, second, j)
+        free = next((k for k in range(run) if used[j + k]), run)
+        used[j : j + free] = [True] * free
+        common += first.at[i + free] - first.at[i]
+        i += free
+    return min(2 * common / (one.n + other.n), 1 - 1 / (one.n + other.n + 1))
 
 
 def edited(text: str, following: str) -> str:
@@ -172,7 +307,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
 
     The edited text is ``edited(text, next text)`` in id order; the last document is followed by
-    the first. Likeness is that of the prefix arrays.
+    the first. Likeness is that of the fingerprints.
     """
     workers_see_package(docs.sparkSession)
     schema = (
@@ -183,14 +318,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = [field.split()[0] for field in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # bucket, id, text and prefix arrays of the row before
+        held = None  # bucket, id, text, length and fingerprint of the row before
         for batch in batches:
             out = []
             for bucket, is_next, doc_id, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = raw.decode("utf-8", "replace")
                 if held is None and is_next:
                     continue  # an equal copy of the next document
-                now = (bucket, doc_id, text, PrefixHash(text))
+                hashed = PrefixHash(text)
+                now = (bucket, doc_id, text, hashed.n, hashed.print())
                 if held is not None:
                     out.append(_row(held, now))
                 held = None if is_next else now
@@ -206,9 +342,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _row(held, now) -> tuple:
-    _, doc_id, text, own = held
+    _, doc_id, text, length, own = held
     new = edited(text, now[2])
-    changed = PrefixHash(new)
+    changed = PrefixHash(new).print()
     sha = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
-    likes = own.likeness(changed), own.likeness(now[3])
-    return (doc_id, own.n, sha, own.fingerprint, changed.fingerprint, *likes)
+    return (doc_id, length, sha, str(own), str(changed), alike(own, changed), alike(own, now[4]))
