@@ -1,8 +1,10 @@
-import re
-
 import corpus_pipeline
 import pytest
 
+from txnmill.llm.simhash import simhash_groups
+
+from .test_simhash import smallest_of_groups
+
 SMALL, MORE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
@@ -35,25 +37,35 @@ def test_toxic_documents_go_and_others_stay(spark):
     assert not any(i not in left for i, t in labels.items() if not t)
 
 
-def test_groups_of_similar_documents_keep_one(stages):
-    def shingles(text):
-        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
-        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+def test_groups_of_near_fingerprints_keep_one(stages):
+    rows = [(r.doc_id, r.text) for r in stages[1].collect()]
+    want = sorted(i for _, i, _ in smallest_of_groups(rows))
+    assert sorted(r.doc_id for r in stages[2].collect()) == want
 
-    rows = {r.doc_id: shingles(r.text) for r in stages[1].collect()}
-    best = {i: i for i in rows}
 
-    def find(i):
-        while best[i] != i:
-            i = best[i]
-        return i
+def test_copies_go_and_clean_documents_stay(spark):
+    """Exact copies, copies in other case and white space, and all documents of which there is no copy."""
+    docs = spark.read.parquet(f"{MORE}/documents.parquet")
+    rows = docs.collect()
+    same = {}
+    for r in rows:
+        same.setdefault(" ".join((r.text or "").lower().split()), []).append(r.doc_id)
+    left = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, MORE).select("doc_id").collect()]
+    assert len(left) == len(set(left))
+    for ids in same.values():
+        assert len(set(ids) & set(left)) <= 1
+    gone = {r.doc_id for r in rows} - set(left)
+    groups = {r.doc_id: r.component_id for r in simhash_groups(docs).collect()}
+    assert gone == {i for i, root in groups.items() if i != root}
+
 
-    for i in rows:
-        for j in rows:
-            if i < j and len(rows[i] & rows[j]) >= 0.8 * len(rows[i] | rows[j]):
-                x, y = sorted((find(i), find(j)))
-                best[y] = x
-    assert {r.doc_id for r in stages[2].collect()} == {find(i) for i in rows}
+def test_odd_tables(spark, odd, none):
+    """Nulls, repeated rows, ids that are null or used twice and clashing names go through all stages."""
+    for docs in (odd, none):
+        for _, stage in corpus_pipeline.STAGES:
+            result = stage(spark, docs, SMALL)
+            docs = spark.createDataFrame(result.collect(), result.schema)
+        assert docs.count() or docs.columns
 
 
 def test_run_packs_all_words_of_the_mix(spark, stages):

@@ -5,10 +5,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from txnmill.llm import near_duplicates, simhash
+from txnmill.llm import simhash
 from txnmill.llm.components import components
-from txnmill.llm.near_duplicates import one_of_each
-from txnmill.llm.simhash import simhash_groups
+from txnmill.llm.simhash import one_of_each_group, simhash_groups
 
 
 def plain_fingerprint(text):
@@ -104,130 +103,72 @@ def test_components_of_a_long_chain_and_loops(spark):
     assert roots[200] == 200 and roots[100] != roots[0]
 
 
-def jaccard(a, b):
-    sets = []
-    for text in (a, b):
-        w = text.lower().split()
-        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-def test_near_duplicates_keep_one_of_each(documents):
-    rng = random.Random(8)
-    vocabulary = [f"w{i}" for i in range(400)]
-    rows = []
-    for base in range(25):
-        words = [rng.choice(vocabulary) for _ in range(rng.randint(20, 200))]
-        rows.append((1000 - base, " ".join(words)))
-        for copy in range(4):
-            other = list(words)
-            for _ in range(copy * len(words) // 60):
-                other[rng.randrange(len(other))] = "new"
-            rows.append((base * 10 + copy, "  ".join(other).upper()))
-    kept = {r.doc_id for r in one_of_each(documents(*rows)).collect()}
-    best = {i: i for i, _ in rows}
+def smallest_of_groups(rows, radius=2):
+    """Smallest id of each row's group, by comparing all fingerprints."""
+    prints = [plain_fingerprint(t) for _, t in rows]
+    best = list(range(len(rows)))
 
     def find(i):
         while best[i] != i:
             i = best[i]
         return i
 
-    for i, a in rows:
-        for j, b in rows:
-            if i < j and jaccard(a, b) >= 0.8:
-                x, y = sorted((find(i), find(j)))
-                best[y] = x
-    assert kept == {find(i) for i, _ in rows}
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= radius:
+                best[find(i)] = find(j)
+    groups = {}
+    for i, (doc_id, _) in enumerate(rows):
+        groups.setdefault(find(i), []).append((doc_id is None, doc_id or 0, i))
+    return [min(g) for g in groups.values()]
 
 
-def families(rng, sizes, words, changes):
-    """Members of a family differ from its base by ``changes`` single words, so pairs are around 0.8."""
+def near_copies(rng):
     rows = []
-    for size in sizes:
-        base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
-        for _ in range(size):
-            other = list(base)
-            for _ in range(changes):
-                other[rng.randrange(words)] = f"n{rng.randrange(10**6)}"
-            rows.append((len(rows), " ".join(other)))
+    for base in range(30):
+        words = [f"w{rng.randrange(300)}" for _ in range(rng.randint(60, 400))]
+        rows.append((1000 - base, " ".join(words)))
+        for copy in range(5):
+            other = list(words)
+            for _ in range(copy):
+                other[rng.randrange(len(other))] = "new"
+            rows.append((base * 10 + copy, "  ".join(other).upper()))
     return rows
 
 
-def plain_kept(rows, pairs=None):
-    """Smallest ids of the groups by brute force; similar pairs are added to ``pairs``."""
-    best = {i: i for i, _ in rows}
+def test_one_of_each_group_stays(documents):
+    rows = near_copies(random.Random(8))
+    kept = sorted(r.doc_id for r in one_of_each_group(documents(*rows)).collect())
+    want = sorted(i for _, i, _ in smallest_of_groups(rows))
+    assert kept == want and 30 <= len(want) < 150
+    groups = {r.component_id for r in simhash_groups(documents(*rows)).collect()}
+    assert groups == set(want)
 
-    def find(i):
-        while best[i] != i:
-            i = best[i]
-        return i
 
-    for n, (i, a) in enumerate(rows):
-        for j, b in rows[:n]:
-            if jaccard(a, b) >= 0.8:
-                x, y = sorted((find(i), find(j)))
-                best[y] = x
-                if pairs is not None:
-                    pairs.append((j, i))
-    return {find(i) for i, _ in rows}
-
-
-def test_near_duplicates_in_families_around_the_similarity(documents):
-    """A nearer fingerprint of less similarity must not hide a pair that is similar enough."""
-    rows = families(random.Random(5), [30, 45, 60, 100], 200, 3)
-    rows += [(1000 + i, t) for i, t in families(random.Random(6), [30, 60, 100], 250, 3)]
-    want = plain_kept(rows)
-    assert len(want) > 20
-    assert {r.doc_id for r in one_of_each(documents(*rows)).collect()} == want
-
-
-@pytest.mark.parametrize("part_rows", [8, 512])
-def test_families_in_parts_lose_no_pair(spark, part_rows):
-    """Parts far smaller than the family, with a group of most members that is already connected."""
-    rows = families(random.Random(7), [60], 200, 3)
-    name = {i: bytes([i]) * 16 for i, _ in rows}
-    pairs = []
-    plain_kept(rows, pairs)
-    some = spark.createDataFrame([(name[i], name[j]) for i, j in pairs[: len(pairs) // 3]], "a binary, b binary")
-    sure = components(some)
-    chain = spark.createDataFrame([(name[i], name[i + 1]) for i in range(59)], "a binary, b binary")
-    texts = spark.createDataFrame([(name[i], t.encode()) for i, t in rows], "name binary, text binary")
-    more = near_duplicates._family_links(
-        texts, sure, near_duplicates._families(chain, sure), 5, 0.8, part_rows=part_rows
-    )
-    got = {(bytes(r.a), bytes(r.b)) for r in more.collect()}
-    alike = {frozenset((name[i], name[j])) for i, j in pairs}
-    assert got and all(frozenset(p) in alike for p in got)
-
-    def classes(links):
-        sets = {}
-        for r in components(links).collect():
-            sets.setdefault(bytes(r.root), set()).add(bytes(r.node))
-        return sorted(map(sorted, sets.values()))
-
-    every = spark.createDataFrame([(name[i], name[j]) for i, j in pairs], "a binary, b binary")
-    assert classes(some.union(more)) == classes(every)
-
-
-def test_near_duplicates_with_repeated_lines_and_short_texts(documents):
-    rng = random.Random(3)
-    rows, short = [], []
-    for _ in range(20):
-        words = " ".join(f"w{rng.randrange(10**6)}" for _ in range(300))
-        line = " ".join(f"l{rng.randrange(10**6)}" for _ in range(6))
-        rows += [(len(rows) + i, words + f"\n{line}" * times) for i, times in enumerate((1, 20, 60))]
-    for n in range(300):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(9)]
-        short += [(1000 + 2 * n, " ".join(words[:8])), (1001 + 2 * n, " ".join(words))]
-    kept = {r.doc_id for r in one_of_each(documents(*rows, *short)).collect()}
-    assert {i for i in kept if i < 1000} == plain_kept(rows)
-    assert {i for i, _ in short[::2]} <= kept
-    assert len([i for i in kept if i >= 1000]) <= 1.1 * 300
-
-
-def test_near_duplicates_of_odd_rows(odd, none):
-    kept = one_of_each(odd)
+def test_one_of_each_group_of_odd_rows(odd, none, documents):
+    given = [(r.doc_id, r.text) for r in odd.collect()]
+    kept = one_of_each_group(odd)
     assert kept.columns == odd.columns
-    ids = sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x))
-    assert ids == [0, 3, 4, 5, 7, 8, 9, 10, None]  # 0-3 have no words, 5 and 6 are equal
-    assert one_of_each(none).count() == 0
+    want = sorted((n, i) for n, i, _ in smallest_of_groups(given))
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == want
+    assert one_of_each_group(none).count() == 0
+
+
+def test_rows_of_one_id_in_different_groups(documents):
+    """Two texts under one id, a copy of one of them under a smaller id, and repeated rows."""
+    rng = random.Random(4)
+    a, b, c = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(50)) for x in "abc")
+    rows = [(5, a), (5, b), (3, b), (7, c), (7, c), (7, c), (None, c.upper()), (None, "alone here"), (None, "alone here")]
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in one_of_each_group(documents(*rows)).collect())
+    assert kept == [(False, 3, b), (False, 5, a), (False, 7, c), (True, 0, "alone here")]
+
+
+def test_two_texts_of_one_id_in_one_group(documents):
+    words = [f"w{i}" for i in range(300)]
+    own = plain_fingerprint(" ".join(words))
+    others = (" ".join([*words[:-1], f"x{i}"]) for i in range(1000))
+    near = next(t for t in others if 1 <= (plain_fingerprint(t) ^ own).bit_count() <= 2)
+    rows = [(1, " ".join(words)), (1, near), (2, " ".join(words))]
+    assert len(smallest_of_groups(rows)) == 1
+    kept = one_of_each_group(documents(*rows)).collect()
+    assert [r.doc_id for r in kept] == [1]

@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnmill.llm.common import shuffle_partitions, staged, workers_see_package
 from txnmill.llm.components import components
@@ -98,17 +99,23 @@ def fingerprints(
     bits: int = 64,
 ) -> DataFrame:
     """(doc_id, fp binary), one row per document; whole texts, no shuffle."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return with_fingerprints(narrow, "text", "fp", shingle_words, bits).select("doc_id", "fp")
+
+
+def with_fingerprints(docs: DataFrame, text_col: str, name: str, shingle_words: int, bits: int = 64) -> DataFrame:
+    """``docs`` with the fingerprints of their texts as a last column ``name``; no shuffle."""
     workers_see_package(docs.sparkSession)
+    at = docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(shingle_hashes(t.as_py(), shingle_words), bits) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], names=["doc_id", "fp"])
+            texts = batch.column(at).cast(pa.binary())
+            fps = [fingerprint(shingle_hashes(t.as_py(), shingle_words), bits) for t in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.binary())], names=schema.names)
 
-    narrow = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")
-    )
-    return narrow.mapInArrow(run, "doc_id long, fp binary")
+    return docs.mapInArrow(run, schema)
 
 
 # Blocks
@@ -363,13 +370,51 @@ def simhash_groups(
     marked = staged(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     nodes = staged(nodes, "nodes")
-    keyed = _with_chunk_keys(nodes.select("fp"), 64, radius)
-    links = link_forest(keyed, shared_keys(keyed), radius, 64)
-    return marked.join(least_ids(nodes, components(links)), "fp", "left").select(
+    return marked.join(least_ids(nodes, linked(nodes.select("fp"), radius)), "fp", "left").select(
         "doc_id", "fp", "component_id"
     )
 
 
+def linked(nodes: DataFrame, radius: int) -> DataFrame:
+    """(node, root) of the distinct 64-bit fingerprints ``fp`` that have a link; chained ones share the root."""
+    keyed = _with_chunk_keys(nodes, 64, radius)
+    return components(link_forest(keyed, shared_keys(keyed), radius, 64))
+
+
+def one_of_each_group(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 3,
+    radius: int = 2,
+) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group of :func:`simhash_groups` the row with the
+    smallest id, a null id being larger than any other. Of several rows with that id and fingerprint one stays.
+
+    Documents are written once with their fingerprints, and shuffled once with what decides on them.
+    """
+    own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # columns may have any names
+    doc_id = F.col(f"c{docs.columns.index(id_col)}").cast("long")
+    text = f"c{docs.columns.index(text_col)}"
+    marked = staged(with_fingerprints(own, text, "fp", shingle_words), "marked")
+    rows = marked.groupBy(doc_id.alias("doc_id"), "fp").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "copies")).alias("first")
+    nodes = staged(rows.groupBy("fp").agg(first), "nodes")
+    roots = linked(nodes.select("fp"), radius).withColumnRenamed("node", "fp")
+    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = F.min(F.struct("first.n", "first.doc_id", "fp", "first.copies")).alias("least")
+    kept = staged(rooted.groupBy("root").agg(least).select("least.doc_id", "least.fp", "least.copies"), "kept")
+
+    single, several = (kept.filter(c).select("doc_id", F.col("fp").alias("its_fp")) for c in ("copies = 1", "copies > 1"))
+    same = (F.col("fp") == F.col("its_fp")) & doc_id.eqNullSafe(F.col("doc_id"))
+    # what is joined with texts grows with them, so this join is the same at every size
+    unique = marked.join(single.hint("merge"), same, "left_semi")
+    if not several.isEmpty():
+        again = marked.join(several.hint("merge"), same, "left_semi")
+        unique = unique.union(again.dropDuplicates(["fp", f"c{docs.columns.index(id_col)}"]))
+    return unique.drop("fp").toDF(*docs.columns)
+
+
 def least_ids(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """(fp, component_id) from (fp, first_id) and (node, root); staged, so a join with the
     documents can split a fingerprint that a third of them have."""

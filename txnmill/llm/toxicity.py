@@ -118,8 +118,9 @@ def train(
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), label.alias("label"))
     known = known.dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
     counts = dict(known.groupBy(F.col("label") > 0).count().collect())
+    nothing = Model(np.empty(0, np.int64), np.empty(0), np.array([40.0]))  # rejects no text
     if len(counts) < 2:
-        return Model(np.empty(0, np.int64), np.empty(0), np.array([40.0]))
+        return nothing
     order = F.xxhash64(F.lit(seed), "doc_id")
     half = sample_rows // 2
     take = {True: half, False: sample_rows - half}
@@ -131,7 +132,10 @@ def train(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sample = texts.join(drawn, "doc_id").dropDuplicates(["doc_id"])
     sample = staged(sample, "toxicity-sample")
-    chosen, strong = _choose(sample, most_features)
+    kinds = sample.agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") > 0)).first()
+    if not all(kinds):  # labels of documents that are not there
+        return nothing
+    chosen, strong = _choose(sample, most_features, *kinds)
     rows = _encoded(sample, chosen, strong).orderBy("doc_id").collect()
     labels_seen = np.array([r["label"] for r in rows])
     grades = labels_seen if grade_col else flags_to_grades(labels_seen, [r["hits"] for r in rows])
@@ -143,7 +147,7 @@ def train(
     return fit([np.frombuffer(r["at"], np.uint16) for r in rows], grades, chosen, weight / weight.mean())
 
 
-def _choose(sample: DataFrame, most: int) -> tuple[np.ndarray, set[int]]:
+def _choose(sample: DataFrame, most: int, all0: int, all1: int) -> tuple[np.ndarray, set[int]]:
     """Features that mark flagged sample texts, and those among them that all but prove it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,9 +162,6 @@ def _choose(sample: DataFrame, most: int) -> tuple[np.ndarray, set[int]]:
 
     counted = sample.select("text", "label").mapInArrow(count, "f long, n0 int, n1 int")
     sums = counted.groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    all0, all1 = sample.agg(
-        F.count_if(F.col("label") == 0), F.count_if(F.col("label") > 0)
-    ).first()
     odds = F.log((F.col("n1") + 0.5) / (all1 + 1)) - F.log((F.col("n0") + 0.5) / (all0 + 1))
     best = (
         sums.withColumn("odds", odds)
