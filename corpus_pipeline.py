@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txnmill.llm.common import table
 from txnmill.llm.mixing import mixed_documents
-from txnmill.llm.near_duplicates import one_of_each
 from txnmill.llm.packing import pack
+from txnmill.llm.simhash import one_of_each_group
 from txnmill.llm.toxicity import train, without_rejected
 from txnmill.session import shared_dir
 
@@ -22,8 +22,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similarity 0.8 in five-word shingles."""
-    return one_of_each(docs, shingle_words=5, similarity=0.8)
+    """One document of each group that fingerprints of three-word shingles link at two bits."""
+    return one_of_each_group(docs, shingle_words=3, radius=2)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
