@@ -72,3 +72,16 @@ def test_run_packs_all_words_of_the_mix(spark, stages):
     words = sum(len(r.text.split()) for r in stages[3].collect())
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert sum(r.length for r in rows) == words == sum(r.length for r in stages[4].collect())
+
+
+def test_run_leaves_its_result_only(spark):
+    """Intermediates of a stage go when it is written, and a stage's documents when the next one is."""
+    from pathlib import Path
+
+    from txnmill.session import shared_dir
+
+    before = set(Path(shared_dir(spark)).glob("llm-*"))
+    rows = corpus_pipeline.run(spark, SMALL)
+    left = set(Path(shared_dir(spark)).glob("llm-*")) - before
+    assert [p.name for p in left] == [next(iter(left)).name] and [p.name for p in next(iter(left)).iterdir()] == ["packing"]
+    assert rows.count() > 0

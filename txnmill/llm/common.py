@@ -1,6 +1,8 @@
 """What several corpus operators share: staging, hashing of whole rows, worker set-up."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written: list[list[str]] = []  # folders of the open ``removed_after`` blocks
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` into the shared folder and go on from the files.
 
@@ -23,10 +28,31 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
+    if _written:
+        _written[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def removed_after(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``staged`` writes inside the block when the block ends, well or not. What reads it has to be
+    written inside as well. A driver that dies leaves its folders behind; no other run reads them."""
+    folders: list[str] = []
+    _written.append(folders)
+    try:
+        yield
+    finally:
+        _written.pop()
+        for folder in folders:
+            remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def workers_see_package(spark: SparkSession) -> None:
     """Let Python workers started from this folder import the package; on a cluster ``--py-files`` does."""
     environment = spark.sparkContext.environment
