@@ -1,14 +1,15 @@
 """Corpus pipeline: toxicity, near-duplicates, source mix, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
-read again as the next stage's documents. All but the last keep the columns of documents.
+read again as the next stage's documents. All but the last keep the columns of documents. What a stage
+writes on its way goes when its result is written, and its documents go when the next stage has read them.
 """
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnmill.llm.common import table
+from txnmill.llm.common import remove, removed_after, table
 from txnmill.llm.mixing import mixed_documents
 from txnmill.llm.packing import pack
 from txnmill.llm.simhash import one_of_each_group
@@ -49,8 +50,14 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/llm-pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
-        result = stage(spark, docs, sf_dir)
-        result.write.parquet(f"{base}/{name}")
-        docs = spark.read.schema(result.schema).parquet(f"{base}/{name}")
+        path = f"{base}/{name}"
+        with removed_after(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
