@@ -1,5 +1,7 @@
 """Full and incremental loads: replay, late rows, crashes, exits."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 from txnmill.plans import batches, incremental
@@ -245,8 +247,9 @@ def test_history_that_was_landed_uncleaned(spark, records, tables, broadcast_byt
 def test_days_far_apart_are_the_only_ones_read(spark, records, tables, broadcast_bytes):
     load(spark, tables, records(*[txn(i, i) for i in range(1, 28)]), batch_id="a")
     rows = spark.table(tables.bronze).filter("event_date in ('2024-02-01', '2024-02-27')")
+    days = [date(2024, 2, 1), date(2024, 2, 27)]
     with staging(spark, tables, "b") as stage:
-        stored = stored_keys(spark, tables, stage, rows, 2, broadcast_bytes)
+        stored = stored_keys(spark, tables, stage, rows, 2, days, broadcast_bytes)
         assert sorted(r.transaction_id for r in stored.collect()) == ["TXN-1", "TXN-27"]
         plan = stored._jdf.queryExecution().executedPlan().toString()
         assert "2024-02-01" in plan or "event_date" in plan.split("PartitionFilters")[1]
@@ -254,7 +257,7 @@ def test_days_far_apart_are_the_only_ones_read(spark, records, tables, broadcast
             assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     with staging(spark, tables, "b") as stage:
         other = rows.withColumn("merchant_name", F.lit("?"))
-        assert stored_keys(spark, tables, stage, other, 2, broadcast_bytes) is None
+        assert stored_keys(spark, tables, stage, other, 2, days, broadcast_bytes) is None
 
 
 def test_the_search_for_keys_reads_hashes_only(spark, records, tables):
@@ -264,7 +267,8 @@ def test_the_search_for_keys_reads_hashes_only(spark, records, tables):
     for limit in (0, 10**6):
         found = among(sides, with_key_hash(rows, NATURAL_KEY), "key_hash", 1, limit)
         plan = found._jdf.queryExecution().executedPlan().toString()
-        assert "ReadSchema: struct<key_hash:bigint>" in plan
+        assert "ReadSchema: struct<key_hash:bigint,event_date:date>" in plan
+        assert "event_date" in plan.split("PushedFilters: [")[1].split("]")[0]
         assert found.count() == 1
 
 
@@ -312,7 +316,7 @@ def test_tables_without_ids_and_hashes_get_them(spark, records, tables):
     create_tables(spark, tables)
     columns = [spark.table(name).columns for name in (tables.ids, tables.keys)]
     got = [sorted(map(str, spark.table(name).collect())) for name in (tables.ids, tables.keys)]
-    assert got == want and columns == [["transaction_id", "batch_id"], ["key_hash", "batch_id", "event_date"]]
+    assert got == want and columns == [["transaction_id", "batch_id"], ["key_hash", "event_date", "batch_id"]]
     assert load(spark, tables, again).new_rows == 1
     assert ids(spark, tables.bronze, "is_duplicate") == ["TXN-5"]
 

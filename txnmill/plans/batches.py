@@ -68,22 +68,27 @@ def events(spark: SparkSession, tables: Tables) -> DataFrame:
 
 
 def read_control(spark: SparkSession, tables: Tables, batch_id: str) -> Control:
-    """One aggregation of the control table; open batches are looked up only if there are any."""
+    """One aggregation of the control table; open batches are looked up only if there are any of others."""
     epoch = latest_epoch(spark, tables.control)
     known = events(spark, tables)
     status = F.col("status")
     own = F.struct("read_rows", "new_rows", "watermark", "left_out_rows")
-    mine = (F.col("batch_id") == batch_id) & (status == LANDED)
+    mine = F.col("batch_id") == batch_id
     row = known.agg(
         F.count("*").alias("rows"),
         F.coalesce(F.max("number"), F.lit(0)).alias("last"),
         F.count_if(status == OPEN).alias("opened"),
         F.count_if(status.isin(LANDED, DROPPED, CLOSED)).alias("closed"),
         F.count_if(status == LANDED).alias("landed"),
-        F.max_by(own, F.when(mine, F.col("number"))).alias("own"),
+        F.max_by(own, F.when(mine & (status == LANDED), F.col("number"))).alias("own"),
+        F.max_by(F.struct("batch_id", "owner", "status"), F.when(mine & (status != IDLE), F.col("number"))).alias("mine"),
     ).first()
     result = BatchResult(batch_id, **row["own"].asDict()) if row["own"] else None
-    open_batches = _open(known) if row["opened"] > row["closed"] else ()
+    open_batches = ()
+    if row["opened"] - row["closed"] == 1 and row["mine"] and row["mine"]["status"] == OPEN:
+        open_batches = (tuple(row["mine"]),)
+    elif row["opened"] > row["closed"]:
+        open_batches = _open(known)
     return Control(epoch, row["rows"], row["last"], open_batches, row["landed"], result)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from txnmill.plans import batches
-from txnmill.plans.history import in_buckets
+from txnmill.plans.history import by_day, in_buckets
 from txnmill.plans.incremental import create_tables, new_batch_id
 from txnmill.plans.tables import Tables
 from txnmill.session import use_utc
@@ -35,6 +35,8 @@ def compact(spark: SparkSession, tables: Tables, owner: str = OWNER) -> str | No
         laid_out = rows.hint("rebalance", *partition_by)
         if name == tables.ids:
             laid_out = in_buckets(spark, tables, rows)
+        elif name == tables.keys:
+            laid_out = by_day(rows)
         add_batch(laid_out, name, fold, partition_by)
     batches.add_event(spark, tables, number + 1, fold, batches.FOLDED, owner)
     batches.finish_fold(spark, tables, number + 1, fold, owner)

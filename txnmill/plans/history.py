@@ -4,13 +4,16 @@ Two narrow tables are written with every batch, as batch tables like the others:
 
 * ``ids`` has every landed id once, in cleaned form, in buckets by its hash. A batch of any size is shuffled into the
   same buckets and meets the history there; the history is read where it lies.
-* ``keys`` has the 64-bit hash of every natural key of bronze, by day. A batch first looks for its hashes among those
+* ``keys`` has the 64-bit hash of every natural key of bronze, sorted by day. A batch first looks for its hashes among those
   of its own days. Bronze and its wide key columns are read only if some are found, and only for these.
 
 Hashes choose what is compared; ids and keys decide. Tables of former versions that have no such tables yet get
 them from landing and bronze on the next run.
 """
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +40,7 @@ def create_history(spark: SparkSession, tables: Tables, buckets: int | None = No
     first = [name for name in (tables.ids, tables.keys) if not table_exists(spark, name)]
     if first and spark.table(tables.landing).isEmpty():
         create_batch_table(spark, tables.ids, ID_SCHEMA, bucket_by="transaction_id", buckets=n)
-        create_batch_table(spark, tables.keys, KEY_SCHEMA, ["event_date"])
+        create_batch_table(spark, tables.keys, KEY_SCHEMA)
         return
     # A table is there when all of it is, so a run that dies here leaves the work to the next one.
     if tables.ids in first:
@@ -46,8 +49,8 @@ def create_history(spark: SparkSession, tables: Tables, buckets: int | None = No
         writer = once.repartition(n, "transaction_id").write.partitionBy("batch_id")
         writer.bucketBy(n, "transaction_id").saveAsTable(tables.ids)
     if tables.keys in first:
-        stored = with_key_hash(spark.table(tables.bronze), NATURAL_KEY).select("key_hash", "batch_id", "event_date")
-        stored.write.partitionBy("batch_id", "event_date").saveAsTable(tables.keys)
+        stored = with_key_hash(spark.table(tables.bronze), NATURAL_KEY).select("key_hash", "event_date", "batch_id")
+        stored.sortWithinPartitions("batch_id", "event_date").write.partitionBy("batch_id").saveAsTable(tables.keys)
 
 
 def in_buckets(spark: SparkSession, tables: Tables, ids: DataFrame) -> DataFrame:
@@ -67,7 +70,12 @@ def add_ids(spark: SparkSession, tables: Tables, batch_id: str, fresh: DataFrame
 def add_keys(tables: Tables, batch_id: str, rows: DataFrame) -> None:
     """Key hashes of the batch's valid rows."""
     dated = with_key_hash(rows, NATURAL_KEY).select("key_hash", F.to_date("transaction_ts").alias("event_date"))
-    add_batch(dated.hint("rebalance", "event_date"), tables.keys, batch_id, ["event_date"])
+    add_batch(by_day(dated), tables.keys, batch_id)
+
+
+def by_day(keys: DataFrame) -> DataFrame:
+    """Rows of a day next to each other: a reader of some days passes over the row groups of others."""
+    return keys.hint("rebalance", "event_date").sortWithinPartitions("event_date")
 
 
 def among(history: DataFrame, hashes: DataFrame, name: str, count: int, broadcast_bytes: int) -> DataFrame:
@@ -108,14 +116,14 @@ def stored_keys(
     stage: Staging,
     rows: DataFrame,
     row_count: int,
+    days: Sequence[date],
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame | None:
     """Stored rows that may share a natural key with ``rows``, or None if there are none.
 
-    The date is part of the key, so only the batch's own days are looked at, however far apart they
+    The date is part of the key, so only the batch's own ``days`` are looked at, however far apart they
     lie; the profile has one year of days at most.
     """
-    days = [d["day"] for d in rows.select(F.to_date("transaction_ts").alias("day")).distinct().collect()]
     hashes = with_key_hash(rows, NATURAL_KEY)
     sides = spark.table(tables.keys).filter(F.col("event_date").isin(days)).select("key_hash")
     found = stage.write(among(sides, hashes, "key_hash", row_count, broadcast_bytes).distinct(), "keys", ())

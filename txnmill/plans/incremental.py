@@ -100,7 +100,8 @@ def run_batch(
         _fold_logs(spark, tables, number, source)
         stored = None
         if control.landed_batches and found["valid"]:
-            stored = stored_keys(spark, tables, stage, routing.valid(fresh), found["valid"], broadcast_bytes)
+            rows = routing.valid(fresh)
+            stored = stored_keys(spark, tables, stage, rows, found["valid"], found["days"], broadcast_bytes)
         _store(spark, tables, batch_id, fresh, found["valid"], stored, heavy_rows)
         batches.add_event(spark, tables, number + 1, batch_id, batches.LANDED, owner, bound=bound, **state)
         if source.ledger:
@@ -149,16 +150,18 @@ def _staged_incoming(stage, source: Source, loaded_at: str) -> tuple[DataFrame,
 
 
 def _measured(stage, rows: DataFrame, step: str) -> tuple[DataFrame, dict]:
-    """Stage the rows and count them on the way. Dates of valid rows sort as text."""
+    """Stage the rows and count them on the way, with the days of the valid ones, a year of them at most.
+    Dates of valid rows sort as text."""
     seen = Observation()
     observed = rows.observe(
         seen,
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col("is_valid"), 1)).alias("valid"),
         F.max(F.when(F.col("is_valid"), F.col("transaction_date"))).alias("latest"),
+        F.collect_set(F.when(F.col("is_valid"), F.to_date("transaction_ts"))).alias("days"),
     )
     staged = stage.write(observed, step)
-    return staged, {"n": 0, "valid": 0, "latest": None} | seen.get
+    return staged, {"n": 0, "valid": 0, "latest": None, "days": []} | seen.get
 
 
 def _store(spark, tables, batch_id, fresh, valid, stored, heavy_rows) -> None:

@@ -41,7 +41,7 @@ class Tables:
             self.quarantine: [],
             self.bronze: ["event_date"],
             self.ids: [],
-            self.keys: ["event_date"],
+            self.keys: [],
         }
 
 
