@@ -5,10 +5,14 @@ are dealt by hash to parts of about ``part_tokens`` tokens, whose number follows
 all tokens. A part is sorted by falling length and packed in one pass:
 
 * a piece goes into the open bin with the least room that still holds it;
-* without such a bin one is opened, of the permitted length with the least cost per token that it
+* without such a bin one is opened, of the length with the least cost per token that it
   can be filled with: the piece and what is left of the smaller ones;
 * at the end each bin shrinks to the shortest permitted length that holds its contents.
 
+The lengths are chosen together: a part is packed once for every set of permitted lengths that bins may be opened
+with, and the packing of least cost, after bins have shrunk, is taken. So a length that is cheap by itself but leaves
+room that nothing fills gives way to one that the pieces fit.
+
 The cost of a sequence of ``c`` tokens is ``overhead + c + quadratic * c * c``: a fixed part,
 a part in proportion and the part of attention. Room is whole numbers up to the longest length,
 so the best bin is found by one bit operation on a mask of rooms that open bins have.
@@ -19,6 +23,7 @@ ignored. Every piece is returned once.
 """
 
 from collections.abc import Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +42,11 @@ def cost(length: int, overhead: float = OVERHEAD, quadratic: float = QUADRATIC)
 
 
 class Packer:
-    """Bins of one part; give it pieces in falling order of length."""
+    """Bins of one part, opened with some of the permitted lengths; give it pieces in falling order of length."""
 
-    def __init__(self, total: int, lengths: Sequence[int] = LENGTHS, price=cost):
+    def __init__(self, total: int, lengths: Sequence[int] = LENGTHS, price=cost, permitted: Sequence[int] = ()):
         self.lengths, self.left = sorted(lengths), total
+        self.permitted = np.array(sorted(permitted or lengths))
         self.price = {c: price(c) for c in self.lengths}
         self.size: list[int] = []  # capacity of each bin
         self.fill: list[int] = []
@@ -78,8 +84,25 @@ class Packer:
 
     def final_sizes(self) -> np.ndarray:
         """Shortest permitted length for what each bin holds."""
-        lengths = np.array(self.lengths)
-        return lengths[np.searchsorted(lengths, np.array(self.fill, np.int64))]
+        return self.permitted[np.searchsorted(self.permitted, np.array(self.fill, np.int64))]
+
+
+def best_packing(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, price=cost) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of every piece and the final size of every bin, for the set of lengths to open bins with that
+    costs least. ``sizes`` fall, and none is above the longest length."""
+    total = int(sum(sizes))
+    best = None
+    for count in range(len(lengths), 0, -1):
+        for some in combinations(sorted(lengths), count):
+            if some[-1] < sizes[0]:
+                continue
+            packer = Packer(total, some, price, lengths)
+            placed = [packer.add(n) for n in sizes]
+            final = packer.final_sizes()
+            paid = sum(price(c) * n for c, n in zip(*(x.tolist() for x in np.unique(final, return_counts=True)), strict=True))
+            if best is None or paid < best[0]:
+                best = paid, placed, final
+    return np.array(best[1], np.int64), best[2]
 
 
 def pieces(docs: DataFrame, id_col: str, length: Column, longest: int) -> DataFrame:
@@ -132,9 +155,8 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part_no, rows in _parts(batches):
             sizes = rows.column("length").to_numpy()
-            packer = Packer(int(sizes.sum(dtype=np.int64)), lengths)
-            placed = np.array([packer.add(n) for n in sizes.tolist()], np.int64)
-            final = packer.final_sizes()[placed[:, 0]].astype(np.int32)
+            placed, bins = best_packing(sizes.tolist(), lengths)
+            final = bins[placed[:, 0]].astype(np.int32)
             more = [
                 pa.array((part_no << 32) + placed[:, 0]),
                 pa.array(placed[:, 1].astype(np.int32)),
