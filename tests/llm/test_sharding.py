@@ -1,7 +1,10 @@
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from txnmill.llm.sharding import kd_shards
 
 
@@ -38,6 +41,52 @@ def test_equal_bytes_and_whole_groups(documents):
     assert sum(len(g) > 1 for g in groups.values()) <= 4
 
 
+def places(text):
+    """The metadata of a text, computed anew."""
+    raw = (text or "").encode()
+    return math.log2(len(raw) + 1), math.log2((text or "").count("\n") + 1), float(zlib.crc32(raw))
+
+
+def check_tree(rows, shard_of, first, leaves, ranges, slack):
+    """Every node lies on both sides of a weighted median of its widest dimension; returns the nodes seen."""
+    if leaves == 1 or not rows:
+        return 0
+    left = [r for r in rows if shard_of[r[0]] < first + leaves // 2]
+    right = [r for r in rows if shard_of[r[0]] >= first + leaves // 2]
+    widths = [
+        (max(r[2][d] for r in rows) - min(r[2][d] for r in rows)) / ranges[d] if ranges[d] else 0.0 for d in range(3)
+    ]
+    widest = [d for d in range(3) if widths[d] >= max(widths) * (1 - 1e-9)]
+    if left and right and max(widths) > 0:
+        assert any(max(r[2][d] for r in left) <= min(r[2][d] for r in right) + ranges[d] * 2**-35 for d in widest)
+    weight = sum(r[1] for r in rows)
+    largest = max(r[1] for r in rows)
+    assert abs(sum(r[1] for r in left) - weight * (leaves // 2) / leaves) <= slack + largest
+    half = leaves // 2
+    return 1 + sum(
+        check_tree(part, shard_of, at, n, ranges, slack)
+        for part, at, n in ((left, first, half), (right, first + half, leaves - half))
+    )
+
+
+@pytest.mark.parametrize("shards, seed", [(16, 1), (7, 2), (2, 4)])
+def test_every_node_is_cut_as_by_sorting(documents, shards, seed):
+    """All nodes of the tree against medians found by sorting whole rows."""
+    rng = random.Random(seed)
+    texts = {"".join(rng.choice("ab \n" if rng.random() < 0.5 else "xyz") for _ in range(int(rng.expovariate(0.01)))) for _ in range(900)}
+    rows = [(i, len(t.encode()) + 1, places(t)) for i, t in enumerate(sorted(texts))]
+    got = kd_shards(documents(*enumerate(sorted(texts))), shards=shards).collect()
+    ranges = [max(r[2][d] for r in rows) - min(r[2][d] for r in rows) for d in range(3)]
+    slack = 0.002 * sum(r[1] for r in rows) / shards
+    assert check_tree(rows, {r.doc_id: r.shard for r in got}, 0, shards, ranges, slack) == shards - 1
+
+
+@pytest.mark.parametrize("rows", [1, 5])
+def test_more_shards_than_texts(documents, rows):
+    got = kd_shards(documents(*((i, "t" * (i % 3)) for i in range(rows))), shards=20).collect()
+    check([(i, "t" * (i % 3)) for i in range(rows)], got, 20)
+
+
 def test_a_hot_group_is_cut(documents):
     rows = [(i, "the same text again") for i in range(2000)] + [(5000 + i, f"text {i}" * (i % 7)) for i in range(1000)]
     got = kd_shards(documents(*rows), shards=8).collect()

@@ -23,6 +23,59 @@ def test_ordered_thresholds_and_shared_weights():
     assert np.mean(np.rint(severity) == grades) > 0.9
 
 
+def objective(params, rows, grades, weight, features, l2):
+    """Weighted log loss of the cumulative-link model and the penalty, from their definitions."""
+    w, free = params[:features], params[features:]
+    thresholds = [free[0]]
+    for gap in free[1:]:
+        thresholds.append(thresholds[-1] + np.exp(gap))
+    loss = 0.0
+    for row, grade, share in zip(rows, grades, weight, strict=True):
+        eta = sum(w[f] for f in row)
+        above = [1.0, *(1 / (1 + np.exp(t - eta)) for t in thresholds), 0.0]
+        loss -= share * np.log(above[grade] - above[grade + 1])
+    return loss / sum(weight) + l2 / 2 * float((w**2).sum())
+
+
+def pattern_search(params, features, loss, step=1.0):
+    """Least value by trying steps in every coordinate, weights not below 0; uses no gradient."""
+    best = loss(params)
+    while step > 1e-4:
+        better = False
+        for i in range(len(params)):
+            for sign in (1, -1):
+                tried = params.copy()
+                tried[i] += sign * step
+                if i < features:
+                    tried[i] = max(0.0, tried[i])
+                value = loss(tried)
+                if value < best - 1e-12:
+                    params, best, better = tried, value, True
+        if not better:
+            step /= 2
+    return best
+
+
+@pytest.mark.parametrize("seed, weighted", [(0, False), (1, True), (2, True)])
+def test_fit_equals_an_independent_optimiser(seed, weighted):
+    rng = np.random.default_rng(seed)
+    features, l2 = 5, 1e-2
+    rows = [np.flatnonzero(rng.random(features) < 0.4) for _ in range(120)]
+    true = np.array([2.0, 1.0, 0.5, 0.0, -1.0])
+    grades = np.array([int((true[r].sum() + rng.logistic() > np.array([1.0, 2.5])).sum()) for r in rows])
+    weight = rng.uniform(0.2, 3, len(rows)) if weighted else np.ones(len(rows))
+    model = fit(rows, grades, np.arange(features), weight, l2=l2, steps=3000, rate=0.05)
+
+    def loss(params):
+        return objective(params, rows, grades, weight, features, l2)
+
+    free = np.concatenate([model.thresholds[:1], np.log(np.diff(model.thresholds))])
+    fitted = loss(np.concatenate([model.weights, free]))
+    least = pattern_search(np.array([0.5] * features + [0.0, 0.0]), features, loss)
+    assert fitted == pytest.approx(least, rel=2e-3)
+    assert model.weights.min() >= 0
+
+
 @pytest.fixture
 def corpus(spark, documents):
     rng = random.Random(4)
