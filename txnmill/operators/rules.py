@@ -54,6 +54,7 @@ def _amount_rule(profile: Profile) -> Column:
     )
 
 
+# The messages below are fixed values.
 def rule_columns(profile: Profile) -> dict[str, Column]:
     """The rules in reporting order, over landed text plus ``amount`` and ``transaction_ts``."""
     txn_id, account, date = F.col("transaction_id"), F.col("account_id"), F.col("transaction_date")
