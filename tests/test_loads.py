@@ -272,6 +272,19 @@ def test_the_search_for_keys_reads_hashes_only(spark, records, tables):
         assert found.count() == 1
 
 
+def test_hashes_that_are_more_than_was_said_are_not_broadcast(spark):
+    history = spark.range(50, 250).select(F.col("id").alias("key_hash"))
+    hashes = spark.range(100).select(F.col("id").alias("key_hash"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for limit, fits in ((24 * 100, True), (24 * 99, False)):
+            found = among(history, hashes, "key_hash", 1, limit)
+            assert ("Broadcast" in found._jdf.queryExecution().executedPlan().toString()) == fits
+            assert sorted(r.key_hash for r in found.collect()) == list(range(50, 100))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_large_batch_does_not_shuffle_the_landed_ids(spark, records, tables):
     load(spark, tables, records(*[txn(i, 1) for i in range(1, 40)], txn(50, 1, transaction_id=None)), batch_id="a")
     load(spark, tables, records(*[txn(i, 1) for i in range(30, 60)]), batch_id="b")

@@ -79,10 +79,12 @@ def by_day(keys: DataFrame) -> DataFrame:
 
 
 def among(history: DataFrame, hashes: DataFrame, name: str, count: int, broadcast_bytes: int) -> DataFrame:
-    """Rows of ``history`` whose hash ``name`` is among ``count`` hashes of the batch. These are broadcast if
-    their counted bytes fit; the history is then cut where it is scanned."""
+    """Rows of ``history`` whose hash ``name`` is among the hashes of the batch, ``count`` of them by the caller's
+    account. These are broadcast if their bytes fit; the history is then cut where it is scanned. A broadcast stands
+    whole in the driver and in every executor, so what is said to be few is counted before."""
     listed = hashes.select(name)
-    if count * HASH_BYTES <= broadcast_bytes:
+    few = broadcast_bytes // HASH_BYTES
+    if count <= few and listed.count() <= few:
         return history.join(F.broadcast(listed), name, "left_semi")
     return history.join(listed, name, "left_semi")
 
