@@ -51,6 +51,28 @@ def content(spark, tables):
     ]
 
 
+class WithoutFiles:
+    """A session whose files cannot be removed."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __getattr__(self, name):
+        if name in ("_jvm", "_jsc"):
+            raise PermissionError(f"no {name}")
+        return getattr(self.spark, name)
+
+
+def test_a_staged_folder_that_cannot_be_removed_does_not_fail_the_run(spark, tables):
+    with pytest.warns(UserWarning, match="is left behind: no _jvm"):
+        with staging(WithoutFiles(spark), tables, "a") as stage:
+            staged = stage.write(spark.range(3), "step", ())
+    assert staged.count() == 3
+    with pytest.warns(UserWarning), pytest.raises(ValueError, match="the first error"):
+        with staging(WithoutFiles(spark), tables, "a"):
+            raise ValueError("the first error")
+
+
 def test_full_load_twice_and_summary_twice(spark, records, tables, schema):
     frame = records(txn(1, 1), txn(2, 1), txn(3, 2), txn(4, 2, amount="-1"), txn(5, 1, merchant_name="M1"))
     source = bounded(frame, "test", None)

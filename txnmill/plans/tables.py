@@ -1,6 +1,7 @@
 """Names of the tables a load writes, and the staged frames between its steps."""
 
 import uuid
+import warnings
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -67,10 +68,14 @@ class Staging:
 @contextmanager
 def staging(spark: SparkSession, tables: Tables, batch: str) -> Iterator[Staging]:
     """A folder that goes when the run ends, well or not. A driver that dies leaves it behind;
-    no other run ever reads it."""
+    no other run ever reads it. So a folder that cannot be removed costs room and a warning, not
+    the run, which may have landed, nor the error that ended it."""
     folder = Staging(spark, tables, batch)
     try:
         yield folder
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder.path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder.path)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception as failed:
+            warnings.warn(f"{folder.path} is left behind: {failed}", stacklevel=3)
