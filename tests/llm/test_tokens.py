@@ -1,4 +1,5 @@
 import random
+import re
 import uuid
 import zlib
 
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 
 from txnmill.llm import elias_fano
 from txnmill.llm.token_counts import PieceCounter, token_counts
-from txnmill.llm.token_files import Encoder, Segment, read_token_files, segment_bytes, write_token_files
+from txnmill.llm.token_files import Encoder, Segment, _cut, read_token_files, segment_bytes, write_token_files
 from txnmill.session import shared_dir
 
 BYTES, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -78,6 +79,26 @@ def test_words_give_the_library_ids(encoder):
     assert [ids.tolist() for ids in encoder.encode(texts)] == want
 
 
+def test_texts_are_cut_as_by_the_pattern():
+    """Each text's runs, and one more behind it; code points of every width, also such as stand behind texts."""
+    words = re.compile("( [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)(?!\\w)")
+    odd = [" a\0 b\0", "\0", " a", "a", " é٣ é", " ×a ÷ ɏ ɐ", " a_ a\u0301", "\ud7ff\ue000 x😀 y"]
+    for texts in (HARD + odd, noise(6, 300), [""], odd[:1] * 3):
+        runs, last = _cut(texts)
+        ends = {int(i) for i in last}
+        want = [[*filter(None, words.split(text))] for text in texts]
+        assert [run for i, run in enumerate(runs.to_pylist()) if i not in ends] == sum(want, [])
+        assert np.diff(last, prepend=-1).tolist() == [len(part) + 1 for part in want]
+
+
+def test_blocks_with_and_without_end_ids(encoder):
+    texts = ["", "a\0", "\0\0 b", "", " c é 😀"]
+    for end in (0, 7, None, 0):
+        (ids, sizes), = encoder.blocks(texts, end)
+        want = [[*encoder.library.encode(t, add_special_tokens=False).ids, *([] if end is None else [end])] for t in texts]
+        assert (ids.tolist(), sizes.tolist()) == (sum(want, []), [len(part) for part in want])
+
+
 def test_forgotten_words_are_learned_again(monkeypatch):
     monkeypatch.setattr("txnmill.llm.token_files.CACHED_RUNS", 50)
     monkeypatch.setattr("txnmill.llm.token_files.RUNS_AT_ONCE", 40)

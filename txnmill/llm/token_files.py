@@ -13,8 +13,9 @@ before the segment in its part. The ids before a part are summed from the parts'
 
 Texts are encoded by the tokenizers library. For byte-level models a space with the letters behind
 it is always split off before merging, whatever stands around it. So texts are cut around these
-words, and each distinct word, as well as what lies between, is encoded by the library once for a while. Other models get whole texts. The ids of some texts are put together at once, each with its
-end id behind it.
+words, some texts at once by arrays of their code points, and each distinct word, as well as what lies between, is
+encoded by the library once for a while. Other models get whole texts. The ids of some texts are put together at once,
+each with its end id behind it.
 
 Readers find documents by select on the code of the ends, some thousand at a time.
 
@@ -28,7 +29,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +42,57 @@ from txnmill.llm import elias_fano
 from txnmill.llm.common import shuffle_partitions, workers_see_package
 
 SEGMENT_IDS = 1_000_000
-RUNS_AT_ONCE = 300_000
-CACHED_RUNS = 500_000
+RUNS_AT_ONCE = 800_000
+CHARS_A_RUN = 5  # or so
+CACHED_RUNS = 1_000_000
 WORDS_AT_ONCE = 4096
 BOUNDS_AT_ONCE = 4096
 _HEAD = struct.Struct("<4sB3xQ")
 SEGMENT_SCHEMA = "part int, seq int, part_start long, n_ids long, doc_ids array<long>, payload binary"
 # Words of letters that are letters in every version of Unicode, not followed by more of a word.
-_WORDS = re.compile("( [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)(?!\\w)")
+_LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"
+_WORD = re.compile(f" {_LETTER}+")
+_GOES_ON, _IS_LETTER = 1, 2
+_SPACE = "\u0120"  # how byte-level models write a space
 
 
 _END = None  # stands for the end id among runs, which are texts
+_AFTER = "\0"  # behind every text while texts are cut; no part of a word
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Of every code point, whether words consist of it or, if not, whether it goes on with a word."""
+    kinds = np.zeros(0x110000, np.uint8)
+    every = "".join(map(chr, range(len(kinds))))
+    for kind, pattern in ((_GOES_ON, r"\w"), (_IS_LETTER, _LETTER)):
+        kinds[[ord(c) for c in re.findall(pattern, every)]] = kind
+    return kinds
+
+
+def _cut(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The runs of some texts in a row, behind each text one more of one character, and the numbers of these."""
+    whole = _AFTER.join([*texts, ""])
+    codes = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+    kinds = _kinds()[codes]
+    letter = np.concatenate([[False], kinds == _IS_LETTER])
+    turns = np.flatnonzero(letter[1:] != letter[:-1])
+    starts, ends = turns[::2], turns[1::2]
+    # what lies before the first character is the last one, which is no space
+    word = (codes[starts - 1] == ord(" ")) & (kinds[ends] == 0)
+    after = np.cumsum([len(text) + 1 for text in texts])
+    cut = np.zeros(len(codes) + 1, bool)
+    for places in (starts[word] - 1, ends[word], after - 1, after):
+        cut[places] = True
+    cut[0] = True
+    at = np.flatnonzero(cut)
+    last = np.searchsorted(at, after) - 1
+    utf8 = whole.encode()
+    if len(utf8) > len(codes):
+        widths = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+        at = np.concatenate([[0], np.cumsum(widths)])[at]
+    buffers = [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(utf8)]
+    return pa.Array.from_buffers(pa.large_string(), len(at) - 1, buffers), last
 
 
 class _Numbers(dict):
@@ -78,7 +118,10 @@ class Encoder:
         with open(tokenizer_file, encoding="utf-8") as f:
             spec = json.load(f)
         self.by_runs = self._cuts_at_space(spec)
-        self.most = max(self.library.get_vocab(with_added_tokens=True).values(), default=0)
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.most = max(vocabulary.values(), default=0)
+        self.at_space = np.zeros(self.most + 1, bool)
+        self.at_space[[number for token, number in vocabulary.items() if token.startswith(_SPACE)]] = True
         self.known = _Numbers()
         self.flat = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
@@ -116,30 +159,35 @@ class Encoder:
             return
         if ends and self.end_id != end_id:
             self._forget_all(end_id)
-        runs: list[str | None] = []
-        counts: list[int] = []
+        some: list[str] = []
+        size = 0
         for text in texts:
-            n = len(runs)
-            runs += filter(None, _WORDS.split(text))
-            if ends:
-                runs.append(_END)
-            counts.append(len(runs) - n)
-            if len(runs) >= RUNS_AT_ONCE:
-                yield self._block(runs, counts)
-                runs, counts = [], []
-        if counts:
-            yield self._block(runs, counts)
-
-    def _block(self, runs: list[str | None], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        ids, sizes = self._ids(runs)
-        run_ends = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, np.diff(run_ends[np.cumsum([0, *counts])])
-
-    def _ids(self, runs: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the runs in a row, and the number of each run's."""
+            some.append(text)
+            size += len(text) + 1
+            if size >= RUNS_AT_ONCE * CHARS_A_RUN:
+                yield self._block(some, bool(ends))
+                some, size = [], 0
+        if some:
+            yield self._block(some, bool(ends))
+
+    def _block(self, texts: list[str], with_end: bool) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > CACHED_RUNS:
             self._forget()
-        which = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        runs, last = _cut(texts)
+        distinct = runs.dictionary_encode()
+        numbers = map(self.known.__getitem__, distinct.dictionary.to_pylist())
+        which = np.fromiter(numbers, np.int64, len(distinct.dictionary))[distinct.indices.to_numpy()]
+        bounds = np.concatenate([[0], last + 1])
+        if with_end:
+            which[last] = self.known[_END]
+        else:
+            which = np.delete(which, last)
+            bounds -= np.arange(len(bounds))
+        ids, sizes = self._ids(which)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[bounds])
+
+    def _ids(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the runs with these numbers in a row, and how many each has."""
         if self.known.fresh:
             self._learn(self.known.fresh)
             self.known.fresh = []
@@ -170,18 +218,16 @@ class Encoder:
 
     def _learn(self, fresh: list[str | None]) -> None:
         """Ids of runs that have the next numbers."""
-        is_word = [run is not _END and run[0] == " " and _WORDS.fullmatch(run) is not None for run in fresh]
-        words = [run for run, yes in zip(fresh, is_word, strict=True) if yes]
-        others = [run for run, yes in zip(fresh, is_word, strict=True) if not yes and run is not _END]
-        coded = self.library.encode_batch_fast(others, add_special_tokens=False)
-        parts = [*self._words(words), *((one.ids, [len(one.ids)]) for one in coded)]
+        # the words come first, then the others, then the end
+        kind = np.array([2 if run is _END else 0 if _WORD.fullmatch(run) else 1 for run in fresh])
+        order = np.argsort(kind, kind="stable")
+        words, others = ([fresh[i] for i in order[kind[order] == k].tolist()] for k in (0, 1))
+        coded = [np.array(one.ids, np.uint32) for one in self.library.encode_batch_fast(others, add_special_tokens=False)]
+        parts = [*self._words(words), *((ids, [len(ids)]) for ids in coded)]
         if _END in fresh:
             parts.append(([self.end_id], [1]))
-        flat = np.array(list(chain.from_iterable(ids for ids, _ in parts)), np.uint32)
-        lengths = np.array(list(chain.from_iterable(sizes for _, sizes in parts)), np.int64)
-        # the words came first, then the others, then the end
-        kind = np.array([2 if run is _END else 0 if yes else 1 for run, yes in zip(fresh, is_word, strict=True)])
-        order = np.argsort(kind, kind="stable")
+        flat = np.concatenate([ids for ids, _ in parts]).astype(np.uint32)
+        lengths = np.concatenate([sizes for _, sizes in parts]).astype(np.int64)
         starts = np.empty(len(fresh), np.int64)
         starts[order] = len(self.flat) + np.cumsum(lengths) - lengths
         sizes = np.empty(len(fresh), np.int64)
@@ -191,16 +237,17 @@ class Encoder:
         self.lengths = np.concatenate([self.lengths, sizes])
         self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
 
-    def _words(self, words: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+    def _words(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of words and how many each has. They are encoded as a text of many words, which the
-        library cuts before every space."""
+        library cuts before every space, so each word starts with an id that starts with one."""
         for i in range(0, len(words), WORDS_AT_ONCE):
             some = words[i : i + WORDS_AT_ONCE]
-            one = self.library.encode("".join(some), add_special_tokens=False)
-            sizes = np.bincount(np.array(one.word_ids, np.int64), minlength=len(some))
-            if len(sizes) != len(some) or not sizes.all():
+            one = self.library.encode_batch_fast(["".join(some)], add_special_tokens=False)[0]
+            ids = np.array(one.ids, np.uint32)
+            first = np.flatnonzero(self.at_space[ids])
+            if len(first) != len(some) or first[0] != 0:
                 raise ValueError("the tokenizer does not cut before every space")
-            yield one.ids, sizes.tolist()
+            yield ids, np.diff(first, append=len(ids))
 
 
 @lru_cache(maxsize=4)
