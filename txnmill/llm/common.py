@@ -63,8 +63,10 @@ def workers_see_package(spark: SparkSession) -> None:
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    """The session's partition count, or what the cluster can run twice over if it is not a number."""
-    wanted = spark.conf.get("spark.sql.shuffle.partitions", "")
+    """The session's partition count, or what the cluster can run twice over if it is not a number.
+
+    Spark has a default of its own; one given here would have to be a number, or it fails where none is set."""
+    wanted = spark.conf.get("spark.sql.shuffle.partitions")
     return int(wanted) if wanted.isdigit() else 2 * spark.sparkContext.defaultParallelism
 
 
