@@ -14,8 +14,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    """The session's partition count; some platforms leave it to ``auto``."""
-    wanted = spark.conf.get("spark.sql.shuffle.partitions", "")
+    """The session's partition count, Spark's default where none is set; some platforms leave it to ``auto``."""
+    wanted = spark.conf.get("spark.sql.shuffle.partitions")
     return int(wanted) if wanted.isdigit() else 2 * spark.sparkContext.defaultParallelism
 
 
